@@ -159,7 +159,7 @@ def q_overwrite_table(t: DerivedTables) -> DataFrame:
 def q_read_table(t: DerivedTables) -> DataFrame:
     folder = scratch_path(t.spark, "tables")
     writers.write_payments(t.payments, f"{folder}/payments")
-    return readers.read_table(t.spark, folder, "payments").drop("created_at")
+    return readers.read_table(t.spark, folder, "payments").drop("created_at", "payment_month")
 
 
 def q_write_csv(t: DerivedTables) -> DataFrame:

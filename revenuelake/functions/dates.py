@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import calendar
 import datetime as dt
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def months_before(as_of: dt.date, months: int) -> Column:
-    """``as_of`` minus whole months, clipped to the end of a short month; folds to a literal."""
-    return F.add_months(F.lit(as_of), -months)
+def months_before(as_of: dt.date, months: int) -> dt.date:
+    """``as_of`` minus whole months, clipped to the end of a short month."""
+    index = as_of.year * 12 + as_of.month - 1 - months
+    year, month = index // 12, index % 12 + 1
+    return dt.date(year, month, min(as_of.day, calendar.monthrange(year, month)[1]))
 
 
 def days_after(as_of: dt.date, days: int) -> dt.date:
@@ -43,3 +46,28 @@ def full_years(start: Column, as_of: dt.date) -> Column:
     now = F.lit(as_of)
     not_reached = (F.month(now) * 100 + F.dayofmonth(now)) < (F.month(start) * 100 + F.dayofmonth(start))
     return F.year(now) - F.year(start) - not_reached.cast("int")
+
+
+def in_period(
+    payments: DataFrame,
+    start: dt.date | None = None,
+    until: dt.date | None = None,
+    before: dt.date | None = None,
+) -> DataFrame:
+    """Payments from ``start`` on, up to ``until`` (inclusive) or ``before`` (exclusive).
+
+    The stored payments have a folder per month. The same bounds on that column let the scan skip whole
+    folders; on other frames the date filter alone reaches the scan.
+    """
+    day, kept = F.col("payment_date"), payments
+    by_month = "payment_month" in payments.columns
+    if start is not None:
+        kept = kept.filter(day >= F.lit(start))
+        if by_month:
+            kept = kept.filter(F.col("payment_month") >= f"{start:%Y-%m}")
+    last = until or before
+    if last is not None:
+        kept = kept.filter(day <= F.lit(until) if until else day < F.lit(before))
+        if by_month:
+            kept = kept.filter(F.col("payment_month") <= f"{last:%Y-%m}")
+    return kept

@@ -8,18 +8,22 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revenuelake.functions.dates import full_years
-from revenuelake.functions.ratios import zero_if_null
+from revenuelake.functions.ratios import ratio, zero_if_null
+
+
+def _mean_amount() -> Column:
+    return ratio(F.sum("amount"), F.count("amount"))
 
 
 def _modelled(taxpayers: DataFrame) -> DataFrame:
     return taxpayers.filter(F.col("taxpayer_type").isin("Corporate", "Partnership"))
 
 
-def _is_late():
+def _is_late() -> Column:
     return F.col("filing_date") > F.col("due_date")
 
 
@@ -27,7 +31,7 @@ def _zero(df: DataFrame, names: list[str]) -> DataFrame:
     return df.withColumns({name: zero_if_null(F.col(name)) for name in names})
 
 
-def _label_by_score():
+def _label_by_score() -> Column:
     return (F.col("risk_category") == "High") & (F.col("compliance_score") < 0.5)
 
 
@@ -37,20 +41,21 @@ def fraud_features_weekly(
     """Filing, payment and sales statistics with the label, for taxpayers with at least one return."""
     late = F.avg(F.when(_is_late(), 1.0).otherwise(0.0))
     sales, amount = F.col("total_sales").cast("double"), F.col("amount").cast("double")
+    mean_sales = ratio(F.sum("total_sales"), F.count("total_sales"))
     paye = paye_returns.groupBy("taxpayer_id").agg(
         F.count("return_id").alias("paye_returns_count"), late.alias("paye_late_rate")
     )
     vat = vat_returns.groupBy("taxpayer_id").agg(
         F.count("return_id").alias("vat_returns_count"),
         late.alias("vat_late_rate"),
-        F.avg(sales).alias("avg_vat_sales"),
+        mean_sales.alias("avg_vat_sales"),
         F.stddev_samp(sales).alias("vat_sales_stddev"),
         F.min("total_sales").alias("min_vat_sales"),
         F.max("total_sales").alias("max_vat_sales"),
     )
     paid = payments.groupBy("taxpayer_id").agg(
         F.count("payment_id").alias("payment_count"),
-        F.avg(amount).alias("avg_payment_amount"),
+        _mean_amount().alias("avg_payment_amount"),
         F.stddev_samp(amount).alias("payment_amount_stddev"),
         F.countDistinct("payment_channel").alias("payment_channels_used"),
     )
@@ -86,7 +91,7 @@ def fraud_features_extended(
     paid = payments.groupBy("taxpayer_id").agg(
         F.count("payment_id").alias("total_payments"),
         F.countDistinct("payment_channel").alias("payment_channels"),
-        F.avg(amount).alias("avg_payment"),
+        _mean_amount().alias("avg_payment"),
         F.stddev_samp(amount).alias("payment_stddev"),
         F.max("amount").alias("max_payment"),
     )

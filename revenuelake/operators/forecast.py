@@ -9,8 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from revenuelake.functions.dates import days_after, months_before
-from revenuelake.functions.ratios import pct_change
+from revenuelake.functions.dates import days_after, in_period, months_before
+from revenuelake.functions.ratios import pct_change, ratio
 from revenuelake.operators.staging import stg_payments
 
 TOTAL = "Total"
@@ -22,7 +22,7 @@ RIDGE = 1.0
 
 def revenue_history(payments: DataFrame, as_of: dt.date) -> DataFrame:
     """Completed revenue of two years per day and tax type, and per day in total."""
-    recent = stg_payments(payments).filter(F.col("payment_date") >= months_before(as_of, 24))
+    recent = stg_payments(in_period(payments, start=months_before(as_of, 24)))
     sums = (
         recent.select(F.col("payment_date").alias("ds"), "tax_type", "amount")
         .groupingSets([["ds", "tax_type"], ["ds"]], "ds", "tax_type")
@@ -135,9 +135,8 @@ def forecast_deviation_alerts(forecasts: DataFrame, payments: DataFrame, as_of:
     The base is the mean of single payments of the last 30 days, as in the source rule, although the
     forecast is a daily total.
     """
-    day = F.col("payment_date")
-    recent = payments.filter((day >= F.lit(days_after(as_of, -30))) & (day < F.lit(as_of)))
-    mean = recent.groupBy("tax_type").agg(F.avg(F.col("amount").cast("double")).alias("historical_avg"))
+    recent = in_period(payments, start=days_after(as_of, -30), before=as_of)
+    mean = recent.groupBy("tax_type").agg(ratio(F.sum("amount"), F.count("amount")).alias("historical_avg"))
     coming = forecasts.filter(F.col("forecast_date").between(F.lit(as_of), F.lit(days_after(as_of, 7))))
     return (
         coming.select("tax_type", "forecast_date", F.col("predicted_revenue").alias("current_forecast"))

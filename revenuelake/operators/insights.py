@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revenuelake import constants as C
-from revenuelake.functions.dates import days_after
+from revenuelake.functions.dates import days_after, in_period
 from revenuelake.functions.ratios import pct_change
 from revenuelake.operators.skew import exact_quantile, salted_join
 
@@ -35,13 +35,14 @@ def validate_transactions(transactions: DataFrame) -> DataFrame:
         salted_join(combos, limits, ["tx_date", "tax_type"], ["taxpayer_id", "amount"], how="left")
         .select(*_COPY, status.alias("validation_status"), (F.col("copies") > 1).alias("is_duplicate"))
         .filter(F.col("validation_status") != C.VALID)
+        .withColumnsRenamed({name: f"found_{name}" for name in _COPY})
     )
     # Only flagged combinations take part; one row per key, so an overfull key can be split.
-    same = [dated[name].eqNullSafe(checked[name]) for name in _COPY]
+    same = [F.col(name).eqNullSafe(F.col(f"found_{name}")) for name in _COPY]
     marked = dated.join(checked, same, "left").select(
-        *[dated[name] for name in dated.columns],
-        F.coalesce(checked["validation_status"], F.lit(C.VALID)).alias("validation_status"),
-        F.coalesce(checked["is_duplicate"], F.lit(False)).alias("is_duplicate"),
+        *dated.columns,
+        F.coalesce("validation_status", F.lit(C.VALID)).alias("validation_status"),
+        F.coalesce("is_duplicate", F.lit(False)).alias("is_duplicate"),
     )
     return marked.withColumn(
         "status", F.when(F.col("validation_status") == C.VALID, "Completed").otherwise("Under Review")
@@ -123,9 +124,8 @@ def revenue_insights(payments: DataFrame, as_of: dt.date) -> DataFrame:
     """Month of ``as_of`` against the month before, over payments of every status, in one pass."""
     start, end = _month_of(as_of)
     before, _ = _month_of(start - dt.timedelta(days=1))
-    day = F.col("payment_date")
-    current = day >= F.lit(start)
-    months = payments.filter((day >= F.lit(before)) & (day < F.lit(end))).agg(
+    current = F.col("payment_date") >= F.lit(start)
+    months = in_period(payments, start=before, before=end).agg(
         F.sum(F.when(current, F.col("amount"))).cast("double").alias("current_total"),
         F.sum(F.when(~current, F.col("amount"))).cast("double").alias("previous_total"),
         F.countDistinct(F.when(current, F.col("taxpayer_id"))).alias("active_taxpayers"),
@@ -150,7 +150,7 @@ def compliance_insights(taxpayers: DataFrame) -> DataFrame:
 
 def collection_projection_7d(payments: DataFrame, as_of: dt.date) -> DataFrame:
     """The mean daily total of the last 30 days, projected over the next seven with a 15 % band."""
-    recent = payments.filter(F.col("payment_date") >= F.lit(days_after(as_of, -30)))
+    recent = in_period(payments, start=days_after(as_of, -30))
     daily = recent.groupBy("payment_date").agg(F.sum("amount").cast("double").alias("total"))
     mean = daily.agg(F.avg("total").alias("predicted_amount")).filter(F.col("predicted_amount").isNotNull())
     days = F.sequence(F.lit(days_after(as_of, 1)), F.lit(days_after(as_of, 7)))

@@ -147,13 +147,13 @@ def split_evaluate_select(
         fold = F.floor(_uniform("taxpayer_id", seed + 1) * folds).cast("int")
         validator = CrossValidator(
             estimator=pipeline, estimatorParamMaps=ParamGridBuilder().build(), evaluator=auc, numFolds=folds,
-            foldCol="fold", parallelism=min(folds, 4),
+            foldCol="fold", parallelism=folds,
         )
         validated = validator.fit(weigh(train).withColumn("fold", fold))
         model = validated.bestModel  # refitted on all training rows
         predictions = model.transform(test).cache()
         score = auc.evaluate(predictions)
-        figures.append((name, score, validated.avgMetrics[0], validated.stdMetrics[0]))
+        figures.append((name, float(score), float(validated.avgMetrics[0]), float(validated.stdMetrics[0])))
         rows = _report(predictions, name)
         report = rows if report is None else report.unionByName(rows)
         if score > best_auc:
@@ -183,7 +183,7 @@ def ml_alerts(
     """Alerts for probabilities above the threshold, naming the overdue returns of the last six months."""
 
     def overdue(returns: DataFrame, name: str) -> DataFrame:
-        recent = (F.col("status") == "Overdue") & (F.col("due_date") >= months_before(as_of, 6))
+        recent = (F.col("status") == "Overdue") & (F.col("due_date") >= F.lit(months_before(as_of, 6)))
         return returns.filter(recent).groupBy("taxpayer_id").agg(F.count("return_id").alias(name))
 
     probability = F.col("fraud_probability")

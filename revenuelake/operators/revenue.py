@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from revenuelake import constants as C
-from revenuelake.functions.dates import month_slot, month_start, months_before, quarter_start
+from revenuelake.functions.dates import in_period, month_slot, month_start, months_before, quarter_start
 from revenuelake.functions.ratios import pct_change, ratio
 from revenuelake.operators.staging import stg_payments
 
@@ -161,7 +161,7 @@ def _metric_totals() -> list[Column]:
 
 
 def metric_daily(payments: DataFrame, as_of: dt.date) -> DataFrame:
-    recent = stg_payments(payments).filter(_DAY >= months_before(as_of, 24))
+    recent = stg_payments(in_period(payments, start=months_before(as_of, 24)))
     return _metric_rows(
         recent.groupBy(_DAY.alias("metric_date"), "tax_type").agg(*_metric_totals()), "daily_revenue"
     )
@@ -203,7 +203,7 @@ def year_over_year(*series: str) -> Column:
 
 
 def _trailing_year(as_of: dt.date) -> Column:
-    return (F.col("metric_date") >= months_before(as_of, 12)) & (F.col("metric_date") < F.lit(as_of))
+    return (F.col("metric_date") >= F.lit(months_before(as_of, 12))) & (F.col("metric_date") < F.lit(as_of))
 
 
 def target_share(as_of: dt.date, *series: str) -> Column:

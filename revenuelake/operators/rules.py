@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from revenuelake import constants as C
-from revenuelake.functions.dates import months_before, quarter_slot, quarter_start
+from revenuelake.functions.dates import in_period, months_before, quarter_slot, quarter_start
 from revenuelake.functions.ratios import join_text, one_decimal, pct_change, ratio
 from revenuelake.functions.scores import alert_priority
 from revenuelake.operators.skew import global_row_number, salted_join
@@ -77,12 +77,11 @@ def paye_revenue_mismatch(paye_returns: DataFrame, taxpayers: DataFrame) -> Data
 def payment_anomalies(payments: DataFrame, as_of: dt.date, months: int = 6) -> DataFrame:
     amount = F.col("amount").cast("double")
     return (
-        stg_payments(payments)
-        .filter(F.col("payment_date") >= months_before(as_of, months))
+        stg_payments(in_period(payments, start=months_before(as_of, months)))
         .groupBy("taxpayer_id")
         .agg(
             F.countDistinct("payment_channel").alias("channel_switches"),
-            ratio(F.stddev_samp(amount), F.avg(amount)).alias("payment_variance"),
+            ratio(F.stddev_samp(amount), ratio(F.sum("amount"), F.count("amount"))).alias("payment_variance"),
             F.count_if(~F.hour("created_at").between(8, 18)).alias("odd_hour_payments"),
         )
     )
@@ -219,7 +218,7 @@ def fraud_detection_alerts(
 ) -> DataFrame:
     """All branches with a score of at least 0.4, ranked. ``profile`` is the written 360 table.
 
-    Ties are ordered by taxpayer, type and text, and the rank is computed without a global window.
+    Ties are ordered by taxpayer, type, text and impact, and the rank is computed without a global window.
     """
     branches = [
         alerts_vat_drop(profile, vat_returns),
@@ -234,7 +233,10 @@ def fraud_detection_alerts(
     kept = combined.filter(F.col("fraud_score") >= C.MIN_ALERT_SCORE).withColumn(
         "ranking_score", F.round("fraud_score", 6)
     )
-    order = [F.desc("ranking_score"), F.asc("taxpayer_id"), F.asc("alert_type"), F.asc("alert_description")]
+    order = [
+        F.desc("ranking_score"), F.asc("taxpayer_id"), F.asc("alert_type"), F.asc("alert_description"),
+        F.asc("potential_revenue_impact"),
+    ]
     return global_row_number(kept, order, "alert_id").select(
         "alert_id", "taxpayer_id", "taxpayer_name", "alert_type", "alert_description", "fraud_score",
         alert_priority(F.col("fraud_score")).alias("alert_priority"),

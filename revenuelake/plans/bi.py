@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from revenuelake.functions.dates import days_after, month_start, months_before
+from revenuelake.functions.dates import days_after, in_period, month_start, months_before
 from revenuelake.functions.ratios import ratio
 from revenuelake.functions.scores import priority_rank
 from revenuelake.operators.compliance import join_due_dates
@@ -23,8 +23,8 @@ def _first_of_month(as_of: dt.date) -> Column:
     return F.lit(as_of.replace(day=1))
 
 
-def _year_back(as_of: dt.date) -> Column:
-    return F.trunc(months_before(as_of, 12), "month")
+def _year_back(as_of: dt.date) -> dt.date:
+    return months_before(as_of, 12).replace(day=1)
 
 
 # --- executive revenue ---------------------------------------------------------------
@@ -47,7 +47,7 @@ def bi_latest_month_by_type(metrics: DataFrame) -> DataFrame:
 
 
 def bi_revenue_trend_12m(metrics: DataFrame, as_of: dt.date) -> DataFrame:
-    recent = _metric(metrics, "monthly_revenue").filter(F.col("metric_date") >= _year_back(as_of))
+    recent = _metric(metrics, "monthly_revenue").filter(F.col("metric_date") >= F.lit(_year_back(as_of)))
     return recent.select("metric_date", "tax_type", "revenue_amount").orderBy("metric_date", "tax_type")
 
 
@@ -75,7 +75,7 @@ def bi_target_vs_actual(metrics: DataFrame, as_of: dt.date) -> DataFrame:
 def bi_yoy(metrics: DataFrame, as_of: dt.date) -> DataFrame:
     return (
         _metric(metrics, "yoy_growth")
-        .filter(F.col("metric_date") >= _year_back(as_of))
+        .filter(F.col("metric_date") >= F.lit(_year_back(as_of)))
         .select("tax_type", "metric_date", F.col("revenue_amount").alias("yoy_growth_percentage"))
         .orderBy(F.desc("metric_date"), "tax_type")
     )
@@ -225,9 +225,7 @@ def bi_peer_comparison(profile: DataFrame, taxpayer_id: str, rows: int = 10) ->
 
 
 def bi_revenue_by_sector(payments: DataFrame, taxpayers: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
-    in_range = payments.filter(
-        (F.col("status") == "Completed") & F.col("payment_date").between(F.lit(start), F.lit(end))
-    )
+    in_range = stg_payments(in_period(payments, start=start, until=end))
     sectors = taxpayers.filter(F.col("business_sector").isNotNull()).select("taxpayer_id", "business_sector")
     return (
         taxpayer_totals(in_range, "tax_type")
@@ -257,7 +255,7 @@ def bi_compliance_by_region(profile: DataFrame) -> DataFrame:
 def bi_payment_delays(
     payments: DataFrame, paye_returns: DataFrame, vat_returns: DataFrame, as_of: dt.date
 ) -> DataFrame:
-    recent = stg_payments(payments).filter(F.col("payment_date") >= _year_back(as_of))
+    recent = stg_payments(in_period(payments, start=_year_back(as_of)))
     linked = join_due_dates(
         recent.select("payment_date", "tax_type", "reference_number"), paye_returns, vat_returns
     ).filter(F.col("due_date").isNotNull())
@@ -284,11 +282,10 @@ def bi_forecast_30d(forecasts: DataFrame, as_of: dt.date) -> DataFrame:
 
 def bi_forecast_vs_actual(forecasts: DataFrame, payments: DataFrame, as_of: dt.date) -> DataFrame:
     """Past 30 days. Payments are summed per day and tax type before they meet the forecasts."""
-    start, end = F.lit(days_after(as_of, -30)), F.lit(as_of)
-    past = forecasts.filter((F.col("forecast_date") >= start) & (F.col("forecast_date") < end))
+    start = days_after(as_of, -30)
+    past = forecasts.filter((F.col("forecast_date") >= F.lit(start)) & (F.col("forecast_date") < F.lit(as_of)))
     actual = (
-        stg_payments(payments)
-        .filter((F.col("payment_date") >= start) & (F.col("payment_date") < end))
+        stg_payments(in_period(payments, start=start, before=as_of))
         .groupBy(F.col("payment_date").alias("forecast_date"), "tax_type")
         .agg(F.sum("amount").alias("actual"))
     )

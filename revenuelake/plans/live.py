@@ -7,7 +7,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revenuelake.functions.dates import days_after
+from revenuelake.functions.dates import days_after, in_period
+from revenuelake.functions.ratios import ratio
 from revenuelake.functions.scores import compliance_band
 from revenuelake.operators.revenue import taxpayer_totals
 
@@ -17,15 +18,15 @@ def _total() -> Column:
 
 
 def _last_30_days(payments: DataFrame, as_of: dt.date) -> DataFrame:
-    return payments.filter(F.col("payment_date") >= F.lit(days_after(as_of, -30)))
+    return in_period(payments, start=days_after(as_of, -30))
 
 
 def _within(payments: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
-    return payments.filter(F.col("payment_date").between(F.lit(start), F.lit(end)))
+    return in_period(payments, start=start, until=end)
 
 
 def live_today_collections(payments: DataFrame, as_of: dt.date) -> DataFrame:
-    return payments.filter(F.col("payment_date") == F.lit(as_of)).agg(_total())
+    return in_period(payments, start=as_of, until=as_of).agg(_total())
 
 
 def live_active_alerts(alerts: DataFrame) -> DataFrame:
@@ -111,7 +112,7 @@ def live_channel_analysis(payments: DataFrame, start: dt.date, end: dt.date) ->
         .agg(
             F.count(F.lit(1)).alias("transactions"),
             F.sum("amount").alias("total_amount"),
-            F.avg(F.col("amount").cast("double")).alias("avg_amount"),
+            ratio(F.sum("amount"), F.count("amount")).alias("avg_amount"),
         )
     )
 

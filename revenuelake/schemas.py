@@ -1,13 +1,32 @@
 """Explicit schemas of the input tables; readers never infer types."""
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    ArrayType, BooleanType, DataType, DateType, DecimalType, IntegerType, LongType, StringType, StructField,
+    StructType, TimestampType,
+)
 
+MONEY = "DECIMAL(15,2)"
 
-def _schema(text: str) -> StructType:
-    return StructType.fromDDL(text)
+_TYPES: dict[str, DataType] = {
+    "STRING": StringType(),
+    "INT": IntegerType(),
+    "BIGINT": LongType(),
+    "BOOLEAN": BooleanType(),
+    "DATE": DateType(),
+    "TIMESTAMP": TimestampType(),
+    "DECIMAL(15,2)": DecimalType(15, 2),
+    "DECIMAL(10,2)": DecimalType(10, 2),
+    "DECIMAL(5,2)": DecimalType(5, 2),
+    "DECIMAL(3,2)": DecimalType(3, 2),
+    "ARRAY<STRING>": ArrayType(StringType()),
+}
 
 
-MONEY = "DECIMAL(15,2)"
+def _schema(text: str) -> StructType:
+    """Columns as ``name TYPE`` pairs; needs no session, so workers can import this module too."""
+    words = text.replace(", ", " ").replace(",\n", " ").split()
+    return StructType([StructField(name, _TYPES[kind]) for name, kind in zip(words[::2], words[1::2])])
+
 
 SCHEMAS: dict[str, StructType] = {
     "taxpayers": _schema(

@@ -49,7 +49,10 @@ def read_csv_table(spark: SparkSession, table: str, path: str) -> DataFrame:
 
 
 def read_table(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    """A stored Parquet table; only the columns and rows a query needs are read."""
+    """A stored Parquet table; only the columns and rows a query needs are read.
+
+    Payments keep their folder column ``payment_month``, which date filters use to skip folders.
+    """
     return spark.read.schema(SCHEMAS[table]).parquet(f"{folder.rstrip('/')}/{table}")
 
 

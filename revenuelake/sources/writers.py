@@ -35,7 +35,7 @@ def overwrite_table(df: DataFrame, path: str, partition_by: Sequence[str] = ())
 
 
 def write_payments(payments: DataFrame, path: str) -> None:
-    """The fact table, one folder per payment month, so date filters skip whole months."""
+    """The fact table, one folder per payment month; ``in_period`` skips the folders it does not need."""
     by_month = payments.withColumn("payment_month", F.date_format("payment_date", "yyyy-MM"))
     overwrite_table(by_month, path, ["payment_month"])
 
