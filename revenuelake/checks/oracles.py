@@ -24,7 +24,7 @@ BETWEEN = f"BETWEEN DATE '{RANGE[0]}' AND DATE '{RANGE[1]}'"
 
 def num(expression: str) -> str:
     """A number as the queries report it: double with four places."""
-    return f"round(cast({expression} AS double), 4)"
+    return f"floor(cast({expression} AS double) * 1e4 + 0.5) / 1e4"
 
 
 def text1(expression: str) -> str:
@@ -505,9 +505,9 @@ WHERE metric_type = 'monthly_revenue' AND metric_date = (SELECT max(metric_date)
     "bi_channel_distribution": f"""SELECT payment_channel, {num('sum(revenue_amount)')} AS total_revenue, count(DISTINCT unique_taxpayers) AS distinct_payer_counts,
   {num(f"sum(revenue_amount) / (SELECT sum(revenue_amount) FROM t_metrics WHERE metric_type = 'channel_revenue' AND metric_date = {MONTH}) * 100")} AS percentage
 FROM t_metrics WHERE metric_type = 'channel_revenue' AND metric_date = {MONTH} GROUP BY payment_channel""",
-    "bi_alerts_by_priority": f"SELECT alert_priority, count(*) AS alert_count, {num('avg(fraud_score)')} AS avg_risk_score, {num('sum(potential_revenue_impact)')} AS total_impact FROM t_alerts GROUP BY 1",
+    "bi_alerts_by_priority": f"SELECT alert_priority, count(*) AS alert_count, {num('avg(fraud_score)')} AS avg_risk_score, {num('sum(potential_revenue_impact::decimal(28,6))')} AS total_impact FROM t_alerts GROUP BY 1",
     "bi_top20_risk": f"SELECT taxpayer_name, alert_type, {num('fraud_score')} AS fraud_score, {num('potential_revenue_impact')} AS potential_revenue_impact, recommended_action FROM t_alerts ORDER BY alert_id LIMIT 20",
-    "bi_alerts_by_type": f"SELECT alert_type, count(*) AS count, {num('avg(fraud_score)')} AS avg_score, {num('sum(potential_revenue_impact)')} AS total_impact FROM t_alerts GROUP BY 1",
+    "bi_alerts_by_type": f"SELECT alert_type, count(*) AS count, {num('avg(fraud_score)')} AS avg_score, {num('sum(potential_revenue_impact::decimal(28,6))')} AS total_impact FROM t_alerts GROUP BY 1",
     "bi_risk_by_sector": f"""SELECT t.business_sector, count(DISTINCT t.taxpayer_id) AS total_taxpayers, count(DISTINCT a.taxpayer_id) AS flagged_taxpayers,
   {num('count(DISTINCT a.taxpayer_id)::double / count(DISTINCT t.taxpayer_id) * 100')} AS risk_percentage
 FROM taxpayers t LEFT JOIN t_alerts a ON a.taxpayer_id = t.taxpayer_id WHERE t.business_sector IS NOT NULL GROUP BY 1""",

@@ -8,7 +8,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revenuelake.functions.scores import engagement_score, fraud_band, risk_category, size_category
@@ -31,14 +31,22 @@ Query = Callable[[DerivedTables], DataFrame]
 
 
 def comparable(df: DataFrame) -> DataFrame:
-    """Decimals as doubles, doubles to four places, timestamps without zone as plain timestamps."""
+    """Decimals as doubles, doubles to four places, timestamps without zone as plain timestamps.
+
+    The two engines' ``round`` differ on values a hair below a tie, so the places are cut with arithmetic
+    that both do alike.
+    """
+
+    def places(value: Column) -> Column:
+        return F.floor(value * 1e4 + 0.5) / 1e4
+
     columns = []
     for field in df.schema.fields:
         column, kind = F.col(f"`{field.name}`"), field.dataType.typeName()
         if kind == "decimal":
-            column = F.round(column.cast("double"), 4)
+            column = places(column.cast("double"))
         elif kind == "double":
-            column = F.round(column, 4)
+            column = places(column)
         elif kind == "timestamp_ntz":
             column = column.cast("timestamp")
         columns.append(column.alias(field.name))

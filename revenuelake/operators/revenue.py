@@ -12,7 +12,8 @@ from revenuelake.functions.dates import in_period, month_slot, month_start, mont
 from revenuelake.functions.ratios import pct_change, ratio
 from revenuelake.operators.staging import stg_payments
 
-_DAY = F.col("payment_date")
+def _day() -> Column:
+    return F.col("payment_date")
 
 
 def _totals(amount: str) -> list[Column]:
@@ -38,7 +39,7 @@ def revenue_daily(payments: DataFrame) -> DataFrame:
 
 
 def revenue_monthly(payments: DataFrame) -> DataFrame:
-    return stg_payments(payments).groupBy(month_start(_DAY).alias("revenue_month"), "tax_type").agg(
+    return stg_payments(payments).groupBy(month_start(_day()).alias("revenue_month"), "tax_type").agg(
         *_totals("monthly_amount"),
         F.count(F.lit(1)).alias("transaction_count"),
         ratio(F.sum("amount"), F.count("amount")).alias("avg_payment_amount"),
@@ -46,7 +47,7 @@ def revenue_monthly(payments: DataFrame) -> DataFrame:
 
 
 def revenue_regional(payments: DataFrame, taxpayers: DataFrame) -> DataFrame:
-    per_taxpayer = taxpayer_totals(stg_payments(payments), month_start(_DAY).alias("revenue_month"), "tax_type")
+    per_taxpayer = taxpayer_totals(stg_payments(payments), month_start(_day()).alias("revenue_month"), "tax_type")
     return (
         per_taxpayer.join(taxpayers.select("taxpayer_id", "region", "district"), "taxpayer_id")
         .groupBy("region", "district", "tax_type", "revenue_month")
@@ -55,7 +56,7 @@ def revenue_regional(payments: DataFrame, taxpayers: DataFrame) -> DataFrame:
 
 
 def revenue_sector(payments: DataFrame, taxpayers: DataFrame) -> DataFrame:
-    per_taxpayer = taxpayer_totals(stg_payments(payments), quarter_start(_DAY).alias("revenue_quarter"), "tax_type")
+    per_taxpayer = taxpayer_totals(stg_payments(payments), quarter_start(_day()).alias("revenue_quarter"), "tax_type")
     sectors = taxpayers.filter(F.col("business_sector").isNotNull()).select(
         "taxpayer_id", "business_sector", "business_subsector"
     )
@@ -94,7 +95,7 @@ def revenue_aggregations(payments: DataFrame, taxpayers: DataFrame) -> DataFrame
         "taxpayer_id", "region", "district", "business_sector", "business_subsector", F.lit(True).alias("known")
     )
     joined = (
-        taxpayer_totals(stg_payments(payments), month_start(_DAY).alias("revenue_month"), "tax_type")
+        taxpayer_totals(stg_payments(payments), month_start(_day()).alias("revenue_month"), "tax_type")
         .join(profile, "taxpayer_id", "left")
         .withColumn("revenue_quarter", quarter_start(month))
     )
@@ -163,17 +164,17 @@ def _metric_totals() -> list[Column]:
 def metric_daily(payments: DataFrame, as_of: dt.date) -> DataFrame:
     recent = stg_payments(in_period(payments, start=months_before(as_of, 24)))
     return _metric_rows(
-        recent.groupBy(_DAY.alias("metric_date"), "tax_type").agg(*_metric_totals()), "daily_revenue"
+        recent.groupBy(_day().alias("metric_date"), "tax_type").agg(*_metric_totals()), "daily_revenue"
     )
 
 
 def metric_monthly(payments: DataFrame) -> DataFrame:
-    grouped = stg_payments(payments).groupBy(month_start(_DAY).alias("metric_date"), "tax_type")
+    grouped = stg_payments(payments).groupBy(month_start(_day()).alias("metric_date"), "tax_type")
     return _metric_rows(grouped.agg(*_metric_totals()), "monthly_revenue")
 
 
 def metric_regional(payments: DataFrame, taxpayers: DataFrame) -> DataFrame:
-    per_taxpayer = taxpayer_totals(stg_payments(payments), month_start(_DAY).alias("metric_date"), "tax_type")
+    per_taxpayer = taxpayer_totals(stg_payments(payments), month_start(_day()).alias("metric_date"), "tax_type")
     regional = (
         per_taxpayer.join(taxpayers.select("taxpayer_id", "region"), "taxpayer_id")
         .groupBy("metric_date", "tax_type", "region")
@@ -183,7 +184,7 @@ def metric_regional(payments: DataFrame, taxpayers: DataFrame) -> DataFrame:
 
 
 def metric_channel(payments: DataFrame) -> DataFrame:
-    grouped = stg_payments(payments).groupBy(month_start(_DAY).alias("metric_date"), "tax_type", "payment_channel")
+    grouped = stg_payments(payments).groupBy(month_start(_day()).alias("metric_date"), "tax_type", "payment_channel")
     return _metric_rows(grouped.agg(*_metric_totals()), "channel_revenue")
 
 
@@ -218,7 +219,7 @@ def target_share(as_of: dt.date, *series: str) -> Column:
 def _monthly_series(payments: DataFrame) -> DataFrame:
     return (
         stg_payments(payments)
-        .groupBy(month_start(_DAY).alias("metric_date"), "tax_type")
+        .groupBy(month_start(_day()).alias("metric_date"), "tax_type")
         .agg(F.sum("amount").alias("revenue_amount"))
     )
 
@@ -257,7 +258,7 @@ def revenue_dashboard_metrics(payments: DataFrame, taxpayers: DataFrame, as_of:
     running total, growth and target of a month are added to it as columns before they are unfolded.
     """
     per_taxpayer = taxpayer_totals(
-        stg_payments(payments), month_start(_DAY).alias("metric_date"), "tax_type", "payment_channel"
+        stg_payments(payments), month_start(_day()).alias("metric_date"), "tax_type", "payment_channel"
     )
     joined = per_taxpayer.join(
         taxpayers.select("taxpayer_id", "region", F.lit(True).alias("known")), "taxpayer_id", "left"
@@ -326,7 +327,7 @@ def revenue_dashboard_simple(payments: DataFrame, taxpayers: DataFrame) -> DataF
 
 def revenue_summary(payments: DataFrame, taxpayers: DataFrame) -> DataFrame:
     """Day, tax type, channel and region over payments of every status."""
-    per_taxpayer = taxpayer_totals(payments, _DAY.alias("date"), "tax_type", "payment_channel")
+    per_taxpayer = taxpayer_totals(payments, _day().alias("date"), "tax_type", "payment_channel")
     return (
         per_taxpayer.join(taxpayers.select("taxpayer_id", "region"), "taxpayer_id")
         .groupBy("date", "tax_type", "payment_channel", "region")

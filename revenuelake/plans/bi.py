@@ -99,6 +99,11 @@ def bi_channel_distribution(metrics: DataFrame, as_of: dt.date) -> DataFrame:
 # --- fraud ------------------------------------------------------------------------------
 
 
+def _exact_sum(name: str) -> Column:
+    """Sum in decimals, so that it does not depend on the order in which rows arrive."""
+    return F.sum(F.col(name).cast("decimal(28,6)"))
+
+
 def _open(alerts: DataFrame) -> DataFrame:
     return alerts.filter(F.col("status") == "Open")
 
@@ -110,7 +115,7 @@ def bi_alerts_by_priority(alerts: DataFrame) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("alert_count"),
             F.avg("fraud_score").alias("avg_risk_score"),
-            F.sum("potential_revenue_impact").alias("total_impact"),
+            _exact_sum("potential_revenue_impact").alias("total_impact"),
         )
         .orderBy(priority_rank(F.col("alert_priority")))
     )
@@ -133,7 +138,7 @@ def bi_alerts_by_type(alerts: DataFrame) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("count"),
             F.avg("fraud_score").alias("avg_score"),
-            F.sum("potential_revenue_impact").alias("total_impact"),
+            _exact_sum("potential_revenue_impact").alias("total_impact"),
         )
         .orderBy(F.desc("count"), "alert_type")
     )
