@@ -372,7 +372,7 @@ def _checks() -> str:
     for table, column, accepted in ACCEPTED_VALUES:
         if table != "corporate_tax":
             values = ", ".join(f"'{v}'" for v in accepted)
-            rows.append(("accepted_values", table, column, f"SELECT count(DISTINCT {column}) FROM {table} WHERE {column} NOT IN ({values})"))
+            rows.append(("accepted_values", table, column, f"SELECT count(*) FROM {table} WHERE {column} NOT IN ({values})"))
     return "\nUNION ALL ".join(
         f"SELECT '{check}' AS \"check\", '{table}' AS \"table\", '{column}' AS \"column\", ({count}) AS failures"
         for check, table, column, count in rows

@@ -68,31 +68,50 @@ NOT_NULL = [
 RELATIONSHIPS = [("paye_returns", "taxpayer_id"), ("vat_returns", "taxpayer_id")]
 
 
+def _row_checks(table: str, df: DataFrame) -> DataFrame | None:
+    """The checks that look at single rows, counted in one pass over the table."""
+    nulls = [("not_null", column, F.col(column).isNull()) for name, column in NOT_NULL if name == table]
+    lists = [
+        ("accepted_values", column, ~F.col(column).isin(accepted))
+        for name, column, accepted in ACCEPTED_VALUES
+        if name == table
+    ]
+    checks = nulls + lists
+    if not checks:
+        return None
+    counts = df.agg(*[F.count_if(condition).alias(f"c{i}") for i, (_, _, condition) in enumerate(checks)])
+    entries = [
+        F.struct(F.lit(check).alias("check"), F.lit(column).alias("column"), F.col(f"c{i}").alias("failures"))
+        for i, (check, column, _) in enumerate(checks)
+    ]
+    return counts.select(F.inline(F.array(*entries)))
+
+
 def dq_report(tables: dict[str, DataFrame]) -> DataFrame:
-    """Failing rows per declared check over the given tables: check, table, column, failures."""
-    results = []
-
-    def add(check: str, table: str, column: str, offending: DataFrame) -> None:
-        counted = offending.agg(F.count(F.lit(1)).alias("failures"))
-        results.append(
-            counted.select(
-                F.lit(check).alias("check"), F.lit(table).alias("table"), F.lit(column).alias("column"), "failures"
-            )
+    """Failures per declared check over the given tables: check, table, column, failures.
+
+    Row checks count rows, key checks count repeated keys, relationship checks count orphans.
+    """
+    results: list[DataFrame] = []
+
+    def add(table: str, found: DataFrame | None) -> None:
+        if found is not None:
+            results.append(found.select("check", F.lit(table).alias("table"), "column", "failures"))
+
+    def counted(check: str, column: str, offending: DataFrame) -> DataFrame:
+        return offending.agg(F.count(F.lit(1)).alias("failures")).select(
+            F.lit(check).alias("check"), F.lit(column).alias("column"), "failures"
         )
 
+    for table, df in tables.items():
+        add(table, _row_checks(table, df))
     for table, column in UNIQUE:
         if table in tables:
-            add("unique", table, column, dq_unique(tables[table], [column]))
-    for table, column in NOT_NULL:
-        if table in tables:
-            add("not_null", table, column, dq_not_null(tables[table], column))
+            add(table, counted("unique", column, dq_unique(tables[table], [column])))
     for table, column in RELATIONSHIPS:
         if table in tables and "taxpayers" in tables:
             orphans = dq_relationships(tables[table], column, tables["taxpayers"], "taxpayer_id")
-            add("relationships", table, column, orphans)
-    for table, column, accepted in ACCEPTED_VALUES:
-        if table in tables:
-            add("accepted_values", table, column, dq_accepted_values(tables[table], column, accepted))
+            add(table, counted("relationships", column, orphans))
     report = results[0]
     for result in results[1:]:
         report = report.unionByName(result)

@@ -7,10 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from revenuelake.session import shared_dir
+from revenuelake.session import materialize
 
 DEFAULT_SALTS = 16
-DEFAULT_BUCKETS = 200
+DEFAULT_MARGINS = (0.05, 0.01, 0.002)
 
 
 def salted_join(
@@ -38,25 +38,28 @@ def exact_quantile(
     value: str,
     q: float,
     out: str = "threshold",
-    buckets: int = DEFAULT_BUCKETS,
+    margins: Sequence[float] = DEFAULT_MARGINS,
 ) -> DataFrame:
     """Exact quantile with linear interpolation per group, without a task that holds a whole group.
 
-    Equal values are counted first. Approximate cut points split each group into value ranges, the
-    range counts locate the wanted ranks, and only the one or two ranges that contain them are
-    ordered. The approximation decides how the work is split, never the result.
+    Equal values are counted first. Approximate cut points around ``q`` split each group into value
+    ranges, the exact counts of the ranges locate the wanted ranks, and only the one or two ranges that
+    contain them are ordered: with the default margins a few thousandths of a large group. The
+    approximation decides how the work is split, never the result.
     """
     by = list(by)
-    counted = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
-    cuts = [i / buckets for i in range(1, buckets)]
-    groups = counted.groupBy(*by).agg(
-        F.percentile_approx(value, cuts, 10_000).alias("_cuts"), F.sum("_n").alias("_rows")
+    known = df.filter(F.col(value).isNotNull()).select(*by, value)
+    cuts = sorted({min(max(q + side * m, 0.0), 1.0) for m in margins for side in (-1, 1)})
+    groups = known.groupBy(*by).agg(
+        F.percentile_approx(value, cuts, 2_000).alias("_cuts"), F.count(F.lit(1)).alias("_rows")
     )
+    counted = known.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
     if by:
         placed = salted_join(counted, groups, by, [value])
     else:
         placed = counted.crossJoin(F.broadcast(groups))  # one row: the aggregate has no grouping key
-    placed = placed.withColumn("_bucket", F.size(F.filter("_cuts", lambda cut: cut < F.col(value)))).drop("_cuts")
+    above = [(F.col("_cuts")[i] < F.col(value)).cast("int") for i in range(len(cuts))]
+    placed = placed.withColumn("_bucket", sum(above[1:], above[0])).drop("_cuts")
 
     position = F.lit(q) * (F.col("_rows") - 1)
     low, high = F.floor(position), F.ceil(position)
@@ -89,16 +92,15 @@ def global_row_number(df: DataFrame, order: Sequence[Column], out: str, partitio
     """Consecutive numbers in a total order, without a window over one partition.
 
     Rows are range-partitioned and sorted; each row's generated id holds its partition and its place in
-    it. The checkpoint fixes both, and the counts of earlier partitions are added.
+    it. Writing the rows fixes both, and the counts of earlier partitions are added.
     """
     spark = df.sparkSession
-    shared_dir(spark)
     partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = (
+    ordered = materialize(
         df.repartitionByRange(partitions, *order)
         .sortWithinPartitions(*order)
-        .withColumn("_id", F.monotonically_increasing_id())
-        .checkpoint()
+        .withColumn("_id", F.monotonically_increasing_id()),
+        "ranked",
     )
     bits = 33  # monotonically_increasing_id keeps the row's place in the low 33 bits
     part = F.shiftright("_id", bits)

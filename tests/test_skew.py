@@ -22,14 +22,14 @@ relaxed = settings(max_examples=8, deadline=None, suppress_health_check=list(Hea
 @given(
     values=st.lists(st.tuples(st.sampled_from(["hot", "hot", "hot", "cold"]), st.integers(-50, 50)), min_size=1, max_size=60),
     q=st.sampled_from([0.0, 0.05, 0.5, 0.95, 1.0]),
-    buckets=st.sampled_from([2, 5, 200]),
+    margins=st.sampled_from([(0.3,), (0.05, 0.01, 0.002), (0.0,)]),
 )
-def test_exact_quantile(spark, values, q, buckets):
+def test_exact_quantile(spark, values, q, margins):
     df = spark.createDataFrame(values, "k string, v int")
-    got = {r["k"]: r["threshold"] for r in exact_quantile(df, ["k"], "v", q, buckets=buckets).collect()}
+    got = {r["k"]: r["threshold"] for r in exact_quantile(df, ["k"], "v", q, margins=margins).collect()}
     expected = pd.DataFrame(values, columns=["k", "v"]).groupby("k")["v"].quantile(q).to_dict()
     assert got == pytest.approx(expected)
-    (whole,) = exact_quantile(df, [], "v", q, buckets=buckets).collect()
+    (whole,) = exact_quantile(df, [], "v", q, margins=margins).collect()
     assert whole["threshold"] == pytest.approx(np.quantile([v for _, v in values], q))
 
 
