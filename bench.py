@@ -70,7 +70,9 @@ class Store:
         overwrite_table(rule_alerts(self, self.profile), f"{self.root}/alerts")
 
     def __getattr__(self, name: str):
-        return self.spark.read.parquet(f"{self.root}/{name}")
+        frame = self.spark.read.parquet(f"{self.root}/{name}")
+        self.__dict__[name] = frame  # later uses skip the look at the file footers
+        return frame
 
     def get(self, name: str):
         return getattr(self, name)

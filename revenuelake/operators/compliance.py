@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from revenuelake import constants as C
 from revenuelake.functions.ratios import ratio, zero_if_null
+from revenuelake.operators.skew import heavy_keys_in_sample, split_join
 from revenuelake.operators.staging import stg_paye_returns, stg_payments, stg_vat_returns
 
 
@@ -41,13 +42,15 @@ def return_due_dates(paye_returns: DataFrame, vat_returns: DataFrame) -> DataFra
 
 
 def join_due_dates(payments: DataFrame, paye_returns: DataFrame, vat_returns: DataFrame) -> DataFrame:
-    """Payments that refer to a return, with its due date.
+    """Payments that refer to a return, with its due date; expects ``payment_id``.
 
-    Payments without a reference are dropped before the shuffle, where they would all meet in one task.
-    The right side has one row per key, so adaptive execution can split an overfull reference.
+    Payments without a reference are dropped before the shuffle, where they would all meet in one task. A
+    reference shared by very many payments, such as a placeholder, is kept out of the shuffle.
     """
     due = return_due_dates(paye_returns, vat_returns).withColumnRenamed("return_id", "reference_number")
-    return payments.filter(F.col("reference_number").isNotNull()).join(due, "reference_number")
+    referring = payments.filter(F.col("reference_number").isNotNull())
+    heavy = heavy_keys_in_sample(referring, ["reference_number"], "payment_id")
+    return split_join(referring, due, ["reference_number"], heavy)
 
 
 def payment_behavior(payments: DataFrame, paye_returns: DataFrame, vat_returns: DataFrame) -> DataFrame:
@@ -64,7 +67,9 @@ def payment_behavior(payments: DataFrame, paye_returns: DataFrame, vat_returns:
         )
     )
     on_time = (
-        join_due_dates(completed.select("taxpayer_id", "payment_date", "reference_number"), paye_returns, vat_returns)
+        join_due_dates(
+            completed.select("payment_id", "taxpayer_id", "payment_date", "reference_number"), paye_returns, vat_returns
+        )
         .filter(F.col("payment_date") <= F.col("due_date"))
         .groupBy("taxpayer_id")
         .agg(F.count(F.lit(1)).alias("on_time_payments"))

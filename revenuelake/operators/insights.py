@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from revenuelake import constants as C
 from revenuelake.functions.dates import days_after, in_period
 from revenuelake.functions.ratios import pct_change
-from revenuelake.operators.skew import exact_quantile, salted_join
+from revenuelake.operators.skew import exact_quantile, heavy_keys, salted_join, split_join
 
 _COPY = ["tx_date", "taxpayer_id", "amount", "tax_type"]
 
@@ -35,11 +35,9 @@ def validate_transactions(transactions: DataFrame) -> DataFrame:
         salted_join(combos, limits, ["tx_date", "tax_type"], ["taxpayer_id", "amount"], how="left")
         .select(*_COPY, status.alias("validation_status"), (F.col("copies") > 1).alias("is_duplicate"))
         .filter(F.col("validation_status") != C.VALID)
-        .withColumnsRenamed({name: f"found_{name}" for name in _COPY})
     )
-    # Only flagged combinations take part; one row per key, so an overfull key can be split.
-    same = [F.col(name).eqNullSafe(F.col(f"found_{name}")) for name in _COPY]
-    marked = dated.join(checked, same, "left").select(
+    # Only flagged combinations take part. Those with very many copies are joined without a shuffle.
+    marked = split_join(dated, checked, _COPY, heavy_keys(combos, _COPY, "copies"), "left").select(
         *dated.columns,
         F.coalesce("validation_status", F.lit(C.VALID)).alias("validation_status"),
         F.coalesce("is_duplicate", F.lit(False)).alias("is_duplicate"),

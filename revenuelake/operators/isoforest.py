@@ -58,13 +58,22 @@ def _grow(sample: np.ndarray, rng: np.random.Generator) -> list[tuple]:
     return nodes
 
 
-def grow_trees(featured: DataFrame, columns: Sequence[str], key: str, trees: int = TREES, seed: int = 42) -> DataFrame:
-    """One row per tree node. The draws depend on the key's hash only, so a repeated task draws the same."""
+def grow_trees(
+    featured: DataFrame, columns: Sequence[str], key: str, rows: int, trees: int = TREES, seed: int = 42
+) -> DataFrame:
+    """One row per tree node. ``rows`` is the number of rows in the pool.
+
+    The draws depend on the key's hash only, so a repeated task draws the same. Twice the rows a tree
+    needs are let through to the ranking that picks its sample.
+    """
     columns = list(columns)
     pool = featured.select(key, *columns).orderBy(F.xxhash64(F.lit(seed), key), key).limit(POOL_ROWS)
-    draw = Window.partitionBy("tree").orderBy(F.xxhash64("tree", key), key)
+    lot = F.pmod(F.xxhash64("tree", key), F.lit(1_000_003))
+    draw = Window.partitionBy("tree").orderBy("lot", key)
     samples = (
         pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+        .withColumn("lot", lot)
+        .filter(F.col("lot") <= 1_000_003 * min(1.0, 2 * SAMPLE_ROWS / max(rows, 1)))
         .withColumn("place", F.row_number().over(draw))
         .filter(F.col("place") <= SAMPLE_ROWS)
     )
@@ -86,14 +95,14 @@ def isolation_scores(
 ) -> DataFrame:
     """Add ``anomaly_score`` in [-1, 0); the lower, the more anomalous."""
     columns = list(columns)
+    rows = featured.limit(POOL_ROWS).count()
     # At most trees x 511 nodes whatever the size of the data, so the model may pass through the driver.
-    nodes = grow_trees(featured, columns, key, trees, seed).toPandas().sort_values(["tree", "node"])
+    nodes = grow_trees(featured, columns, key, rows, trees, seed).toPandas().sort_values(["tree", "node"])
     forest = [
         tuple(group[name].to_numpy() for name in ("feature", "threshold", "left", "right", "path"))
         for _, group in nodes.groupby("tree")
     ]
-    sampled = featured.limit(SAMPLE_ROWS).count()  # rows a tree could draw
-    norm = max(average_path(sampled), 1.0)
+    norm = max(average_path(min(rows, SAMPLE_ROWS)), 1.0)
     shared = featured.sparkSession.sparkContext.broadcast((forest, norm))
 
     @F.pandas_udf(DoubleType())

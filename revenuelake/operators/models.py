@@ -151,13 +151,14 @@ def split_evaluate_select(
         )
         validated = validator.fit(weigh(train).withColumn("fold", fold))
         model = validated.bestModel  # refitted on all training rows
-        predictions = model.transform(test).cache()
+        predictions = model.transform(test)
         score = auc.evaluate(predictions)
         figures.append((name, float(score), float(validated.avgMetrics[0]), float(validated.stdMetrics[0])))
         rows = _report(predictions, name)
         report = rows if report is None else report.unionByName(rows)
         if score > best_auc:
             best, best_auc = model, score
+    train.unpersist()
     summary = spark.createDataFrame(figures, "model string, roc_auc double, cv_mean double, cv_std double")
     return best, summary.join(report, "model").withColumn("selected", F.col("roc_auc") == F.lit(best_auc))
 

@@ -40,6 +40,12 @@ def dq_relationships(child: DataFrame, column: str, parent: DataFrame, parent_co
     return child.filter(F.col(column).isNotNull()).join(known, column, "left_anti")
 
 
+def dq_orphan_keys(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
+    """Keys missing in the parent table with their row counts; a busy key is one row before the join."""
+    counted = child.groupBy(column).agg(F.count(F.lit(1)).alias("n_records"))
+    return dq_relationships(counted, column, parent, parent_column)
+
+
 def dq_accepted_values(df: DataFrame, column: str, accepted: Sequence[str]) -> DataFrame:
     """Values outside the accepted list with their row counts; NULL is accepted, as in a CHECK."""
     return (
@@ -110,8 +116,9 @@ def dq_report(tables: dict[str, DataFrame]) -> DataFrame:
             add(table, counted("unique", column, dq_unique(tables[table], [column])))
     for table, column in RELATIONSHIPS:
         if table in tables and "taxpayers" in tables:
-            orphans = dq_relationships(tables[table], column, tables["taxpayers"], "taxpayer_id")
-            add(table, counted("relationships", column, orphans))
+            orphans = dq_orphan_keys(tables[table], column, tables["taxpayers"], "taxpayer_id")
+            failures = F.coalesce(F.sum("n_records"), F.lit(0)).alias("failures")
+            add(table, orphans.agg(failures).select(F.lit("relationships").alias("check"), F.lit(column).alias("column"), "failures"))
     report = results[0]
     for result in results[1:]:
         report = report.unionByName(result)

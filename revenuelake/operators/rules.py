@@ -11,7 +11,7 @@ from revenuelake import constants as C
 from revenuelake.functions.dates import in_period, months_before, quarter_slot, quarter_start
 from revenuelake.functions.ratios import join_text, one_decimal, pct_change, ratio
 from revenuelake.functions.scores import alert_priority
-from revenuelake.operators.skew import global_row_number, salted_join
+from revenuelake.operators.skew import global_row_number, heavy_keys_in_sample, salted_join, split_join
 from revenuelake.operators.staging import stg_payments
 
 
@@ -246,13 +246,17 @@ def fraud_detection_alerts(
     )
 
 
+def join_owner(alerts: DataFrame, owner: DataFrame) -> DataFrame:
+    """Alerts with the columns of their taxpayer; one with very many alerts is kept out of the shuffle."""
+    heavy = heavy_keys_in_sample(alerts, ["taxpayer_id"], "alert_id")
+    return split_join(alerts.filter(F.col("taxpayer_id").isNotNull()), owner, ["taxpayer_id"], heavy)
+
+
 def fraud_alerts_enriched(alerts: DataFrame, taxpayers: DataFrame) -> DataFrame:
     """Open stored alerts with their taxpayer and a priority."""
     owner = taxpayers.select("taxpayer_id", F.col("name").alias("taxpayer_name"), "business_sector", "region")
-    return (
-        alerts.filter(F.col("status") == "Open")
-        .join(owner, "taxpayer_id")
-        .withColumn("alert_priority", alert_priority(F.col("risk_score")))
+    return join_owner(alerts.filter(F.col("status") == "Open"), owner).withColumn(
+        "alert_priority", alert_priority(F.col("risk_score"))
     )
 
 

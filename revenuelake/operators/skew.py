@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from revenuelake.session import materialize
 
-DEFAULT_SALTS = 16
+MAX_SALTS = 512
+HEAVY_SHARE = 1000  # a key is heavy when it holds more than one thousandth of the rows
 DEFAULT_MARGINS = (0.05, 0.01, 0.002)
 
 
@@ -19,19 +20,64 @@ def salted_join(
     on: Sequence[str],
     spread: Sequence[str],
     how: str = "inner",
-    salts: int = DEFAULT_SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
     """Join rows to per-group figures when there are few groups and some are very large.
 
     ``small`` (one row per group) is repeated once per salt and ``big`` takes its salt from a hash of
-    ``spread``, so a group is shared by ``salts`` tasks without any assumption about its size. When
-    ``small`` turns out to be tiny, adaptive execution still changes the join to a broadcast.
+    ``spread``, so a group is shared by ``salts`` tasks (by default as many as there are shuffle
+    partitions) without any assumption about its size. When ``small`` turns out to be tiny, adaptive
+    execution still changes the join to a broadcast.
     """
+    salts = salts or min(int(big.sparkSession.conf.get("spark.sql.shuffle.partitions")), MAX_SALTS)
     copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     salted = big.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")
 
 
+def _above_share(counts: DataFrame, keys: Sequence[str], weight: str) -> DataFrame:
+    """Keys with more than one thousandth of the total weight; there can be fewer than a thousand."""
+    total = counts.agg(F.sum(weight).alias("_total"))  # one row
+    return (
+        counts.crossJoin(F.broadcast(total)).filter(F.col(weight) * HEAVY_SHARE > F.col("_total")).select(*keys)
+    )
+
+
+def heavy_keys(weights: DataFrame, keys: Sequence[str], weight: str) -> DataFrame:
+    """Heavy keys from known row counts (``weights`` has one row per key)."""
+    return _above_share(weights, keys, weight)
+
+
+def heavy_keys_in_sample(df: DataFrame, keys: Sequence[str], row_id: str) -> DataFrame:
+    """Heavy keys of about a thousandth of the rows, chosen by the hash of their id.
+
+    The choice depends on the data alone, so every use of the result sees the same keys. A heavy key the
+    sample misses is only joined the ordinary way.
+    """
+    sample = df.filter(F.pmod(F.xxhash64(row_id), F.lit(1024)) == 0)
+    counts = sample.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return _above_share(counts, keys, "_n")
+
+
+def split_join(left: DataFrame, right: DataFrame, keys: Sequence[str], heavy: DataFrame, how: str = "inner") -> DataFrame:
+    """Join to a side with one row per key, keeping heavy keys out of the shuffle.
+
+    ``heavy`` holds fewer than a thousand keys, and ``right`` has one row for each, so the rows of heavy
+    keys are joined by broadcast where they lie. All other rows are shuffled, none of their keys being
+    large. Every row takes exactly one of the two ways. NULL keys match each other.
+    """
+
+    def matches(df: DataFrame, other: DataFrame, kind: str) -> DataFrame:
+        renamed = other.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+        same = [df[k].eqNullSafe(renamed[f"_r_{k}"]) for k in keys]
+        return df.join(renamed, same, kind).drop(*[f"_r_{k}" for k in keys])
+
+    few = F.broadcast(heavy)
+    few_right = F.broadcast(matches(right, few, "left_semi"))
+    ordinary = matches(matches(left, few, "left_anti"), right, how)
+    return matches(matches(left, few, "left_semi"), few_right, how).unionByName(ordinary)
+
+
 def exact_quantile(
     df: DataFrame,
     by: Sequence[str],

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from revenuelake.functions.dates import days_after, in_period, month_start, months_before
 from revenuelake.functions.ratios import ratio
 from revenuelake.functions.scores import priority_rank
-from revenuelake.operators.compliance import join_due_dates
+from revenuelake.operators.compliance import return_due_dates
 from revenuelake.operators.revenue import taxpayer_totals
 from revenuelake.operators.staging import stg_payments
 
@@ -260,16 +260,19 @@ def bi_compliance_by_region(profile: DataFrame) -> DataFrame:
 def bi_payment_delays(
     payments: DataFrame, paye_returns: DataFrame, vat_returns: DataFrame, as_of: dt.date
 ) -> DataFrame:
+    """Payments are counted per day, tax type and reference before they are joined to the due dates."""
     recent = stg_payments(in_period(payments, start=_year_back(as_of)))
-    linked = join_due_dates(
-        recent.select("payment_date", "tax_type", "reference_number"), paye_returns, vat_returns
-    ).filter(F.col("due_date").isNotNull())
+    counted = (
+        recent.filter(F.col("reference_number").isNotNull())
+        .groupBy("reference_number", "payment_date", "tax_type")
+        .agg(F.count(F.lit(1)).alias("payments"))
+    )
+    due = return_due_dates(paye_returns, vat_returns).filter(F.col("due_date").isNotNull())
+    linked = counted.join(due, F.col("reference_number") == F.col("return_id"))
+    days = F.sum(F.datediff("payment_date", "due_date") * F.col("payments"))
     return (
         linked.groupBy(month_start(F.col("payment_date")).alias("month"), "tax_type")
-        .agg(
-            F.avg(F.datediff("payment_date", "due_date")).alias("avg_delay_days"),
-            F.count(F.lit(1)).alias("payment_count"),
-        )
+        .agg(ratio(days, F.sum("payments")).alias("avg_delay_days"), F.sum("payments").alias("payment_count"))
         .orderBy(F.desc("month"), "tax_type")
     )
 

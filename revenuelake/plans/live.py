@@ -11,6 +11,7 @@ from revenuelake.functions.dates import days_after, in_period
 from revenuelake.functions.ratios import ratio
 from revenuelake.functions.scores import compliance_band
 from revenuelake.operators.revenue import taxpayer_totals
+from revenuelake.operators.rules import join_owner
 
 
 def _total() -> Column:
@@ -79,7 +80,7 @@ def live_revenue_by_region_30d(payments: DataFrame, taxpayers: DataFrame, as_of:
 
 def _open_with_owner(alerts: DataFrame, taxpayers: DataFrame, *columns: str) -> DataFrame:
     owner = taxpayers.select("taxpayer_id", F.col("name").alias("taxpayer_name"), *columns)
-    return alerts.filter(F.col("status") == "Open").join(owner, "taxpayer_id")
+    return join_owner(alerts.filter(F.col("status") == "Open"), owner)
 
 
 def live_top5_alerts(alerts: DataFrame, taxpayers: DataFrame, rows: int = 5) -> DataFrame:

@@ -20,6 +20,7 @@ def build_session(app_name: str = "revenuelake", master: str | None = None, **se
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     conf.update({key.replace("__", "."): value for key, value in settings.items()})
     builder = SparkSession.builder.appName(app_name)

@@ -12,8 +12,10 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from conftest import rows_by
-from revenuelake.operators import insights, profile, revenue, rules
-from revenuelake.operators.skew import exact_quantile, global_row_number, salted_join
+from revenuelake.operators import compliance, insights, profile, revenue, rules
+from revenuelake.operators.skew import (
+    exact_quantile, global_row_number, heavy_keys, heavy_keys_in_sample, salted_join, split_join,
+)
 
 relaxed = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 
@@ -192,3 +194,40 @@ def test_fan_out_identity(spark):
     for side in (t.companies_registry, t.vehicle_registry, t.land_registry):
         fanned = fanned.join(side, "taxpayer_id", "left")
     assert closed == fanned.agg(F.sum("purchase_value")).first()[0]
+
+
+def test_split_join_keeps_every_row_once(spark):
+    rows = [("hot", i) if i % 3 else (None if i % 5 == 0 else f"k{i % 50}", i) for i in range(900)]
+    left = spark.createDataFrame(rows, "k string, i int")
+    right = spark.createDataFrame([("hot", 1), (None, 2), *[(f"k{j}", 3) for j in range(40)]], "k string, v int")
+    counts = left.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    values = {r["k"]: r["v"] for r in right.collect()}
+    for heavy in (heavy_keys(counts, ["k"], "n"), heavy_keys_in_sample(left, ["k"], "i"), counts.filter("k = 'hot'").select("k"), counts.limit(0).select("k")):
+        outer = split_join(left, right, ["k"], heavy, "left").collect()
+        assert sorted((r["i"], r["v"]) for r in outer if r["v"]) == sorted((i, values[k]) for k, i in rows if k in values)
+        assert len(outer) == 900
+        inner = split_join(left, right, ["k"], heavy).collect()
+        assert len(inner) == sum(k in values for k, _ in rows)
+
+
+def test_heavy_keys_are_bounded(spark):
+    df = spark.range(5000).selectExpr("id % 4000 AS k", "id")
+    counts = df.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    assert heavy_keys(counts, ["k"], "n").count() < 1000
+    assert heavy_keys_in_sample(df, ["k"], "id").count() < 1000
+
+
+def test_placeholder_references(table):
+    """A reference shared by most payments that belongs to no return, and payments without one."""
+    due = "2023-02-15"
+    paye = table("paye_returns", [dict(return_id=f"P{i}", taxpayer_id=f"T{i}", due_date=due) for i in range(5)])
+    rows = [
+        dict(payment_id=f"Y{i}", taxpayer_id=f"T{i % 5}", payment_date="2023-02-10" if i % 2 else "2023-02-20", payment_channel="POS", amount=1, tax_type="PAYE",
+             reference_number="N/A" if i % 3 == 0 else None if i % 3 == 1 else f"P{i % 5}", status="Completed")
+        for i in range(300)
+    ]
+    got = rows_by(compliance.payment_behavior(table("payments", rows), paye, table("vat_returns", [])), "taxpayer_id")
+    for k in range(5):
+        mine = [r for r in rows if r["taxpayer_id"] == f"T{k}"]
+        on_time = sum((r["reference_number"] or "N")[0] == "P" and r["payment_date"] <= due for r in mine)
+        assert (got[f"T{k}"]["total_payments"], got[f"T{k}"]["on_time_payments"]) == (len(mine), on_time)
