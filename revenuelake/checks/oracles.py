@@ -400,7 +400,7 @@ _PLAIN: dict[str, str] = {
 FROM (SELECT *, timestamp '{AS_OF} 00:00:00' AS stamp FROM t_forecast20 UNION ALL SELECT *, timestamp '2001-07-01 00:00:00' FROM t_forecast30)
 QUALIFY row_number() OVER (PARTITION BY forecast_date, tax_type ORDER BY stamp DESC) = 1""",
     "update_compliance_scores": f"""SELECT {columns('taxpayers', skip=('compliance_score', 'updated_at'))},
-  {num("cast(coalesce(least(greatest((paye_returns_filed + vat_returns_filed)::double / nullif(total_paye_returns_expected + total_vat_returns_expected, 0), 0.1), 0.95), 0.95) AS decimal(3,2))")} AS compliance_score,
+  {num("cast(greatest(least((paye_returns_filed + vat_returns_filed)::double / nullif(total_paye_returns_expected + total_vat_returns_expected, 0), 0.95), 0.1) AS decimal(3,2))")} AS compliance_score,
   timestamp '{AS_OF} 00:00:00' AS updated_at FROM taxpayers JOIN t_filing USING (taxpayer_id)""",
     "apply_fraud_scores": f"""SELECT {columns('taxpayers', skip=('compliance_score', 'updated_at', 'risk_category'))},
   if(p IS NULL, risk_category, {BAND.format(p='p')}) AS risk_category,
