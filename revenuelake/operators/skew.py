@@ -138,15 +138,13 @@ def global_row_number(df: DataFrame, order: Sequence[Column], out: str, partitio
     """Consecutive numbers in a total order, without a window over one partition.
 
     Rows are range-partitioned and sorted; each row's generated id holds its partition and its place in
-    it. Writing the rows fixes both, and the counts of earlier partitions are added.
+    it. Writing the rows fixes both, and the counts of earlier partitions are added. The input is written
+    first, because choosing the ranges reads it once more.
     """
-    spark = df.sparkSession
-    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    stored = materialize(df, "unranked")
+    ranged = stored.repartitionByRange(partitions, *order) if partitions else stored.repartitionByRange(*order)
     ordered = materialize(
-        df.repartitionByRange(partitions, *order)
-        .sortWithinPartitions(*order)
-        .withColumn("_id", F.monotonically_increasing_id()),
-        "ranked",
+        ranged.sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id()), "ranked"
     )
     bits = 33  # monotonically_increasing_id keeps the row's place in the low 33 bits
     part = F.shiftright("_id", bits)
