@@ -37,7 +37,9 @@ def validate_transactions(transactions: DataFrame) -> DataFrame:
         .filter(F.col("validation_status") != C.VALID)
     )
     # Only flagged combinations take part. Those with very many copies are joined without a shuffle.
-    marked = split_join(dated, checked, _COPY, heavy_keys(combos, _COPY, "copies"), "left").select(
+    marked = split_join(
+        dated, checked, _COPY, heavy_keys(combos, _COPY, "copies"), "left", null_safe=True
+    ).select(
         *dated.columns,
         F.coalesce("validation_status", F.lit(C.VALID)).alias("validation_status"),
         F.coalesce("is_duplicate", F.lit(False)).alias("is_duplicate"),

@@ -14,6 +14,18 @@ HEAVY_SHARE = 1000  # a key is heavy when it holds more than one thousandth of t
 DEFAULT_MARGINS = (0.05, 0.01, 0.002)
 
 
+def _salt_count(df: DataFrame) -> int:
+    return min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), MAX_SALTS)
+
+
+def _with_salt(big: DataFrame, spread: Sequence[str], salts: int) -> DataFrame:
+    return big.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
+
+
+def _per_salt(small: DataFrame, salts: int) -> DataFrame:
+    return small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+
+
 def salted_join(
     big: DataFrame,
     small: DataFrame,
@@ -29,10 +41,8 @@ def salted_join(
     partitions) without any assumption about its size. When ``small`` turns out to be tiny, adaptive
     execution still changes the join to a broadcast.
     """
-    salts = salts or min(int(big.sparkSession.conf.get("spark.sql.shuffle.partitions")), MAX_SALTS)
-    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    salted = big.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
-    return salted.join(copies, [*on, "_salt"], how).drop("_salt")
+    salts = salts or _salt_count(big)
+    return _with_salt(big, spread, salts).join(_per_salt(small, salts), [*on, "_salt"], how).drop("_salt")
 
 
 def _above_share(counts: DataFrame, keys: Sequence[str], weight: str) -> DataFrame:
@@ -59,15 +69,24 @@ def heavy_keys_in_sample(df: DataFrame, keys: Sequence[str], row_id: str) -> Dat
     return _above_share(counts, keys, "_n")
 
 
-def split_join(left: DataFrame, right: DataFrame, keys: Sequence[str], heavy: DataFrame, how: str = "inner") -> DataFrame:
+def split_join(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    heavy: DataFrame,
+    how: str = "inner",
+    null_safe: bool = False,
+) -> DataFrame:
     """Join to a side with one row per key, keeping heavy keys out of the shuffle.
 
     ``heavy`` holds fewer than a thousand keys, and ``right`` has one row for each, so the rows of heavy
     keys are joined by broadcast where they lie. All other rows are shuffled, none of their keys being
-    large. Every row takes exactly one of the two ways. NULL keys match each other.
+    large. Every row takes exactly one of the two ways. NULL keys match each other if ``null_safe``.
     """
 
     def matches(df: DataFrame, other: DataFrame, kind: str) -> DataFrame:
+        if not null_safe:
+            return df.join(other, list(keys), kind)
         renamed = other.withColumnsRenamed({k: f"_r_{k}" for k in keys})
         same = [df[k].eqNullSafe(renamed[f"_r_{k}"]) for k in keys]
         return df.join(renamed, same, kind).drop(*[f"_r_{k}" for k in keys])
@@ -100,10 +119,17 @@ def exact_quantile(
         F.percentile_approx(value, cuts, 2_000).alias("_cuts"), F.count(F.lit(1)).alias("_rows")
     )
     counted = known.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
+    salts = _salt_count(df)
     if by:
-        placed = salted_join(counted, groups, by, [value])
-    else:
-        placed = counted.crossJoin(F.broadcast(groups))  # one row: the aggregate has no grouping key
+        counted = _with_salt(counted, [value], salts)
+
+    def beside(figures: DataFrame, rows: DataFrame) -> DataFrame:
+        """Figures of the group next to each row; repeated use keeps the salted partitioning of the rows."""
+        if by:
+            return rows.join(_per_salt(figures, salts), [*by, "_salt"])
+        return rows.crossJoin(F.broadcast(figures))  # one row: figures of the only group
+
+    placed = beside(groups, counted)
     above = [(F.col("_cuts")[i] < F.col(value)).cast("int") for i in range(len(cuts))]
     placed = placed.withColumn("_bucket", sum(above[1:], above[0])).drop("_cuts")
 
@@ -114,16 +140,26 @@ def exact_quantile(
         return (F.col("_end") - F.col("_n") <= rank) & (rank < F.col("_end"))
 
     running = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
-    wanted = (
+    ranges = (
         placed.groupBy(*by, "_bucket")
         .agg(F.sum("_n").alias("_n"), F.first("_rows").alias("_rows"))
         .withColumn("_end", F.sum("_n").over(running))
-        .filter(holds(low) | holds(high))
-        .select(*by, "_bucket", (F.col("_end") - F.col("_n")).alias("_before"))
+        .withColumn("_start", F.col("_end") - F.col("_n"))
+    )
+    targets = ranges.groupBy(*by).agg(
+        *[
+            F.max(F.when(holds(rank), F.col(source))).alias(name)
+            for rank, names in ((low, ("_low_bucket", "_low_start")), (high, ("_high_bucket", "_high_start")))
+            for source, name in zip(("_bucket", "_start"), names)
+        ]
     )
     within = Window.partitionBy(*by, "_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    in_low = F.col("_bucket") == F.col("_low_bucket")
+    start = F.when(in_low, F.col("_low_start")).otherwise(F.col("_high_start"))
     candidates = (
-        placed.join(wanted, [*by, "_bucket"]).withColumn("_end", F.col("_before") + F.sum("_n").over(within))
+        beside(targets, placed)
+        .filter(in_low | (F.col("_bucket") == F.col("_high_bucket")))
+        .withColumn("_end", start + F.sum("_n").over(within))
     )
     number = F.col(value).cast("double")
     picked = candidates.filter(holds(low) | holds(high)).groupBy(*by).agg(

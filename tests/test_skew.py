@@ -203,11 +203,13 @@ def test_split_join_keeps_every_row_once(spark):
     counts = left.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
     values = {r["k"]: r["v"] for r in right.collect()}
     for heavy in (heavy_keys(counts, ["k"], "n"), heavy_keys_in_sample(left, ["k"], "i"), counts.filter("k = 'hot'").select("k"), counts.limit(0).select("k")):
-        outer = split_join(left, right, ["k"], heavy, "left").collect()
+        outer = split_join(left, right, ["k"], heavy, "left", null_safe=True).collect()
         assert sorted((r["i"], r["v"]) for r in outer if r["v"]) == sorted((i, values[k]) for k, i in rows if k in values)
         assert len(outer) == 900
-        inner = split_join(left, right, ["k"], heavy).collect()
-        assert len(inner) == sum(k in values for k, _ in rows)
+        assert split_join(left, right, ["k"], heavy, null_safe=True).count() == sum(k in values for k, _ in rows)
+        plain = split_join(left, right, ["k"], heavy, "left").collect()
+        assert len(plain) == 900 and all(r["v"] is None for r in plain if r["k"] is None)
+        assert split_join(left, right, ["k"], heavy).count() == sum(k is not None and k in values for k, _ in rows)
 
 
 def test_heavy_keys_are_bounded(spark):
