@@ -11,7 +11,7 @@ from revenuelake.session import materialize
 
 MAX_SALTS = 512
 HEAVY_SHARE = 1000  # a key is heavy when it holds more than one thousandth of the rows
-DEFAULT_MARGINS = (0.05, 0.01, 0.002)
+DEFAULT_MARGINS = (0.05, 0.005, 0.0005)
 
 
 def _salt_count(df: DataFrame) -> int:
@@ -109,14 +109,14 @@ def exact_quantile(
 
     Equal values are counted first. Approximate cut points around ``q`` split each group into value
     ranges, the exact counts of the ranges locate the wanted ranks, and only the one or two ranges that
-    contain them are ordered: with the default margins a few thousandths of a large group. The
+    contain them are ordered: with the default margins about a thousandth of a large group. The
     approximation decides how the work is split, never the result.
     """
     by = list(by)
     known = df.filter(F.col(value).isNotNull()).select(*by, value)
     cuts = sorted({min(max(q + side * m, 0.0), 1.0) for m in margins for side in (-1, 1)})
     groups = known.groupBy(*by).agg(
-        F.percentile_approx(value, cuts, 2_000).alias("_cuts"), F.count(F.lit(1)).alias("_rows")
+        F.percentile_approx(value, cuts, 10_000).alias("_cuts"), F.count(F.lit(1)).alias("_rows")
     )
     counted = known.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
     salts = _salt_count(df)

@@ -108,3 +108,15 @@ def test_forecast_shape_and_summary(seasonal):
     assert row["next_30_days_total"] == pytest.approx(sum(r["yhat"] for r in future))
     expected = "increasing" if future[-1]["yhat"] > future[0]["yhat"] else "decreasing"
     assert row["trend_direction"] == expected
+
+
+def test_anomaly_summary(spark):
+    from revenuelake.operators.insights import anomaly_summary
+
+    rows = [(f"X{i}", f"T{i}", 10.0 * i, -0.5 - i / 100) for i in range(8)]
+    df = spark.createDataFrame(rows, "transaction_id string, taxpayer_id string, amount double, anomaly_score double")
+    row = anomaly_summary(df).first()
+    assert (row["anomalies_detected"], row["total_at_risk"]) == (8, 280.0)
+    assert row["top_risk_taxpayers"] == ["T7", "T6", "T5", "T4", "T3"]
+    empty = anomaly_summary(df.limit(0)).first()
+    assert (empty["anomalies_detected"], empty["total_at_risk"], empty["top_risk_taxpayers"]) == (0, 0.0, [])
