@@ -14,7 +14,7 @@ from revenuelake.session import materialize
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose expected severity reaches a mild grade go."""
+    """Documents whose expected severity is nearer to a toxic grade than to none go."""
     return toxicity.keep_clean(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 

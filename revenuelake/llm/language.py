@@ -29,7 +29,7 @@ from revenuelake.session import ship_package
 DIMENSIONS = 2048
 ORDER = 3
 MAX_LANGUAGES = 2000
-MIN_SCORE = 0.1
+MIN_SCORE = 0.02
 UNDETERMINED = "und"
 CHUNK = 64  # texts bundled at once
 GAP = 32

@@ -34,7 +34,7 @@ FEATURES = 256  # bound of the words that carry a weight
 MIN_GAIN = 30.0  # least likelihood-ratio statistic of a word and the label
 MARKER_SHARE = 0.5  # a marker's share of toxic texts
 GRADE_STEPS = (2, 5)  # more marker places than these: grade 2, grade 3
-REJECT_AT = 1.0  # expected grade from which a document is rejected
+REJECT_AT = 0.5  # expected grade from which a document is rejected
 WORD = r"[^\W\d_]+"
 
 
