@@ -6,12 +6,12 @@ neighbours of least rank (the leftmost, if several) until no merge is left. A wo
 that token. The table of ranks is a literal of the expression: three flat arrays in which a pair of tokens is
 found by one addition (``RankTable``). Decoding joins the tokens' bytes.
 
-The documents are dealt into blocks of bounded text. A block needs only the codes of its own words: the distinct
-(block, word) pairs meet the folded words by word, go to their block and meet its texts there. No dictionary is
-broadcast and no task sees more than a block.
+The words of a text that many documents share are looked up in a dictionary of at most ``DICTIONARY_WORDS`` words,
+the most frequent of the whole corpus, which is the only thing that is broadcast. All other words travel with
+their text, once for each text, and are folded by the same expression where they are. Texts are never shuffled.
 
 Words longer than ``LONG_WORD`` bytes (few, and slow to fold in quadratic time) are merged with a heap by the same
-rule where their text is assembled; so are words that the two pattern engines cut differently.
+rule.
 
 Defined results: a null text is an empty one, with no tokens; ids may repeat or be null, and every row keeps its
 own result; an empty table gives an empty result. Extra columns are ignored.
@@ -30,13 +30,14 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revenuelake.llm.common import shuffle_partitions, whole_text
+from revenuelake.llm.common import whole_text
 from revenuelake.session import materialize, ship_package
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-BLOCK_BYTES = 8 << 20
+DICTIONARY_WORDS = 1 << 19
 LONG_WORD = 64
 RANK_BITS = 20
+SLICE_ROWS = 1000  # texts held at once by a Python worker
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -93,22 +94,23 @@ def _numbers(values, kind: str) -> Column:
 def fold_merges(tokens: Column, table: RankTable) -> Column:
     """Merge an array of token ids by rank, with higher-order functions."""
     base, slots = _numbers(table.base.tolist(), "int"), _numbers(table.slots.tolist(), "bigint")
-    none = F.lit(1 << RANK_BITS).cast("bigint")
+    none = 1 << RANK_BITS
 
-    def merged_rank(ids: Column, i: Column) -> Column:
-        left, right = F.get(ids, i), F.get(ids, i + 1)
+    def merged_rank(left: Column, right: Column) -> Column:
+        # The slot less its owner's mark is the merged token; another owner's slot, and an empty one, gives at least
+        # ``none`` once the sign is masked. The last token has no right neighbour: null, which array_min skips.
         slot = F.get(slots, F.get(base, left) + right)
-        return F.when(F.shiftright(slot, RANK_BITS) == left + 1, slot.bitwiseAND(F.lit((1 << RANK_BITS) - 1))).otherwise(none)
+        return (slot - (left.cast("bigint") + 1) * none).bitwiseAND(F.lit((1 << 63) - 1))
 
     def step(state: Column, _: Column) -> Column:
         ids = state["ids"]
-        ranked = F.transform(F.sequence(F.lit(0), F.size(ids) - 2), lambda i: merged_rank(ids, i))
+        ranked = F.zip_with(ids, F.slice(ids, F.lit(2), F.size(ids)), merged_rank)
 
         def merge(best: Column) -> Column:  # best: rank and place of the merge
             joined = F.concat(
                 F.slice(ids, F.lit(1), best["at"] - 1), F.array(best["rank"].cast("int")), F.slice(ids, best["at"] + 2, F.size(ids))
             )
-            return F.when(best["rank"] < none, F.struct(joined.alias("ids"), F.lit(True).alias("open"))).otherwise(
+            return F.when(best["rank"] < F.lit(none), F.struct(joined.alias("ids"), F.lit(True).alias("open"))).otherwise(
                 F.struct(ids.alias("ids"), F.lit(False).alias("open"))
             )
 
@@ -132,13 +134,13 @@ def byte_tokens(word: Column, ranks: dict[bytes, int]) -> Column:
     )
 
 
-def encode_words(words: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
+def encode_words(words: DataFrame, ranks: dict[bytes, int], table: RankTable) -> DataFrame:
     """word and ids for each distinct word (column ``word``)."""
     spark = words.sparkSession
     schema = "token binary, id int"
     whole = spark.createDataFrame([(bytearray(t), r) for t, r in ranks.items()], schema)
     known = words.join(F.broadcast(whole), F.col("word").cast("binary") == F.col("token"), "left")  # the vocabulary's size
-    folded = fold_merges(byte_tokens(F.col("word"), ranks), rank_table(ranks))
+    folded = fold_merges(byte_tokens(F.col("word"), ranks), table)
     return known.select("word", F.when(F.col("id").isNotNull(), F.array("id")).otherwise(folded).alias("ids"))
 
 
@@ -164,66 +166,127 @@ def merge_bytes(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[p] for p in parts if p is not None]
 
 
-def assemble(ranks: dict[bytes, int], pattern: str):
-    """Cogrouped function: a block's texts and the codes of its words become token ids."""
-    split = regex.compile(pattern)
+def word_counts(docs: DataFrame, pattern: str) -> DataFrame:
+    """word and the number of texts that hold it, for words that are not long."""
+    # (?U): white space is Unicode's here as well.
+    words = F.array_distinct(F.regexp_extract_all("text", F.lit("(?U)" + pattern), F.lit(0)))
+    found = docs.select(F.explode(words).alias("word")).where(F.octet_length("word") <= LONG_WORD)
+    return found.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+
+
+def most_frequent(counts: DataFrame, size: int) -> DataFrame:
+    """The words above the least count that at most ``size`` words reach, from a short histogram of counts."""
+    step = F.floor(F.log2("n") * 16).cast("int")
+    histogram = sorted(counts.groupBy(step.alias("step")).count().collect(), key=lambda r: -r["step"])  # about 16 rows for each doubling
+    total, least = 0, 1 << 30
+    for row in histogram:
+        total += row["count"]
+        if total > size:
+            break
+        least = row["step"]
+    return counts.where(step >= least).select("word")
+
 
-    def assembled(texts: pa.Table, codes: pa.Table) -> pa.Table:
-        words = codes.column("word").to_pylist()
+def look_up(dictionary, ranks: dict[bytes, int], pattern: str):
+    """Function over Arrow batches: doc_id, codes and rare words of each text.
+
+    A code is a token id or, below zero, the place (-1: first) of a word of the text that is still to be folded.
+    """
+
+    def looked_up(batches):
+        words, offsets, flat = dictionary.value
+        split = regex.compile(pattern)
         place = dict(zip(words, range(len(words))))
-        lists = codes.column("ids").combine_chunks()
-        if isinstance(lists, pa.ChunkedArray):
-            lists = lists.chunk(0) if lists.num_chunks else pa.array([], pa.list_(pa.int32()))
-        offsets, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
-        more: list[list[int]] = []
-        lengths, values = [], []
-        for text in texts.column("text").to_pylist():
-            found = split.findall(text)
-            at = [place.get(w) for w in found]
-            for i, known in enumerate(at):
-                if known is None:
-                    at[i] = place[found[i]] = len(words) + len(more)
-                    more.append(merge_bytes(found[i].encode(), ranks))
-            if more:
-                tail = np.array([i for ids in more for i in ids], dtype=np.int32)
-                ends = offsets[-1] + np.cumsum([len(ids) for ids in more])
-                offsets, flat = np.concatenate([offsets, ends]), np.concatenate([flat[: offsets[-1]], tail])
-                words += [""] * len(more)
-                more = []
-            index = np.array(at, dtype=np.int64)
-            start = offsets[index].astype(np.int64)
-            length = offsets[index + 1] - start
-            total = int(length.sum())
-            begin = np.cumsum(length) - length
-            values.append(flat[np.repeat(start - begin, length) + np.arange(total)])
-            lengths.append(total)
-        joined = np.concatenate(values).astype(np.int32) if values else np.zeros(0, np.int32)
-        ends = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-        ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(joined))
-        return pa.table({"doc_id": texts.column("doc_id"), "ids": ids})
-
-    return assembled
+        for batch in (b.slice(at, SLICE_ROWS) for b in batches for at in range(0, b.num_rows, SLICE_ROWS)):
+            codes, lengths, rare_words, rare_lengths = [], [], [], []
+            for text in batch.column("text").to_pylist():
+                found = split.findall(text)
+                at = np.array([place.get(w, -1) for w in found], dtype=np.int64)
+                start = offsets[at].astype(np.int64)
+                length = offsets[at + 1] - start
+                unknown = np.flatnonzero(at < 0).tolist()
+                rare: dict[str, int] = {}
+                given = []
+                for i in unknown:
+                    word = found[i].encode()
+                    if word in ranks:
+                        ids = [ranks[word]]
+                    elif len(word) > LONG_WORD:
+                        ids = merge_bytes(word, ranks)
+                    else:
+                        ids = [-1 - rare.setdefault(found[i], len(rare))]
+                    start[i], length[i] = 0, len(ids)
+                    given.append(ids)
+                begin = np.cumsum(length) - length
+                total = int(length.sum())
+                gather = np.repeat(start - begin, length) + np.arange(total)
+                out = flat[np.minimum(gather, len(flat) - 1)] if len(flat) else np.zeros(total, np.int32)
+                for i, ids in zip(unknown, given):
+                    out[begin[i] : begin[i] + len(ids)] = ids
+                codes.append(out)
+                lengths.append(total)
+                rare_words += rare
+                rare_lengths.append(len(rare))
+            ends = [np.concatenate([[0], np.cumsum(n)]).astype(np.int32) for n in (lengths, rare_lengths)]
+            joined = np.concatenate(codes).astype(np.int32) if codes else np.zeros(0, np.int32)
+            yield pa.record_batch(
+                [
+                    batch.column("doc_id"),
+                    pa.ListArray.from_arrays(pa.array(ends[0]), pa.array(joined)),
+                    pa.ListArray.from_arrays(pa.array(ends[1]), pa.array(rare_words, pa.string())),
+                ],
+                names=["doc_id", "codes", "rare"],
+            )
+
+    return looked_up
+
+
+def splice(batches):
+    """Put folded words in their places: doc_id, ids and the ids as little-endian unsigned 32-bit integers."""
+    for batch in batches:
+        codes, folded = batch.column("codes"), batch.column("folded")
+        flat, ends = codes.values.to_numpy(), codes.offsets.to_numpy()
+        words = folded.values  # lists of ids
+        inner, starts, firsts = words.values.to_numpy(), words.offsets.to_numpy(), folded.offsets.to_numpy()
+        out = []
+        for i in range(batch.num_rows):
+            ids = flat[ends[i] : ends[i + 1]]
+            at = np.flatnonzero(ids < 0)
+            if len(at):
+                word = firsts[i] - 1 - ids[at].astype(np.int64)
+                pieces = np.split(ids, np.stack([at, at + 1], axis=1).reshape(-1))
+                pieces[1::2] = [inner[starts[w] : starts[w + 1]] for w in word]
+                ids = np.concatenate(pieces)
+            out.append(ids.astype("<i4"))
+        joined = np.concatenate(out) if out else np.zeros(0, np.int32)
+        ends = np.concatenate([[0], np.cumsum([len(x) for x in out])]).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(joined))
+        packed = pa.array([x.tobytes() for x in out], pa.binary())
+        yield pa.record_batch([batch.column("doc_id"), lists, packed], names=["doc_id", "ids", "packed"])
 
 
 def encode(
-    docs: DataFrame, vocabulary: str | None = None, pattern: str = public_tokenizers.PATTERN, block_bytes: int = BLOCK_BYTES
+    docs: DataFrame, vocabulary: str | None = None, pattern: str = public_tokenizers.PATTERN, dictionary_words: int = DICTIONARY_WORDS
 ) -> DataFrame:
-    """doc_id and token ids of every whole text. ``vocabulary`` is the path of a rank file."""
+    """doc_id, ids and packed ids of every whole text. ``vocabulary`` is the path of a rank file, read by the driver."""
     spark = docs.sparkSession
     ship_package(spark)
-    path = vocabulary or public_tokenizers.path(VOCABULARY)
-    ranks = load_ranks(path)
+    ranks = load_ranks(vocabulary or public_tokenizers.path(VOCABULARY))
     texts = docs.select("doc_id", whole_text().alias("text"))
-    total = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    blocks = max(total // block_bytes + 1, 2 * shuffle_partitions(spark))
-    dealt = texts.withColumn("block", F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(blocks)).cast("int"))
-    # (?U): white space is Unicode's here as well.
-    words = F.array_distinct(F.regexp_extract_all("text", F.lit("(?U)" + pattern), F.lit(0)))
-    uses = dealt.select("block", F.explode(words).alias("word")).where(F.octet_length("word") <= LONG_WORD).distinct()
-    uses = materialize(uses, "bpe-uses")
-    codes = materialize(encode_words(uses.select("word").distinct(), ranks), "bpe-codes")
-    coded = uses.join(codes, "word").select("block", "word", "ids")
-    return dealt.groupBy("block").cogroup(coded.groupBy("block")).applyInArrow(assemble(ranks, pattern), "doc_id long, ids array<int>")
+    counts = materialize(word_counts(texts, pattern), "bpe-words")
+    table = rank_table(ranks)
+    coded = materialize(encode_words(most_frequent(counts, dictionary_words), ranks, table), "bpe-dictionary").toArrow()
+    lists = coded.column("ids").combine_chunks()
+    words, offsets, flat = coded.column("word").to_pylist(), np.zeros(2, np.int32), np.zeros(0, np.int32)
+    if len(words):
+        lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+        offsets, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
+    dictionary = spark.sparkContext.broadcast((words, offsets, flat))  # at most dictionary_words
+    found = texts.mapInArrow(look_up(dictionary, ranks, pattern), "doc_id long, codes array<int>, rare array<string>")
+    folded = F.transform("rare", lambda w: fold_merges(byte_tokens(w, ranks), table))
+    parts = found.select("doc_id", "codes", folded.alias("folded"))
+
+    return parts.mapInArrow(splice, "doc_id long, ids array<int>, packed binary")
 
 
 def decode(encoded: DataFrame, vocabulary: str | None = None) -> DataFrame:
@@ -234,20 +297,11 @@ def decode(encoded: DataFrame, vocabulary: str | None = None) -> DataFrame:
     return encoded.withColumn("bytes", F.unhex(F.array_join(F.transform("ids", lambda i: F.get(literal, i)), "")))
 
 
-def little_endian(ids: Column, size: int) -> Column:
-    """Ids as little-endian unsigned 32-bit integers in one binary value."""
-    literal = F.split(F.lit(",".join(i.to_bytes(4, "little").hex() for i in range(size))), ",")
-    return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(literal, i)), ""))
-
-
 def digests(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """doc_id, number of tokens and the digests of the ids and of the decoded bytes."""
-    encoded = encode(docs, vocabulary)
-    size = max(load_ranks(vocabulary or public_tokenizers.path(VOCABULARY)).values()) + 1
-    back = decode(encoded, vocabulary)
-    return back.select(
+    return decode(encode(docs, vocabulary), vocabulary).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(little_endian(F.col("ids"), size), 256).alias("ids_sha256"),
+        F.sha2("packed", 256).alias("ids_sha256"),
         F.sha2("bytes", 256).alias("decoded_sha256"),
     )
