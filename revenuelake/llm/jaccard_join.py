@@ -34,6 +34,7 @@ THRESHOLD = 0.8
 RECALL = 0.999
 ROWS = 6
 BLOCK = 512
+SIEVE_CELLS = 1 << 20
 SEED = 11
 _WORD = re.compile(r"\w+")
 
@@ -164,7 +165,11 @@ def links(docs: DataFrame, classes: DataFrame, threshold: float, block: int = BL
     )
     tasks = materialize(tasks, "jaccard-tasks")
     wanted = tasks.select("rid").distinct()
-    texts = docs.select(_row_id().alias("rid"), whole_text().alias("text")).join(wanted, "rid", "left_semi")
+    # A sieve of a fixed number of cells keeps most texts that are not wanted out of the shuffle.
+    cell = F.pmod(F.xxhash64("rid"), F.lit(SIEVE_CELLS)).cast("int").alias("cell")
+    sieve = F.broadcast(wanted.select(cell).distinct())
+    texts = docs.select(_row_id().alias("rid"), whole_text().alias("text")).select("*", cell)
+    texts = texts.join(sieve, "cell", "left_semi").drop("cell").join(wanted, "rid", "left_semi")
     full = texts.groupBy("rid").agg(F.max("text").alias("text")).join(classes, "rid")
     ready = tasks.join(full, "rid")
 
