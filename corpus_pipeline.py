@@ -35,7 +35,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id and token ids of every document of the mixture."""
-    return bpe.encode(docs)
+    return bpe.encode(docs).select("doc_id", "ids")
 
 
 STAGES = [

@@ -46,12 +46,16 @@ def slot_bytes(rows: DataFrame, slots: int = SLOTS) -> DataFrame:
     return every.join(F.broadcast(sums), "vslot", "left").select("vslot", F.coalesce("bytes", F.lit(0)).alias("bytes"))  # fixed number of rows
 
 
-def _deal(waiting: DataFrame, loads: Column) -> DataFrame:
+def _deal(waiting: DataFrame, shards: int, held: str | None = None) -> DataFrame:
     """Give each waiting slot (vslot, bytes), largest first, to the shard that is lightest then.
 
-    ``loads`` is an array of bytes by shard. One row and as many steps as there are slots: a fixed number.
+    ``held`` names a column with the same map of shard to bytes in every row. One row and as many steps as there are
+    slots: a fixed number.
     """
     order = F.sort_array(F.collect_list(F.struct((-F.col("bytes")).alias("_b"), F.col("vslot"))))
+    gathered = waiting.agg(order.alias("_order"), (F.first(held) if held else F.lit(None).cast("map<int,bigint>")).alias("_held"))
+    zero = F.lit(0).cast("long")
+    loads = F.transform(F.sequence(F.lit(0), F.lit(shards - 1)), lambda s: F.coalesce(F.element_at(F.col("_held"), s), zero))
     start = F.struct(loads.alias("loads"), F.array().cast("array<int>").alias("shards"))
 
     def step(state: Column, slot: Column) -> Column:
@@ -59,7 +63,7 @@ def _deal(waiting: DataFrame, loads: Column) -> DataFrame:
         heavier = F.transform(state["loads"], lambda x, i: F.when(i + 1 == at, x - slot["_b"]).otherwise(x))
         return F.struct(heavier.alias("loads"), F.concat(state["shards"], F.array(at - 1)).alias("shards"))
 
-    dealt = waiting.agg(order.alias("_order")).select("_order", F.aggregate("_order", start, step)["shards"].alias("_to"))
+    dealt = gathered.select("_order", F.aggregate("_order", start, step)["shards"].alias("_to"))
     return dealt.select(F.explode(F.arrays_zip(F.col("_order.vslot").alias("vslot"), F.col("_to").alias("shard"))).alias("_m")).select(
         "_m.vslot", "_m.shard"
     )
@@ -67,8 +71,7 @@ def _deal(waiting: DataFrame, loads: Column) -> DataFrame:
 
 def first_map(sizes: DataFrame, shards: int = SHARDS) -> DataFrame:
     """Version 1 of the map: version, vslot, shard."""
-    zeros = F.array_repeat(F.lit(0).cast("long"), shards)
-    return _deal(sizes, zeros).select(F.lit(1).alias("version"), "vslot", "shard")
+    return _deal(sizes, shards).select(F.lit(1).alias("version"), "vslot", "shard")
 
 
 def rebalance(slot_map: DataFrame, sizes: DataFrame, shards: int) -> DataFrame:
@@ -85,8 +88,7 @@ def rebalance(slot_map: DataFrame, sizes: DataFrame, shards: int) -> DataFrame:
     kept = judged.where("_stays")
     loads = kept.groupBy("shard").agg(F.sum("bytes").alias("_b"))
     by_shard = loads.agg(F.map_from_entries(F.collect_list(F.struct("shard", "_b"))).alias("_loads"))  # one row
-    start = F.transform(F.sequence(F.lit(0), F.lit(shards - 1)), lambda s: F.coalesce(F.element_at(F.first("_loads"), s), F.lit(0).cast("long")))
-    moved = _deal(judged.where("not _stays").crossJoin(F.broadcast(by_shard)), start)
+    moved = _deal(judged.where("not _stays").crossJoin(F.broadcast(by_shard)), shards, "_loads")
     version = slot_map.agg((F.max("version") + 1).cast("int").alias("version"))
     both = kept.select("vslot", "shard").unionByName(moved)
     return both.crossJoin(F.broadcast(version)).select("version", "vslot", "shard")
