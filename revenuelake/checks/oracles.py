@@ -408,7 +408,7 @@ QUALIFY row_number() OVER (PARTITION BY forecast_date, tax_type ORDER BY stamp D
   if(p IS NULL, updated_at, timestamp '{AS_OF} 00:00:00') AS updated_at FROM taxpayers LEFT JOIN t_scores USING (taxpayer_id)""",
     "close_open_alerts": f"SELECT {ALERT.removesuffix('status')} if(status = 'Open', 'Closed', status) AS status FROM fraud_alerts",
     "redate_old_alerts": f"SELECT {ALERT.replace('alert_date,', '')}, greatest(alert_date, CASE WHEN year(alert_date) < 2001 THEN DATE '2001-07-01' ELSE alert_date END) AS alert_date FROM fraud_alerts",
-    "append_alerts": f"SELECT {ALERT} FROM fraud_alerts UNION ALL SELECT NULL, taxpayer_id, alert_date, alert_type, risk_score, description, status FROM t_ml_alerts",
+    "append_alerts": f"SELECT {ALERT} FROM fraud_alerts UNION ALL SELECT (SELECT coalesce(max(alert_id), 0) FROM fraud_alerts) + row_number() OVER (ORDER BY taxpayer_id, alert_type, description), taxpayer_id, alert_date, alert_type, risk_score, description, status FROM t_ml_alerts",
     "touch_updated_at": f"SELECT {columns('taxpayers', skip=('updated_at',))}, if(risk_category = 'High', timestamp '{AS_OF} 00:00:00', updated_at) AS updated_at FROM taxpayers",
     "stg_taxpayers": f"SELECT {columns('taxpayers')} FROM taxpayers",
     "stg_paye_returns": _staged("paye_returns"),
@@ -595,8 +595,7 @@ WHERE forecast_date - {DAY} BETWEEN 0 AND 7 AND abs((predicted_revenue::double -
     "dq_relationships": f"SELECT {columns('payments', skip=('created_at',))} FROM payments WHERE reference_number NOT IN (SELECT return_id FROM vat_returns)",
     "dq_accepted_values": "SELECT tax_type AS value, count(*) AS n_records FROM realtime_transactions WHERE NOT list_contains(" + str(C.TAX_TYPES) + ", tax_type) GROUP BY 1",
     "dq_report": _checks(),
-    "stream_daily_revenue": f"""SELECT ts::date AS date, {num('sum(amount)')} AS revenue, count(*) AS transactions FROM realtime_transactions GROUP BY 1
-HAVING ts::date + INTERVAL 1 DAY <= (SELECT max(ts) FROM realtime_transactions) - INTERVAL 1 DAY""",
+    "stream_daily_revenue": f"""SELECT ts::date AS date, {num('sum(amount)')} AS revenue, count(*) AS transactions FROM realtime_transactions GROUP BY 1""",
 }
 _PLAIN["write_json_report"] = _PLAIN["compliance_insights"]
 

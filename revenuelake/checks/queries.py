@@ -141,7 +141,7 @@ def _joined(*sides: DataFrame) -> DataFrame:
 def q_read_csv_table(t: DerivedTables) -> DataFrame:
     path = scratch_path(t.spark, "csv")
     writers.write_csv(t.taxpayers, path)
-    return readers.read_csv_table(t.spark, "taxpayers", path)
+    return readers.read_csv_table(t.spark, "taxpayers", path, escaped=True)
 
 
 def q_copy_csv_load(t: DerivedTables) -> DataFrame:
@@ -173,7 +173,7 @@ def q_read_table(t: DerivedTables) -> DataFrame:
 def q_write_csv(t: DerivedTables) -> DataFrame:
     path = scratch_path(t.spark, "csv")
     writers.write_csv(t.fraud_alerts, path)
-    stored = readers.read_csv_table(t.spark, "fraud_alerts", path)
+    stored = readers.read_csv_table(t.spark, "fraud_alerts", path, escaped=True)
     return stored.select(*t.fraud_alerts.columns)
 
 
@@ -210,7 +210,7 @@ def _event_stream(t: DerivedTables) -> DataFrame:
 def q_stream_validate_transactions(t: DerivedTables) -> DataFrame:
     target = scratch_path(t.spark, "validated")
     jobs.stream_validate_transactions(_event_stream(t), target, scratch_path(t.spark, "offsets")).awaitTermination()
-    return t.spark.read.parquet(target).drop("batch")
+    return t.spark.read.parquet(target).drop("day")
 
 
 def q_stream_daily_revenue(t: DerivedTables) -> DataFrame:
@@ -230,8 +230,8 @@ def q_train_random_forest(t: DerivedTables) -> DataFrame:
 
 def q_train_gradient_boosting(t: DerivedTables) -> DataFrame:
     data = training_table(t)
-    plain = models.train_gradient_boosting(data, features.WEEKLY_FEATURES, trees=20)
-    weighted = models.train_gradient_boosting(data, features.WEEKLY_FEATURES, trees=20, weighted=True)
+    plain = models.train_gradient_boosting(data, features.WEEKLY_FEATURES)
+    weighted = models.train_gradient_boosting(data, features.WEEKLY_FEATURES, weighted=True)
     sides = [
         models.with_probability(m, data).select("taxpayer_id", F.col("fraud_probability").alias(name))
         for m, name in ((plain, "plain_probability"), (weighted, "weighted_probability"))
@@ -240,12 +240,12 @@ def q_train_gradient_boosting(t: DerivedTables) -> DataFrame:
 
 
 def q_split_evaluate_select(t: DerivedTables) -> DataFrame:
-    return models.split_evaluate_select(training_table(t), features.WEEKLY_FEATURES, trees=10)[1]
+    return models.split_evaluate_select(training_table(t), features.WEEKLY_FEATURES)[1]
 
 
 def q_feature_importance(t: DerivedTables) -> DataFrame:
     data = training_table(t)
-    model = models.train_random_forest(data, features.WEEKLY_FEATURES, trees=20)
+    model = models.train_random_forest(data, features.WEEKLY_FEATURES)
     return models.feature_importance(model, features.WEEKLY_FEATURES, t.spark)
 
 
@@ -253,7 +253,7 @@ def q_score_taxpayers(t: DerivedTables) -> DataFrame:
     """Forest on the balanced extended features, as the daily chain trains it; the second model variant."""
     data = materialize(features.derived_features_extended(extended_features(t)), "extended-features")
     balanced = materialize(models.balance_oversample(data), "balanced-features")
-    model = models.train_random_forest(balanced, features.EXTENDED_FEATURES, trees=20)
+    model = models.train_random_forest(balanced, features.EXTENDED_FEATURES)
     return models.score_taxpayers(model, data)
 
 
@@ -310,8 +310,8 @@ QUERIES: dict[str, Query] = {
     "close_open_alerts": lambda t: mutation.close_open_alerts(t.fraud_alerts),
     "redate_old_alerts": lambda t: mutation.redate_old_alerts(t.fraud_alerts, dt.date(2001, 1, 1), dt.date(2001, 7, 1)),
     "append_alerts": lambda t: mutation.append_alerts(
-        t.fraud_alerts, models.ml_alerts(stored_scores(t), t.taxpayers, t.paye_returns, t.vat_returns, AS_OF)
-    ),
+        t.fraud_alerts, models.ml_alerts(stored_scores(t), t.taxpayers, t.paye_returns, t.vat_returns, AS_OF), AS_OF
+    ).drop("created_at"),
     "touch_updated_at": lambda t: mutation.touch_updated_at(t.taxpayers, F.col("risk_category") == "High", AS_OF),
     # staging
     "stg_taxpayers": lambda t: staging.stg_taxpayers(t.taxpayers),

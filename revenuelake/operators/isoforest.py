@@ -1,6 +1,6 @@
 """Isolation forest (Liu, Ting and Zhou, 2008) as Spark jobs.
 
-Each tree is grown by one task from a sample of at most 256 rows. The trees form a small fixed-size model,
+Each tree is grown by one task from a sample of at most 256 rows, drawn from all rows by hash. The trees form a small fixed-size model,
 which scores all rows in Arrow batches where they lie.
 """
 
@@ -20,7 +20,7 @@ from revenuelake.session import materialize
 
 TREES = 100
 SAMPLE_ROWS = 256
-POOL_ROWS = 8192  # rows drawn at random from all data, from which every tree draws its own sample
+SAMPLE_ROWS_HELD = 2  # times its sample that a tree is offered, so that it is hardly ever short
 
 _NODE_SCHEMA = "tree int, node int, feature int, threshold double, left int, right int, path double"
 
@@ -59,23 +59,31 @@ def _grow(sample: np.ndarray, rng: np.random.Generator) -> list[tuple]:
 
 
 def grow_trees(
-    featured: DataFrame, columns: Sequence[str], key: str, rows: int, trees: int = TREES, seed: int = 42
+    featured: DataFrame, columns: Sequence[str], key: str, rows: int, trees: int = TREES, seed: int = 42,
+    sample_rows: int = SAMPLE_ROWS,
 ) -> DataFrame:
-    """One row per tree node. ``rows`` is the number of rows in the pool.
+    """One row per tree node. ``rows`` is the number of rows of ``featured``, all of which may be drawn.
 
-    The draws depend on the key's hash only, so a repeated task draws the same. Twice the rows a tree
-    needs are let through to the ranking that picks its sample.
+    The hash of its key decides how many trees a row is offered to (none, for most rows of a large table) and which;
+    a tree takes the ``sample_rows`` of its offers that another hash puts first. The draws depend on the key only,
+    so a repeated task draws the same.
     """
     columns = list(columns)
-    pool = featured.select(key, *columns).orderBy(F.xxhash64(F.lit(seed), key), key).limit(POOL_ROWS)
-    lot = F.pmod(F.xxhash64("tree", key), F.lit(1_000_003))
+    share = min(float(trees), trees * SAMPLE_ROWS_HELD * sample_rows / max(rows, 1))  # mean offers of one row
+    uniform = F.pmod(F.xxhash64(F.lit(seed), key), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    offers = (F.floor(F.lit(share)) + (uniform < share % 1.0).cast("int")).cast("int")
+    first = F.pmod(F.xxhash64(F.lit(seed + 1), key), F.lit(trees)).cast("int")
+    lot = F.xxhash64(F.lit(seed), "tree", key)
     draw = Window.partitionBy("tree").orderBy("lot", key)
     samples = (
-        pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+        featured.select(key, *columns)
+        .withColumn("offers", offers)
+        .filter("offers > 0")
+        .withColumn("place", F.explode(F.sequence(F.lit(0), F.col("offers") - 1)))
+        .withColumn("tree", F.pmod(first + F.col("place"), F.lit(trees)))
         .withColumn("lot", lot)
-        .filter(F.col("lot") <= 1_000_003 * min(1.0, 2 * SAMPLE_ROWS / max(rows, 1)))
         .withColumn("place", F.row_number().over(draw))
-        .filter(F.col("place") <= SAMPLE_ROWS)
+        .filter(F.col("place") <= sample_rows)
     )
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -91,25 +99,27 @@ def grow_trees(
 
 
 def isolation_scores(
-    featured: DataFrame, columns: Sequence[str], key: str, trees: int = TREES, seed: int = 42
+    featured: DataFrame, columns: Sequence[str], key: str, trees: int = TREES, seed: int = 42,
+    sample_rows: int = SAMPLE_ROWS,
 ) -> DataFrame:
     """Add ``anomaly_score`` in [-1, 0); the lower, the more anomalous."""
     columns = list(columns)
-    rows = featured.limit(POOL_ROWS).count()
-    # At most trees x 511 nodes whatever the size of the data, so the model may pass through the driver.
-    nodes = grow_trees(featured, columns, key, rows, trees, seed).toPandas().sort_values(["tree", "node"])
+    rows = featured.count()
+    # At most trees x (2 x sample_rows - 1) nodes whatever the size of the data, so the model may pass through the driver.
+    nodes = grow_trees(featured, columns, key, rows, trees, seed, sample_rows).toPandas().sort_values(["tree", "node"])
     forest = [
         tuple(group[name].to_numpy() for name in ("feature", "threshold", "left", "right", "path"))
         for _, group in nodes.groupby("tree")
     ]
-    norm = max(average_path(min(rows, SAMPLE_ROWS)), 1.0)
+    norm = max(average_path(min(rows, sample_rows)), 1.0)
     shared = featured.sparkSession.sparkContext.broadcast((forest, norm))
 
     @F.pandas_udf(DoubleType())
     def score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         model, mean_path = shared.value
         for batch in batches:
-            rows = np.column_stack([series.to_numpy(dtype=float) for series in batch])
+            given = batch if isinstance(batch, tuple) else (batch,)  # one column comes without a tuple
+            rows = np.column_stack([series.to_numpy(dtype=float) for series in given])
             index = np.arange(len(rows))
             total = np.zeros(len(rows))
             for feature, threshold, left, right, path in model:

@@ -19,6 +19,7 @@ from revenuelake import constants as C
 from revenuelake.functions.dates import months_before
 from revenuelake.functions.ratios import join_text, ratio, two_decimals, zero_if_null
 from revenuelake.functions.scores import fraud_band
+from revenuelake.operators.skew import global_row_number
 
 LABEL = "is_fraud"
 
@@ -29,13 +30,21 @@ def _class_counts(df: DataFrame) -> tuple[int, int]:
     return row["normal"], row["fraud"]
 
 
-def balance_oversample(features: DataFrame, seed: int = 42) -> DataFrame:
-    """Normal rows and a resample of the fraud rows, with replacement, to about half their number."""
+def balance_oversample(features: DataFrame, key: str = "taxpayer_id", seed: int = 42) -> DataFrame:
+    """Normal rows and the fraud rows repeated to exactly half their number.
+
+    Each fraud row is taken a whole number of times; the hash of its key decides who is taken once more. So the draw
+    does not depend on how the table is stored.
+    """
     normal, fraud = _class_counts(features)
     if not fraud:
         return features
-    resampled = features.filter(F.col(LABEL) == 1).sample(True, normal / 2 / fraud, seed)
-    return features.filter(F.col(LABEL) == 0).unionByName(resampled)
+    times, more = divmod(normal // 2, fraud)
+    numbered = global_row_number(features.filter(F.col(LABEL) == 1), [F.xxhash64(F.lit(seed), key), F.col(key)], "_place")
+    copies = F.lit(times) + (F.col("_place") <= more).cast("int")
+    taken = numbered.withColumn("_copies", copies).filter("_copies > 0")
+    repeated = taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    return features.filter(F.col(LABEL) == 0).unionByName(repeated.select(*features.columns))
 
 
 def _uniform(key: str, seed: int) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from revenuelake import constants as C
 from revenuelake.functions.ratios import clamp, ratio, zero_if_null
+from revenuelake.operators.skew import global_row_number
 
 
 def _stamp(as_of: dt.date) -> Column:
@@ -79,6 +80,16 @@ def redate_old_alerts(alerts: DataFrame, before: dt.date, new_date: dt.date) ->
     return alerts.withColumn("alert_date", redated)
 
 
-def append_alerts(alerts: DataFrame, new_alerts: DataFrame) -> DataFrame:
-    """Stored alerts followed by new ones; columns a side lacks are NULL."""
-    return alerts.unionByName(new_alerts, allowMissingColumns=True)
+def append_alerts(alerts: DataFrame, new_alerts: DataFrame, as_of: dt.date) -> DataFrame:
+    """Stored alerts followed by new ones; columns a side lacks are NULL.
+
+    New alerts are numbered on from the highest stored id, in the order of taxpayer, type and text, and get
+    ``as_of`` as their creation time.
+    """
+    order = [F.col("taxpayer_id"), F.col("alert_type"), F.col("description")]
+    numbered = global_row_number(new_alerts.drop("alert_id", "created_at"), order, "_place")
+    highest = alerts.agg(F.coalesce(F.max("alert_id"), F.lit(0)).alias("_highest"))  # one row
+    keyed = numbered.crossJoin(F.broadcast(highest)).select(
+        (F.col("_highest") + F.col("_place")).alias("alert_id"), *numbered.drop("_place").columns, _stamp(as_of).alias("created_at")
+    )
+    return alerts.unionByName(keyed, allowMissingColumns=True)

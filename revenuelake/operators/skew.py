@@ -9,13 +9,12 @@ from pyspark.sql import functions as F
 
 from revenuelake.session import materialize
 
-MAX_SALTS = 512
 HEAVY_SHARE = 1000  # a key is heavy when it holds more than one thousandth of the rows
 DEFAULT_MARGINS = (0.05, 0.005, 0.0005)
 
 
 def _salt_count(df: DataFrame) -> int:
-    return min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), MAX_SALTS)
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def _with_salt(big: DataFrame, spread: Sequence[str], salts: int) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, DateType, IntegerType, LongType, TimestampType
+from pyspark.sql.types import ArrayType, DataType, DateType, IntegerType, LongType, StringType, StructField, StructType, TimestampType
 
 from revenuelake import constants as C
 from revenuelake.schemas import SCHEMAS
@@ -18,6 +18,8 @@ COLUMN_DEFAULTS = {
 
 def _typed(name: str, kind: DataType) -> Column:
     """Text to the column's type. Malformed dates become NULL; other malformed text is an error."""
+    if isinstance(kind, StringType):
+        return F.nullif(F.col(name), F.lit("")).cast(kind)
     text = F.nullif(F.trim(F.col(name)), F.lit(""))
     if name in C.DATE_COLUMNS:
         return F.try_to_timestamp(text).cast(kind)
@@ -30,10 +32,22 @@ def _typed(name: str, kind: DataType) -> Column:
     return text.cast(kind)
 
 
-def read_csv_table(spark: SparkSession, table: str, path: str) -> DataFrame:
-    """A header CSV file as the typed table. Columns are matched by name; unknown ones are an error."""
+def read_csv_table(
+    spark: SparkSession, table: str, path: str, escaped: bool = False, multi_line: bool = False
+) -> DataFrame:
+    """Header CSV files as the typed table. Columns are matched by name; unknown ones are an error.
+
+    All files of a folder need the same columns in the same order; another header is an error. Texts keep their
+    blanks. ``escaped`` restores the line ends that ``write_csv`` escapes, so that such files can be split;
+    ``multi_line`` reads other files whose quoted texts hold line ends, one task for each file.
+    """
     schema = SCHEMAS[table]
-    raw = spark.read.option("header", True).option("escape", '"').option("multiLine", False).csv(path)
+    options = {"header": True, "escape": '"', "multiLine": multi_line}
+    names = spark.read.options(**options).csv(path).columns
+    texts = StructType([StructField(n, StringType()) for n in names])
+    raw = spark.read.schema(texts).options(**options, enforceSchema=False).csv(path)
+    if escaped:
+        raw = raw.select(*[line_ends_restored(F.col(n)).alias(n) for n in names])
     unknown = sorted(set(raw.columns) - set(schema.names))
     if unknown:
         raise ValueError(f"{table}: unknown columns {unknown}")
@@ -48,6 +62,20 @@ def read_csv_table(spark: SparkSession, table: str, path: str) -> DataFrame:
     )
 
 
+def line_ends_escaped(text: Column) -> Column:
+    """Escape signs and line ends as two visible characters each."""
+    doubled = F.replace(text, F.lit("\\"), F.lit("\\\\"))
+    return F.replace(F.replace(doubled, F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r"))
+
+
+def line_ends_restored(text: Column) -> Column:
+    """The inverse of ``line_ends_escaped``."""
+    mark = "\u0000"  # stands for a doubled escape sign meanwhile
+    kept = F.replace(text, F.lit("\\\\"), F.lit(mark))
+    lines = F.replace(F.replace(kept, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r"))
+    return F.replace(lines, F.lit(mark), F.lit("\\"))
+
+
 def read_table(spark: SparkSession, folder: str, table: str) -> DataFrame:
     """A stored Parquet table; only the columns and rows a query needs are read.
 

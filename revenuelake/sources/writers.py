@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from revenuelake.operators.revenue import revenue_summary
 
-from revenuelake.sources.readers import read_csv_table
+from revenuelake.sources.readers import line_ends_escaped, read_csv_table
 
 # Tables loaded from CSV files, in load order.
 CSV_TABLES = [
@@ -49,8 +49,10 @@ def copy_csv_load(spark: SparkSession, source: str, target: str, tables: Sequenc
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV files with a header; every task writes its own part."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    """CSV files with a header; every task writes its own part. Line ends in texts are escaped, blanks are kept."""
+    texts = {f.name: line_ends_escaped(F.col(f.name)) for f in df.schema.fields if f.dataType.typeName() == "string"}
+    plain = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.withColumns(texts).write.mode("overwrite").options(**plain).csv(path)
 
 
 def write_json_report(report: DataFrame, path: str) -> None:

@@ -21,17 +21,22 @@ def read_transaction_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_validate_transactions(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
-    """Validate each micro-batch; duplicates and the percentile are taken within the days of the batch.
+    """Validate each day as a whole: duplicates and the percentile are taken over all its rows so far.
 
-    Each batch replaces its own folder, so a batch repeated after a failure leaves no second copy.
+    The rows of each micro-batch are kept by day and batch beside ``target``; the days that a batch touches are
+    validated anew and replace their folders. A batch repeated after a failure replaces its own rows first.
     """
+    kept = f"{target.rstrip('/')}-rows"
 
     def check(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            validate_transactions(batch).write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
-        finally:
-            batch.unpersist()
+        spark = batch.sparkSession
+        day = F.coalesce(F.date_format("ts", "yyyy-MM-dd"), F.lit("none"))
+        dated = batch.withColumn("day", day).withColumn("batch", F.lit(batch_id).cast("long"))
+        dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "batch").parquet(kept)
+        stored = spark.read.schema(dated.schema).parquet(kept)
+        days = [r["day"] for r in stored.where(F.col("batch") == batch_id).select("day").distinct().collect()]  # days only
+        touched = validate_transactions(stored.where(F.col("day").isin(days)).drop("day", "batch"))
+        touched.withColumn("day", day).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(target)
 
     return (
         stream.writeStream.foreachBatch(check)
@@ -52,12 +57,15 @@ def daily_revenue(stream: DataFrame, delay: str = "1 day") -> DataFrame:
 
 
 def stream_daily_revenue(stream: DataFrame, target: str, checkpoint: str, delay: str = "1 day") -> StreamingQuery:
-    """Append each day once the watermark has passed its end."""
+    """Keep one folder for each day with its figures so far; a day that grows replaces its folder."""
+
+    def upsert(changed: DataFrame, batch_id: int) -> None:
+        changed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(target)
+
     return (
         daily_revenue(stream, delay)
-        .writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", target)
+        .writeStream.foreachBatch(upsert)
+        .outputMode("update")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -159,8 +159,10 @@ def test_mutations(t, table):
     assert {r["status"] for r in mutation.close_open_alerts(t.alerts).collect()} == {"Closed"}
     moved = mutation.redate_old_alerts(t.alerts, dt.date(2025, 1, 1), dt.date(2025, 7, 1))
     assert {r["alert_date"] for r in moved.collect()} == {dt.date(2025, 7, 1)}
-    added = mutation.append_alerts(t.alerts, t.alerts.drop("alert_id"))
-    assert added.count() == 4 and added.filter("alert_id IS NULL").count() == 2
+    added = mutation.append_alerts(t.alerts, t.alerts.drop("alert_id"), dt.date(2024, 1, 1))
+    ids = sorted(r["alert_id"] for r in added.collect())
+    highest = max(r["alert_id"] for r in t.alerts.collect())
+    assert len(ids) == 4 and ids[2:] == [highest + 1, highest + 2] and added.filter("created_at = '2024-01-01'").count() == 2
     old = table("revenue_forecasts", [dict(forecast_date="2023-06-01", tax_type="VAT", predicted_revenue=1), dict(forecast_date="2023-06-02", tax_type="VAT", predicted_revenue=2)])
     new = table("revenue_forecasts", [dict(forecast_date="2023-06-02", tax_type="VAT", predicted_revenue=9), dict(forecast_date="2023-06-03", tax_type="VAT", predicted_revenue=3)])
     once = mutation.upsert_forecasts(old, new, AS_OF)

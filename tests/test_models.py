@@ -45,7 +45,9 @@ def test_split_is_disjoint_and_stratified(planted):
 
 def test_oversample_reaches_half_the_normal_rows(planted):
     counts = {r["is_fraud"]: r["count"] for r in models.balance_oversample(planted).groupBy("is_fraud").count().collect()}
-    assert counts[0] == 320 and 110 < counts[1] < 210
+    assert counts == {0: 320, 1: 160}
+    draws = [sorted(r["taxpayer_id"] for r in models.balance_oversample(planted.repartition(n)).collect()) for n in (1, 5)]
+    assert draws[0] == draws[1]
 
 
 def test_fraud_bands(spark):

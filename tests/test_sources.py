@@ -38,6 +38,23 @@ def test_unknown_column_is_an_error(spark, tmp_path):
         readers.read_csv_table(spark, "payments", str(path))
 
 
+def test_files_with_another_header_are_an_error(spark, tmp_path):
+    folder = tmp_path / "vat_returns"
+    folder.mkdir()
+    (folder / "a.csv").write_text("return_id,taxpayer_id,status\nA1,T1,Filed\n")
+    (folder / "b.csv").write_text("taxpayer_id,return_id,status\nT2,B2,Filed\n")
+    with pytest.raises(Exception, match="header|CSV"):
+        readers.read_csv_table(spark, "vat_returns", str(folder)).collect()
+
+
+def test_written_texts_come_back(table, spark, tmp_path):
+    texts = ["two\nlines", " blanks ", 'quote " and, comma', "back\\slash \\n", "cr\r\n", "\\\\"]
+    alerts = table("fraud_alerts", [dict(alert_id=i, description=d) for i, d in enumerate(texts)])
+    writers.write_csv(alerts, str(tmp_path / "alerts"))
+    back = rows_by(readers.read_csv_table(spark, "fraud_alerts", str(tmp_path / "alerts"), escaped=True), "alert_id")
+    assert [back[i]["description"] for i in range(len(texts))] == texts
+
+
 def test_overwrite_turns_nan_into_null(spark, tmp_path):
     df = spark.createDataFrame([(1, float("nan")), (2, 2.0)], "id int, v double")
     writers.overwrite_table(df, str(tmp_path / "t"))

@@ -28,7 +28,7 @@ def test_validation_of_a_batch_equals_the_batch_operator(spark, tmp_path):
     write_day(source, "a.csv", [*day, row(3, "2024-01-01")])
     stream = jobs.read_transaction_stream(spark, str(source))
     jobs.stream_validate_transactions(stream, str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination()
-    out = spark.read.parquet(str(tmp_path / "out")).drop("batch")
+    out = spark.read.parquet(str(tmp_path / "out")).drop("day")
     batch = validate_transactions(spark.read.schema(SCHEMAS["realtime_transactions"]).option("header", True).csv(str(source)))
     assert sorted(map(str, out.collect())) == sorted(map(str, batch.select(*out.columns).collect()))
     assert out.filter("validation_status = 'Duplicate Warning'").count() == 2
@@ -39,7 +39,20 @@ def test_validation_of_a_batch_equals_the_batch_operator(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == 36
 
 
-def test_daily_revenue_drops_late_rows_and_emits_closed_days(spark, tmp_path):
+def test_a_day_over_two_files_and_runs_is_judged_as_a_whole(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    for name in ("a.csv", "b.csv"):
+        write_day(source, name, [row(i, "2024-01-01") for i in range(30)])
+        stream = jobs.read_transaction_stream(spark, str(source))
+        jobs.stream_validate_transactions(stream, str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination()
+    out = spark.read.parquet(str(tmp_path / "out")).drop("day")
+    batch = validate_transactions(spark.read.schema(SCHEMAS["realtime_transactions"]).option("header", True).csv(str(source)))
+    assert sorted(map(str, out.collect())) == sorted(map(str, batch.select(*out.columns).collect()))
+    assert out.filter("is_duplicate").count() == 60
+
+
+def test_daily_revenue_drops_late_rows_and_keeps_open_days(spark, tmp_path):
     source, out, check = tmp_path / "in", tmp_path / "out", tmp_path / "ck"
     source.mkdir()
 
@@ -52,10 +65,10 @@ def test_daily_revenue_drops_late_rows_and_emits_closed_days(spark, tmp_path):
     write_day(source, "3.csv", [row(8, "2024-01-01", amount=999), row(7, "2024-01-06", hour=12, amount=1)])
     run()
     got = {str(r["date"]): (float(r["revenue"]), r["transactions"]) for r in spark.read.parquet(str(out)).collect()}
-    assert got == {"2024-01-01": (30.0, 3), "2024-01-02": (60.0, 3), "2024-01-04": (5.0, 1)}
+    assert got == {"2024-01-01": (30.0, 3), "2024-01-02": (60.0, 3), "2024-01-04": (5.0, 1), "2024-01-06": (1.0, 1)}
     closed = (
         spark.read.schema(SCHEMAS["realtime_transactions"]).option("header", True).csv(str(source))
-        .filter((F.col("amount") < 900) & (F.col("ts") < F.lit(dt.datetime(2024, 1, 5))))
+        .filter((F.col("amount") < 900) & (F.col("ts") < F.lit(dt.datetime(2024, 1, 7))))
         .groupBy(F.to_date("ts").alias("d")).agg(F.sum("amount").alias("a"))
     )
     assert {str(r["d"]): float(r["a"]) for r in closed.collect()} == {k: v[0] for k, v in got.items()}
