@@ -187,11 +187,17 @@ def most_frequent(counts: DataFrame, size: int) -> DataFrame:
     return counts.where(step >= least).select("word")
 
 
+def offsets_of(lengths) -> pa.Array:
+    return pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))
+
+
 def look_up(dictionary, ranks: dict[bytes, int], pattern: str):
     """Function over Arrow batches: doc_id, codes and rare words of each text.
 
-    A code is a token id or, below zero, the place (-1: first) of a word of the text that is still to be folded.
+    A code is a token id or, below zero, the place (-1: first) of a word of the text that is still to be folded. Rare
+    words are the tokens of their bytes.
     """
+    bytes_as_tokens = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int32)
 
     def looked_up(batches):
         words, offsets, flat = dictionary.value
@@ -227,13 +233,15 @@ def look_up(dictionary, ranks: dict[bytes, int], pattern: str):
                 lengths.append(total)
                 rare_words += rare
                 rare_lengths.append(len(rare))
-            ends = [np.concatenate([[0], np.cumsum(n)]).astype(np.int32) for n in (lengths, rare_lengths)]
             joined = np.concatenate(codes).astype(np.int32) if codes else np.zeros(0, np.int32)
+            raw = [w.encode() for w in rare_words]
+            tokens = bytes_as_tokens[np.frombuffer(b"".join(raw), dtype=np.uint8)]
+            folding = pa.ListArray.from_arrays(offsets_of([len(w) for w in raw]), pa.array(tokens, pa.int32()))
             yield pa.record_batch(
                 [
                     batch.column("doc_id"),
-                    pa.ListArray.from_arrays(pa.array(ends[0]), pa.array(joined)),
-                    pa.ListArray.from_arrays(pa.array(ends[1]), pa.array(rare_words, pa.string())),
+                    pa.ListArray.from_arrays(offsets_of(lengths), pa.array(joined)),
+                    pa.ListArray.from_arrays(offsets_of(rare_lengths), folding),
                 ],
                 names=["doc_id", "codes", "rare"],
             )
@@ -245,23 +253,23 @@ def splice(batches):
     """Put folded words in their places: doc_id, ids and the ids as little-endian unsigned 32-bit integers."""
     for batch in batches:
         codes, folded = batch.column("codes"), batch.column("folded")
-        flat, ends = codes.values.to_numpy(), codes.offsets.to_numpy()
+        ends = codes.offsets.to_numpy()
+        flat = codes.values.to_numpy()[ends[0] : ends[-1]]
+        ends = ends - ends[0]
         words = folded.values  # lists of ids
-        inner, starts, firsts = words.values.to_numpy(), words.offsets.to_numpy(), folded.offsets.to_numpy()
-        out = []
-        for i in range(batch.num_rows):
-            ids = flat[ends[i] : ends[i + 1]]
-            at = np.flatnonzero(ids < 0)
-            if len(at):
-                word = firsts[i] - 1 - ids[at].astype(np.int64)
-                pieces = np.split(ids, np.stack([at, at + 1], axis=1).reshape(-1))
-                pieces[1::2] = [inner[starts[w] : starts[w + 1]] for w in word]
-                ids = np.concatenate(pieces)
-            out.append(ids.astype("<i4"))
-        joined = np.concatenate(out) if out else np.zeros(0, np.int32)
-        ends = np.concatenate([[0], np.cumsum([len(x) for x in out])]).astype(np.int32)
-        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(joined))
-        packed = pa.array([x.tobytes() for x in out], pa.binary())
+        inner, starts, firsts = words.values.to_numpy(), words.offsets.to_numpy().astype(np.int64), folded.offsets.to_numpy()
+        at = np.flatnonzero(flat < 0)
+        row = np.searchsorted(ends, at, side="right") - 1
+        word = firsts[row] - 1 - flat[at].astype(np.int64)
+        sizes = np.ones(len(flat), dtype=np.int64)
+        sizes[at] = starts[word + 1] - starts[word]
+        after = np.concatenate([[0], np.cumsum(sizes)])
+        ids = np.repeat(flat, sizes).astype("<i4")
+        within = np.arange(int(sizes[at].sum())) - np.repeat(np.cumsum(sizes[at]) - sizes[at], sizes[at])
+        ids[np.repeat(after[at], sizes[at]) + within] = inner[np.repeat(starts[word], sizes[at]) + within]
+        places = after[ends].astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(places), pa.array(ids))
+        packed = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer(places * np.int32(4)), pa.py_buffer(ids)])
         yield pa.record_batch([batch.column("doc_id"), lists, packed], names=["doc_id", "ids", "packed"])
 
 
@@ -282,8 +290,8 @@ def encode(
         lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
         offsets, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
     dictionary = spark.sparkContext.broadcast((words, offsets, flat))  # at most dictionary_words
-    found = texts.mapInArrow(look_up(dictionary, ranks, pattern), "doc_id long, codes array<int>, rare array<string>")
-    folded = F.transform("rare", lambda w: fold_merges(byte_tokens(w, ranks), table))
+    found = texts.mapInArrow(look_up(dictionary, ranks, pattern), "doc_id long, codes array<int>, rare array<array<int>>")
+    folded = F.transform("rare", lambda tokens: fold_merges(tokens, table))
     parts = found.select("doc_id", "codes", folded.alias("folded"))
 
     return parts.mapInArrow(splice, "doc_id long, ids array<int>, packed binary")
