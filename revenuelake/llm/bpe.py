@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import uuid
 from dataclasses import dataclass
 
 import numpy as np
@@ -191,7 +192,22 @@ def offsets_of(lengths) -> pa.Array:
     return pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))
 
 
-def look_up(dictionary, ranks: dict[bytes, int], pattern: str):
+_held: dict[str, tuple] = {}
+
+
+def held_dictionary(name: str, dictionary) -> tuple[dict[str, int], np.ndarray, np.ndarray]:
+    """Place of each word, offsets and ids of a broadcast Arrow stream, built once in a Python worker."""
+    if name not in _held:
+        coded = pa.ipc.open_stream(dictionary.value).read_all().combine_chunks()
+        lists = coded.column("ids").chunk(0) if coded.num_rows else pa.array([], pa.list_(pa.int32()))
+        place = dict(zip(coded.column("word").to_pylist(), range(coded.num_rows)))
+        _held.clear()
+        # One more offset: words without a place (-1) have length 0.
+        _held[name] = place, np.append(lists.offsets.to_numpy(), 0), lists.values.to_numpy()
+    return _held[name]
+
+
+def look_up(name: str, dictionary, ranks: dict[bytes, int], pattern: str):
     """Function over Arrow batches: doc_id, codes and rare words of each text.
 
     A code is a token id or, below zero, the place (-1: first) of a word of the text that is still to be folded. Rare
@@ -200,9 +216,8 @@ def look_up(dictionary, ranks: dict[bytes, int], pattern: str):
     bytes_as_tokens = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int32)
 
     def looked_up(batches):
-        words, offsets, flat = dictionary.value
+        place, offsets, flat = held_dictionary(name, dictionary)
         split = regex.compile(pattern)
-        place = dict(zip(words, range(len(words))))
         for batch in (b.slice(at, SLICE_ROWS) for b in batches for at in range(0, b.num_rows, SLICE_ROWS)):
             codes, lengths, rare_words, rare_lengths = [], [], [], []
             for text in batch.column("text").to_pylist():
@@ -284,13 +299,12 @@ def encode(
     counts = materialize(word_counts(texts, pattern), "bpe-words")
     table = rank_table(ranks)
     coded = materialize(encode_words(most_frequent(counts, dictionary_words), ranks, table), "bpe-dictionary").toArrow()
-    lists = coded.column("ids").combine_chunks()
-    words, offsets, flat = coded.column("word").to_pylist(), np.zeros(2, np.int32), np.zeros(0, np.int32)
-    if len(words):
-        lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
-        offsets, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
-    dictionary = spark.sparkContext.broadcast((words, offsets, flat))  # at most dictionary_words
-    found = texts.mapInArrow(look_up(dictionary, ranks, pattern), "doc_id long, codes array<int>, rare array<array<int>>")
+    stream = pa.BufferOutputStream()
+    with pa.ipc.new_stream(stream, coded.schema) as writer:
+        writer.write_table(coded)
+    del coded
+    dictionary = spark.sparkContext.broadcast(stream.getvalue().to_pybytes())  # at most dictionary_words
+    found = texts.mapInArrow(look_up(uuid.uuid4().hex, dictionary, ranks, pattern), "doc_id long, codes array<int>, rare array<array<int>>")
     folded = F.transform("rare", lambda tokens: fold_merges(tokens, table))
     parts = found.select("doc_id", "codes", folded.alias("folded"))
 
