@@ -92,9 +92,14 @@ def _numbers(values, kind: str) -> Column:
     return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")
 
 
-def fold_merges(tokens: Column, table: RankTable) -> Column:
+def rank_literals(table: RankTable) -> tuple[Column, Column]:
+    """The table as two literal arrays, which several expressions share."""
+    return _numbers(table.base.tolist(), "int"), _numbers(table.slots.tolist(), "bigint")
+
+
+def fold_merges(tokens: Column, literals: tuple[Column, Column]) -> Column:
     """Merge an array of token ids by rank, with higher-order functions."""
-    base, slots = _numbers(table.base.tolist(), "int"), _numbers(table.slots.tolist(), "bigint")
+    base, slots = literals
     none = 1 << RANK_BITS
 
     def merged_rank(left: Column, right: Column) -> Column:
@@ -135,13 +140,13 @@ def byte_tokens(word: Column, ranks: dict[bytes, int]) -> Column:
     )
 
 
-def encode_words(words: DataFrame, ranks: dict[bytes, int], table: RankTable) -> DataFrame:
+def encode_words(words: DataFrame, ranks: dict[bytes, int], literals: tuple[Column, Column]) -> DataFrame:
     """word and ids for each distinct word (column ``word``)."""
     spark = words.sparkSession
     schema = "token binary, id int"
     whole = spark.createDataFrame([(bytearray(t), r) for t, r in ranks.items()], schema)
     known = words.join(F.broadcast(whole), F.col("word").cast("binary") == F.col("token"), "left")  # the vocabulary's size
-    folded = fold_merges(byte_tokens(F.col("word"), ranks), table)
+    folded = fold_merges(byte_tokens(F.col("word"), ranks), literals)
     return known.select("word", F.when(F.col("id").isNotNull(), F.array("id")).otherwise(folded).alias("ids"))
 
 
@@ -188,6 +193,11 @@ def most_frequent(counts: DataFrame, size: int) -> DataFrame:
     return counts.where(step >= least).select("word")
 
 
+def slices(batches):
+    """Batches of at most ``SLICE_ROWS`` rows, which bound what a Python worker holds at once."""
+    return (batch.slice(at, SLICE_ROWS) for batch in batches for at in range(0, batch.num_rows, SLICE_ROWS))
+
+
 def offsets_of(lengths) -> pa.Array:
     return pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))
 
@@ -218,7 +228,7 @@ def look_up(name: str, dictionary, ranks: dict[bytes, int], pattern: str):
     def looked_up(batches):
         place, offsets, flat = held_dictionary(name, dictionary)
         split = regex.compile(pattern)
-        for batch in (b.slice(at, SLICE_ROWS) for b in batches for at in range(0, b.num_rows, SLICE_ROWS)):
+        for batch in slices(batches):
             codes, lengths, rare_words, rare_lengths = [], [], [], []
             for text in batch.column("text").to_pylist():
                 found = split.findall(text)
@@ -266,7 +276,7 @@ def look_up(name: str, dictionary, ranks: dict[bytes, int], pattern: str):
 
 def splice(batches):
     """Put folded words in their places: doc_id, ids and the ids as little-endian unsigned 32-bit integers."""
-    for batch in batches:
+    for batch in slices(batches):
         codes, folded = batch.column("codes"), batch.column("folded")
         ends = codes.offsets.to_numpy()
         flat = codes.values.to_numpy()[ends[0] : ends[-1]]
@@ -297,15 +307,15 @@ def encode(
     ranks = load_ranks(vocabulary or public_tokenizers.path(VOCABULARY))
     texts = docs.select("doc_id", whole_text().alias("text"))
     counts = materialize(word_counts(texts, pattern), "bpe-words")
-    table = rank_table(ranks)
-    coded = materialize(encode_words(most_frequent(counts, dictionary_words), ranks, table), "bpe-dictionary").toArrow()
+    literals = rank_literals(rank_table(ranks))
+    coded = materialize(encode_words(most_frequent(counts, dictionary_words), ranks, literals), "bpe-dictionary").toArrow()
     stream = pa.BufferOutputStream()
     with pa.ipc.new_stream(stream, coded.schema) as writer:
         writer.write_table(coded)
     del coded
     dictionary = spark.sparkContext.broadcast(stream.getvalue().to_pybytes())  # at most dictionary_words
     found = texts.mapInArrow(look_up(uuid.uuid4().hex, dictionary, ranks, pattern), "doc_id long, codes array<int>, rare array<array<int>>")
-    folded = F.transform("rare", lambda tokens: fold_merges(tokens, table))
+    folded = F.transform("rare", lambda tokens: fold_merges(tokens, literals))
     parts = found.select("doc_id", "codes", folded.alias("folded"))
 
     return parts.mapInArrow(splice, "doc_id long, ids array<int>, packed binary")

@@ -146,13 +146,18 @@ def train(
 
     def counted(batches):
         for batch in batches:
-            yield pd.DataFrame(
-                {"toxic": batch["toxic"], "counts": [count_words(t, vocabulary) for t in batch["text"]]}
-            )
+            counts = [count_words(t, vocabulary) for t in batch["text"]]
+            places = [np.flatnonzero(c) for c in counts]
+            yield pd.DataFrame({"toxic": batch["toxic"], "places": places, "n": [c[p] for c, p in zip(counts, places)]})
 
-    rows = sample.mapInPandas(counted, "toxic int, counts array<double>").toPandas()
-    counts = np.stack(rows["counts"].to_numpy())
-    toxic = rows["toxic"].to_numpy()
+    # Only the words that occur travel; one dense array of the sample's bounded size is filled from them.
+    rows = sample.mapInPandas(counted, "toxic int, places array<int>, n array<double>").toArrow().combine_chunks()
+    if not rows.num_rows:
+        return none
+    toxic, places = rows.column("toxic").to_numpy(), rows.column("places").chunk(0)
+    counts = np.zeros((rows.num_rows, len(vocabulary)))
+    row = np.repeat(np.arange(rows.num_rows), np.diff(places.offsets.to_numpy()))
+    counts[row, places.values.to_numpy()] = rows.column("n").chunk(0).values.to_numpy()
     order = np.lexsort((*counts.T[:8], toxic))  # the fit does not depend on the order of arrival
     counts, toxic = counts[order], toxic[order]
     if toxic.min() == toxic.max():
@@ -160,7 +165,7 @@ def train(
     marker = [at for at, r in enumerate(chosen) if r["with_toxic"] >= MARKER_SHARE * (r["with_toxic"] + r["with_clean"])]
     places = counts[:, marker].sum(axis=1)
     grade = np.where(toxic > 0, 1 + sum((places > s).astype(int) for s in steps), 0)
-    weights, thresholds = fit_ordinal(np.log1p(counts), grade, len(steps) + 2)
+    weights, thresholds = fit_ordinal(np.log1p(counts, out=counts), grade, len(steps) + 2)
     return OrdinalModel(vocabulary, weights, thresholds)
 
 
