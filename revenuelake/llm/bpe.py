@@ -21,7 +21,6 @@ from __future__ import annotations
 
 import base64
 import heapq
-import uuid
 from dataclasses import dataclass
 
 import numpy as np
@@ -202,22 +201,16 @@ def offsets_of(lengths) -> pa.Array:
     return pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))
 
 
-_held: dict[str, tuple] = {}
+def read_dictionary(stream: bytes) -> tuple[dict[str, int], np.ndarray, np.ndarray]:
+    """Place of each word, offsets and ids of a broadcast Arrow stream; a Python worker lets them go with its task."""
+    coded = pa.ipc.open_stream(stream).read_all().combine_chunks()
+    lists = coded.column("ids").chunk(0) if coded.num_rows else pa.array([], pa.list_(pa.int32()))
+    place = dict(zip(coded.column("word").to_pylist(), range(coded.num_rows)))
+    # One more offset: words without a place (-1) have length 0.
+    return place, np.append(lists.offsets.to_numpy(), 0), lists.values.to_numpy()
 
 
-def held_dictionary(name: str, dictionary) -> tuple[dict[str, int], np.ndarray, np.ndarray]:
-    """Place of each word, offsets and ids of a broadcast Arrow stream, built once in a Python worker."""
-    if name not in _held:
-        coded = pa.ipc.open_stream(dictionary.value).read_all().combine_chunks()
-        lists = coded.column("ids").chunk(0) if coded.num_rows else pa.array([], pa.list_(pa.int32()))
-        place = dict(zip(coded.column("word").to_pylist(), range(coded.num_rows)))
-        _held.clear()
-        # One more offset: words without a place (-1) have length 0.
-        _held[name] = place, np.append(lists.offsets.to_numpy(), 0), lists.values.to_numpy()
-    return _held[name]
-
-
-def look_up(name: str, dictionary, ranks: dict[bytes, int], pattern: str):
+def look_up(dictionary, ranks: dict[bytes, int], pattern: str):
     """Function over Arrow batches: doc_id, codes and rare words of each text.
 
     A code is a token id or, below zero, the place (-1: first) of a word of the text that is still to be folded. Rare
@@ -226,7 +219,7 @@ def look_up(name: str, dictionary, ranks: dict[bytes, int], pattern: str):
     bytes_as_tokens = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int32)
 
     def looked_up(batches):
-        place, offsets, flat = held_dictionary(name, dictionary)
+        place, offsets, flat = read_dictionary(dictionary.value)
         split = regex.compile(pattern)
         for batch in slices(batches):
             codes, lengths, rare_words, rare_lengths = [], [], [], []
@@ -314,7 +307,7 @@ def encode(
         writer.write_table(coded)
     del coded
     dictionary = spark.sparkContext.broadcast(stream.getvalue().to_pybytes())  # at most dictionary_words
-    found = texts.mapInArrow(look_up(uuid.uuid4().hex, dictionary, ranks, pattern), "doc_id long, codes array<int>, rare array<array<int>>")
+    found = texts.mapInArrow(look_up(dictionary, ranks, pattern), "doc_id long, codes array<int>, rare array<array<int>>")
     folded = F.transform("rare", lambda tokens: fold_merges(tokens, literals))
     parts = found.select("doc_id", "codes", folded.alias("folded"))
 
