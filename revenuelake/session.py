@@ -9,6 +9,9 @@ import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+ARROW_BATCH_BYTES = "8m"
+
 
 def build_session(app_name: str = "revenuelake", master: str | None = None, **settings: str) -> SparkSession:
     """A session with the settings the operators rely on; ``settings`` override them."""
@@ -65,8 +68,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to the executors, whose Python workers import it for Arrow functions."""
+    """Send this package to the executors, whose Python workers import it for Arrow functions.
+
+    Arrow batches are also bounded by bytes, unless the session says otherwise: ten thousand long texts would
+    fill a worker.
+    """
     context = spark.sparkContext
+    if ARROW_BYTES not in spark.conf.getAll:
+        spark.conf.set(ARROW_BYTES, ARROW_BATCH_BYTES)
     if getattr(context, "_revenuelake_shipped", False):
         return
     root = pathlib.Path(__file__).resolve().parent
