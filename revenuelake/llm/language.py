@@ -28,6 +28,7 @@ from revenuelake.session import ship_package
 
 DIMENSIONS = 2048
 ORDER = 3
+HELD_GRAMS = 1 << 18  # n-grams that a task counts before it bundles them
 MAX_LANGUAGES = 2000
 MIN_SCORE = 0.02
 UNDETERMINED = "und"
@@ -107,18 +108,27 @@ def learn(docs: DataFrame) -> Prototypes:
     """Prototypes of the languages in ``docs`` (text and lang); every row with a lang is used."""
     ship_package(docs.sparkSession)
 
+    def bundle(sums: dict[int, int]) -> list[np.ndarray]:
+        packed, n = np.array(list(sums), np.int64), np.array(list(sums.values()), float)
+        total = np.zeros(DIMENSIONS)
+        for at in range(0, len(packed), 4096):
+            total += n[at : at + 4096] @ gram_vectors(packed[at : at + 4096])
+        return [total]
+
     def bundled(batches):
+        held: dict[str, dict[int, int]] = {}  # counts go on over batches, up to HELD_GRAMS n-grams in all
         for batch in batches:
             for lang, texts in batch.groupby("lang")["text"]:
-                sums: dict[int, int] = {}
+                sums = held.setdefault(lang, {})
                 for text in texts:
                     for packed, n in zip(*(x.tolist() for x in grams(text))):
                         sums[packed] = sums.get(packed, 0) + n
-                packed, n = np.array(list(sums), np.int64), np.array(list(sums.values()), float)
-                total = np.zeros(DIMENSIONS)
-                for at in range(0, len(packed), 4096):
-                    total += n[at : at + 4096] @ gram_vectors(packed[at : at + 4096])
-                yield pd.DataFrame({"lang": [lang], "bundle": [total]})
+            if sum(map(len, held.values())) > HELD_GRAMS:
+                for lang, sums in held.items():
+                    yield pd.DataFrame({"lang": [lang], "bundle": bundle(sums)})
+                held = {}
+        for lang, sums in held.items():
+            yield pd.DataFrame({"lang": [lang], "bundle": bundle(sums)})
 
     parts = (
         docs.where(F.col("lang").isNotNull())
