@@ -149,11 +149,11 @@ def roots(n: int, pairs: list[tuple[int, int]]) -> list[int]:
 def links(docs: DataFrame, classes: DataFrame, threshold: float, block: int = BLOCK) -> DataFrame:
     """rid, links and root for each member of each task; ``classes`` has rid and bands, one row for each set."""
     spread = classes.select("rid", F.posexplode("bands").alias("band", "hash"))
-    # Members are summed, not gathered: number and sums of two hashes tell member lists apart.
+    # Members are not gathered: their number and 128 bits of their hashes tell member lists apart.
     buckets = spread.groupBy("band", "hash").agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum(F.xxhash64("rid").bitwiseAND(F.lit((1 << 31) - 1))).alias("s1"),
-        F.sum(F.xxhash64(F.lit(1), "rid").bitwiseAND(F.lit((1 << 31) - 1))).alias("s2"),
+        F.bit_xor(F.xxhash64("rid")).alias("s1"),
+        F.bit_xor(F.xxhash64(F.lit(1), "rid")).alias("s2"),
     )
     kept = buckets.where("n > 1").groupBy("n", "s1", "s2").agg(F.min(F.struct("band", "hash")).alias("b")).select("b.band", "b.hash", "n")
     blocks = F.ceil(F.col("n") / block).cast("int")
