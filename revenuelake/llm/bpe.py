@@ -30,7 +30,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revenuelake.llm.common import whole_text
+from revenuelake.llm.common import tidy, whole_text
 from revenuelake.session import materialize, ship_package
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -307,11 +307,11 @@ def encode(
         writer.write_table(coded)
     del coded
     dictionary = spark.sparkContext.broadcast(stream.getvalue().to_pybytes())  # at most dictionary_words
-    found = texts.mapInArrow(look_up(dictionary, ranks, pattern), "doc_id long, codes array<int>, rare array<array<int>>")
+    found = texts.mapInArrow(tidy(look_up(dictionary, ranks, pattern)), "doc_id long, codes array<int>, rare array<array<int>>")
     folded = F.transform("rare", lambda tokens: fold_merges(tokens, literals))
     parts = found.select("doc_id", "codes", folded.alias("folded"))
 
-    return parts.mapInArrow(splice, "doc_id long, ids array<int>, packed binary")
+    return parts.mapInArrow(tidy(splice), "doc_id long, ids array<int>, packed binary")
 
 
 def decode(encoded: DataFrame, vocabulary: str | None = None) -> DataFrame:

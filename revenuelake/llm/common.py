@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +32,29 @@ def sample_by_hash(df: DataFrame, key: str, rows: int, seed: int = 42) -> DataFr
     return df.where(F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(buckets)) < int(buckets * rows / total))
 
 
+def hand_back() -> None:
+    """Give the memory that a Python worker has freed back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
+
+
+def tidy(over_batches: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """The same function over batches, handing memory back when its task ends.
+
+    Workers outlive their tasks and share the executor's memory with stages that need no Python.
+    """
+
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from over_batches(batches)
+        finally:
+            hand_back()
+
+    return run
+
+
 def unit_hash(*columns: Column, seed: int) -> Column:
     """A number in [0, 1) that depends on the values alone."""
     text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(c.cast("string"), F.lit("~")) for c in columns])

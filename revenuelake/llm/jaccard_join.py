@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revenuelake.llm.common import whole_text
+from revenuelake.llm.common import hand_back, tidy, whole_text
 from revenuelake.session import materialize, ship_package
 
 WORDS = 5
@@ -98,7 +98,7 @@ def sketches(docs: DataFrame, bands: int, rows: int) -> DataFrame:
             yield pd.DataFrame({"rid": batch["rid"], "doc_id": batch["doc_id"].astype("Int64"), "set_id": sets, "bands": marks})
 
     return docs.select(_row_id().alias("rid"), F.col("doc_id"), whole_text().alias("text")).mapInPandas(
-        sketched, "rid string, doc_id long, set_id string, bands array<long>"
+        tidy(sketched), "rid string, doc_id long, set_id string, bands array<long>"
     )
 
 
@@ -182,7 +182,11 @@ def links(docs: DataFrame, classes: DataFrame, threshold: float, block: int = BL
         pairs = verify(grams, marks, int(group["band"][0]), split, threshold)
         n = np.bincount(np.array(pairs, dtype=int).reshape(-1), minlength=len(group))
         root = roots(len(group), pairs)
-        return pd.DataFrame({"rid": group["rid"], "links": n, "root": group["rid"].to_numpy()[root]})[n > 0]
+        found = pd.DataFrame({"rid": group["rid"], "links": n, "root": group["rid"].to_numpy()[root]})[n > 0]
+        if len(group) > BLOCK // 2:
+            del group, grams, marks
+            hand_back()
+        return found
 
     return ready.groupBy("band", "hash", "low", "high").applyInPandas(judged, "rid string, links long, root string")
 

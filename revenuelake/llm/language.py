@@ -15,6 +15,7 @@ null doc_id hashes as the text "" does. Repeated rows count as often as they occ
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
 
@@ -23,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revenuelake.llm.common import whole_text
+from revenuelake.llm.common import hand_back, tidy, whole_text
 from revenuelake.session import ship_package
 
 DIMENSIONS = 2048
@@ -133,7 +134,7 @@ def learn(docs: DataFrame) -> Prototypes:
     parts = (
         docs.where(F.col("lang").isNotNull())
         .select("lang", whole_text().alias("text"))
-        .mapInPandas(bundled, "lang string, bundle array<double>")
+        .mapInPandas(tidy(bundled), "lang string, bundle array<double>")
     )
     sums = (
         parts.select("lang", F.posexplode("bundle").alias("at", "value"))
@@ -156,9 +157,11 @@ def language(prototypes: Prototypes, text: Column) -> Column:
     shared = prototypes  # at most MAX_LANGUAGES rows
 
     @F.pandas_udf("lang_pred string, score double")
-    def predicted(texts: pd.Series) -> pd.DataFrame:
-        names, scores = shared.predict([t or "" for t in texts])
-        return pd.DataFrame({"lang_pred": names, "score": scores.astype(float)})
+    def predicted(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            names, scores = shared.predict([t or "" for t in texts])
+            yield pd.DataFrame({"lang_pred": names, "score": scores.astype(float)})
+        hand_back()
 
     return predicted(text)
 

@@ -21,7 +21,7 @@ import ahocorasick
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from revenuelake.llm.common import whole_text
+from revenuelake.llm.common import tidy, whole_text
 from revenuelake.session import ship_package
 
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -183,4 +183,4 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
             out.insert(0, "doc_id", batch["doc_id"].astype("Int64").to_numpy())
             yield out
 
-    return docs.select("doc_id", whole_text().alias("text")).mapInPandas(scanned, SCHEMA)
+    return docs.select("doc_id", whole_text().alias("text")).mapInPandas(tidy(scanned), SCHEMA)

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revenuelake.llm.common import sample_by_hash, whole_text
+from revenuelake.llm.common import hand_back, sample_by_hash, tidy, whole_text
 from revenuelake.session import materialize, ship_package
 
 SAMPLE_ROWS = 20_000  # bound of the labelled rows that the fit sees
@@ -151,7 +151,7 @@ def train(
             yield pd.DataFrame({"toxic": batch["toxic"], "places": places, "n": [c[p] for c, p in zip(counts, places)]})
 
     # Only the words that occur travel; one dense array of the sample's bounded size is filled from them.
-    rows = sample.mapInPandas(counted, "toxic int, places array<int>, n array<double>").toArrow().combine_chunks()
+    rows = sample.mapInPandas(tidy(counted), "toxic int, places array<int>, n array<double>").toArrow().combine_chunks()
     if not rows.num_rows:
         return none
     toxic, places = rows.column("toxic").to_numpy(), rows.column("places").chunk(0)
@@ -173,14 +173,14 @@ def severity(model: OrdinalModel, text: Column) -> Column:
     """Struct of the expected grade, the most likely grade and P(grade >= 1) of a text column."""
 
     @F.pandas_udf("severity double, grade int, p_toxic double")
-    def graded(texts: pd.Series) -> pd.DataFrame:
-        counts = [count_words(t or "", model.vocabulary) for t in texts]
-        upper = model.at_least(np.array(counts).reshape(len(counts), len(model.vocabulary)))
-        edges = np.concatenate([np.ones((len(upper), 1)), upper, np.zeros((len(upper), 1))], axis=1)
-        likely = (edges[:, :-1] - edges[:, 1:]).argmax(axis=1)
-        return pd.DataFrame(
-            {"severity": upper.sum(axis=1), "grade": likely.astype("int32"), "p_toxic": upper[:, 0]}
-        )
+    def graded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            counts = [count_words(t or "", model.vocabulary) for t in texts]
+            upper = model.at_least(np.array(counts).reshape(len(counts), len(model.vocabulary)))
+            edges = np.concatenate([np.ones((len(upper), 1)), upper, np.zeros((len(upper), 1))], axis=1)
+            likely = (edges[:, :-1] - edges[:, 1:]).argmax(axis=1)
+            yield pd.DataFrame({"severity": upper.sum(axis=1), "grade": likely.astype("int32"), "p_toxic": upper[:, 0]})
+        hand_back()
 
     return graded(text)
 
