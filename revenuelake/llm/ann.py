@@ -3,7 +3,9 @@
 Nearness is the largest inner product. Vectors get one more component, sqrt(M^2 - |x|^2) with M the largest norm,
 and queries a 0: the order by distance is then the order by inner product. All are rotated at random, so that any
 leading columns tell about the whole distance, and belong to the list of their nearest centre. A query probes
-the lists of its nearest centres. Within a list the columns are scanned in blocks: after each, a candidate whose
+the lists of its nearest centres: as many as hold ``RECALL`` of the true neighbours of a bounded sample of the
+queries (``MEASURED``), found by brute force over all rows, with two standard errors to spare. On vectors without
+clusters that is most of the lists, and the savings are left to the dimension scan. Within a list the columns are scanned in blocks: after each, a candidate whose
 partial distance, scaled up by the share of columns seen, is larger than the distance to beat by more than chance
 allows (``EPSILON``) is abandoned. What is left is scored exactly on the original vectors.
 
@@ -33,7 +35,8 @@ from revenuelake.session import materialize, ship_package
 K = 20
 FIT_ROWS = 20_000
 ROWS_PER_LIST = 256  # lists grow with the sample, up to FIT_ROWS / 16
-PROBES = 24
+RECALL = 0.95  # of the true neighbours, in the probed lists
+MEASURED = 256  # queries whose true neighbours are found by brute force
 COLUMNS = 16  # scanned at once
 EPSILON = 2.1
 PIECE_ROWS = 4096
@@ -111,6 +114,60 @@ def assign(vectors: DataFrame, index: Index) -> DataFrame:
     return vectors.mapInPandas(near, "vec_id long, vec array<double>, list int")
 
 
+def nearest_lists(listed: DataFrame, ids: np.ndarray, queries: np.ndarray, k: int) -> pd.DataFrame:
+    """query_id and list of the true ``k`` nearest rows of a few queries, by brute force over all rows.
+
+    Order among equal scores is left open: copies of a vector are in one list.
+    """
+
+    def kept(best: pd.DataFrame) -> pd.DataFrame:
+        return best.sort_values("score", ascending=False).groupby("query_id").head(k)
+
+    def best(batches):
+        held = None  # k rows for each query and task
+        for batch in batches:
+            if not len(batch):
+                continue
+            score = queries @ np.stack(batch["vec"].to_numpy()).T
+            score[ids[:, None] == batch["vec_id"].to_numpy()[None, :]] = -np.inf
+            n = min(k, len(batch))
+            top = np.argpartition(-score, n - 1, axis=1)[:, :n]
+            found = pd.DataFrame(
+                {
+                    "query_id": np.repeat(ids, n), "score": np.take_along_axis(score, top, axis=1).ravel(),
+                    "list": batch["list"].to_numpy()[top].ravel(),
+                }
+            )
+            found = found[np.isfinite(found["score"])]
+            held = kept(found if held is None else pd.concat([held, found]))
+        if held is not None:
+            yield held
+
+    per_task = listed.select("vec_id", "vec", "list").mapInPandas(best, "query_id long, score double, list int")
+    first = Window.partitionBy("query_id").orderBy(F.desc("score"), "list")
+    return per_task.withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= k).select("query_id", "list").toPandas()
+
+
+def measured_probes(listed: DataFrame, asked: DataFrame, index: Index, k: int, recall: float = RECALL) -> int:
+    """How many lists to probe, so that those hold ``recall`` of the true neighbours: measured on a sample of queries."""
+    lists = len(index.centres)
+    drawn = sample_by_hash(asked, "query_id", MEASURED).toPandas().sort_values("query_id") if lists > 1 else None
+    if drawn is None or drawn.empty:
+        return lists
+    ids, queries = drawn["query_id"].to_numpy(), np.stack(drawn["vec"].to_numpy())
+    true = nearest_lists(listed, ids, queries, k)
+    place = distances(index.lift_queries(queries), index.centres).argsort(axis=1, kind="stable").argsort(axis=1)
+    row = np.searchsorted(ids, true["query_id"].to_numpy())
+    hits = np.zeros((len(ids), lists))
+    np.add.at(hits, (row, place[row, true["list"].to_numpy()]), 1)
+    hits = hits[hits.sum(axis=1) > 0]
+    if not len(hits):
+        return lists
+    share = hits.cumsum(axis=1) / hits.sum(axis=1)[:, None]
+    sure = share.mean(axis=0) - 2 * share.std(axis=0) / np.sqrt(len(share))
+    return int(np.argmax(sure >= recall - 1e-12)) + 1  # all lists hold every neighbour
+
+
 def probe(queries: DataFrame, index: Index, sizes: np.ndarray, probes: int, k: int) -> DataFrame:
     """query_id, vec and the lists to scan: the nearest ``probes``, and more until they hold 4 k rows."""
 
@@ -158,8 +215,11 @@ def scan(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: n
     return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
 
 
-def search(embeddings: DataFrame, every: int = 20, k: int = K, probes: int = PROBES) -> DataFrame:
-    """query_id, rank, vec_id and score of the ``k`` nearest rows found for each row whose id ``every`` divides."""
+def search(embeddings: DataFrame, every: int = 20, k: int = K, probes: int | None = None) -> DataFrame:
+    """query_id, rank, vec_id and score of the ``k`` nearest rows found for each row whose id ``every`` divides.
+
+    Without ``probes``, their number is measured.
+    """
     spark = embeddings.sparkSession
     ship_package(spark)
     result = "query_id long, rank int, vec_id long, score double"
@@ -171,6 +231,8 @@ def search(embeddings: DataFrame, every: int = 20, k: int = K, probes: int = PRO
     counts = {r["list"]: r["count"] for r in listed.groupBy("list").count().collect()}  # one row for each list
     sizes = np.array([counts.get(i, 0) for i in range(len(index.centres))])
     asked = vectors.where(F.col("vec_id") % every == 0).groupBy(F.col("vec_id").alias("query_id")).agg(F.min("vec").alias("vec"))
+    if probes is None:
+        probes = measured_probes(listed, asked, index, k)
     probed = probe(asked, index, sizes, min(probes, len(sizes)), k)
     pieces = F.lit([max(1, -(-int(n) // PIECE_ROWS)) for n in sizes])
     at = F.get(pieces, F.col("list"))
