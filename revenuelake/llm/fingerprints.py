@@ -5,9 +5,10 @@ w: t = floor(ln w / r + b), ln a = ln c - r (t - b + 1). The sample is (k, t) of
 weighted sets agree on a sample with the probability of their generalised Jaccard similarity, the sum of the
 lesser weights by the sum of the greater ones.
 
-``signatures`` samples any table of terms with weights. Documents are taken as their distinct words, each with its
-number of characters as weight, so that rare, long words count more than short common ones. A fingerprint has four hex
-digits for each of the samples.
+``signatures`` samples any table of terms with weights. Documents are taken as their words, the weight of each its
+count in the text times its number of characters, so that repeats count, and rare, long words more than short common
+ones. A word with the same weight in both texts is drawn once for both. A fingerprint has four hex digits for each of
+the samples.
 
 Samples are drawn in expressions of generated code; a term row is repeated for a few lanes, each of which draws
 ``PER_LANE`` samples, which keeps the generated methods small. Documents are joined to their successors by keys; the order
@@ -95,10 +96,22 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def words(text: Column) -> Column:
-    found = F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)))
+    """The words of a text, repeats too; a text without words is one term, itself."""
+    found = F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
     return F.when(F.size(found) > 0, found).otherwise(F.array(text))
 
 
+def weighted_terms(pairs: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, word, n and sides: how often each word occurs in text (1), in edited (2), or alike in both (3)."""
+    both = F.array(*[F.struct(F.lit(1 << s).alias("sides"), words(F.col(name)).alias("words")) for s, name in enumerate(SIDES)])
+    each = pairs.select(*keys, F.explode_outer(both).alias("_s")).select(*keys, "_s.sides", F.explode_outer("_s.words").alias("word"))
+    counts = each.groupBy(*keys, "word").agg(*[F.count_if(F.col("sides") == 1 << s).alias(f"_n{s}") for s in range(len(SIDES))])
+    apart = F.array(*[F.struct(F.col(f"_n{s}").alias("n"), F.lit(1 << s).alias("sides")) for s in range(len(SIDES))])
+    alike = F.array(F.struct(F.col("_n0").alias("n"), F.lit(3).alias("sides")))
+    rows = counts.select(*keys, "word", F.explode(F.when(F.col("_n0") == F.col("_n1"), alike).otherwise(apart)).alias("_t"))
+    return rows.select(*keys, "word", "_t.n", "_t.sides").where(F.col("n") > 0)
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     """doc_id, the key (k, h) of a row and its whole text."""
     text = whole_text()
@@ -133,18 +146,13 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
     rows = keyed(docs)
     order = materialize(successors(rows), "fingerprint-successors")
     pairs = edited_pairs(rows, order)
+    keys = ["k", "h", "n_chars", "edited_sha256"]
     listed = pairs.select(
-        "k", "h", F.char_length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
-        words(F.col("text")).alias("a"), words(F.col("edited")).alias("b"),
+        "k", "h", F.char_length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), *SIDES
     )
-    sides = F.array(
-        F.struct(F.lit(3).alias("sides"), F.array_intersect("a", "b").alias("words")),
-        F.struct(F.lit(1).alias("sides"), F.array_except("a", "b").alias("words")),
-        F.struct(F.lit(2).alias("sides"), F.array_except("b", "a").alias("words")),
-    )
-    keys = ["k", "h", "n_chars", "edited_sha256"]
-    parts = listed.select(*keys, F.explode(sides).alias("_s")).select(*keys, "_s.sides", F.explode("_s.words").alias("word"))
-    terms = parts.select(*keys, "sides", F.xxhash64("word").alias("term"), F.greatest(F.char_length("word"), F.lit(1)).cast("double").alias("weight"))
+    counted = weighted_terms(listed, keys)
+    weight = F.col("n") * F.greatest(F.char_length("word"), F.lit(1)).cast("double")
+    terms = counted.select(*keys, "sides", F.xxhash64("word").alias("term"), weight.alias("weight"))
     prints = materialize(signatures(terms, keys), "fingerprints")
     after = prints.select(F.col("k").alias("next_k"), F.col("h").alias("next_h"), F.col("text").alias("next_text"))
     beside = prints.join(order.select("k", "h", "next_k", "next_h"), ["k", "h"]).join(after, ["next_k", "next_h"])

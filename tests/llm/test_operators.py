@@ -186,6 +186,31 @@ def test_fingerprint_edits(documents, texts, odd, none):
     assert fingerprints.fingerprint_edits(none).count() == 0
 
 
+def test_fingerprints_count_words(spark, documents):
+    pairs = [("b a, b B c", "b b d a a"), ("...", "..."), ("", "x"), ("word " * 300, "word"), ("É1 é1", "é1 É1"), ("\x01", ""), ("ab a", "abc ab a")]
+    made = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "i int, text string, edited string")
+    made = fingerprints.weighted_terms(made, ["i"]).collect()
+    got = collections.defaultdict(dict)
+    for r in made:
+        for side in range(2):
+            if r["sides"] >> side & 1:
+                assert (r["word"], side) not in got[r["i"]]
+                got[r["i"]][r["word"], side] = r["n"]
+    for i, pair in enumerate(pairs):
+        want = {}
+        for side, text in enumerate(pair):
+            counts = collections.Counter(re.findall(r"[^\W_]+", text.lower()) or [text])
+            want |= {(w, side): n for w, n in counts.items()}
+        assert got[i] == want
+    assert sorted((r["word"], r["sides"]) for r in made if r["i"] == 0) == [("a", 1), ("a", 2), ("b", 1), ("b", 2), ("c", 1), ("d", 2)]
+    assert sorted((r["word"], r["sides"]) for r in made if r["i"] == 6) == [("a", 3), ("ab", 3), ("abc", 2)]
+
+    rows = [(1, "one two three four " + "five " * 400), (2, "one two three four five"), (3, "five four three two one")]
+    prints = by_id(fingerprints.fingerprint_edits(documents(*rows)))
+    assert prints[1]["near_next"] < 0.5 and prints[1]["fingerprint"] != prints[2]["fingerprint"]
+    assert prints[2]["near_next"] == 1 and prints[2]["fingerprint"] == prints[3]["fingerprint"]
+
+
 def test_collisions_follow_generalised_jaccard(spark):
     rng = np.random.default_rng(3)
     pairs = []
