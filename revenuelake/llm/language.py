@@ -5,6 +5,9 @@ n-gram is bound by multiplying its letters' vectors, each rotated by its place;
 n-grams, a language's prototype the bundle of its training texts. A text gets the language whose prototype has
 the largest cosine with its own bundle.
 
+``keep_identified`` keeps texts that score ``MIN_SCORE`` or more. The cosine of unrelated bundles has a standard deviation
+of 1 / sqrt(DIMENSIONS), and the best of all languages is taken; five deviations are above the largest of 2,000 such cosines.
+
 The prototypes are sums over all training rows, made in Spark; only ``languages x dimensions`` numbers reach the
 driver, and more than ``MAX_LANGUAGES`` languages are an error.
 
@@ -31,7 +34,7 @@ DIMENSIONS = 2048
 ORDER = 3
 HELD_GRAMS = 1 << 18  # n-grams that a task counts before it bundles them
 MAX_LANGUAGES = 2000
-MIN_SCORE = 0.02
+MIN_SCORE = 5 / DIMENSIONS**0.5  # 0.11
 UNDETERMINED = "und"
 CHUNK = 64  # texts bundled at once
 GAP = 32

@@ -347,6 +347,19 @@ def test_language(documents, texts, odd, none):
     assert {r["lang_pred"] for r in language.identify(odd, nothing).collect()} == {language.UNDETERMINED}
 
 
+def test_unlearned_texts_go_and_short_clean_ones_stay(documents, texts):
+    rng = np.random.default_rng(9)
+    learned = language.learn(documents(*texts))
+    letters = ("абвгдежзийклмнопрстуфхцчшщыэюя", "αβγδεζηθικλμνξοπρστυφχψω", "אבגדהוזחטיכלמנסעפצקרשת")
+    strange = [" ".join("".join(rng.choice(list(a), 6)) for _ in range(n)) for a in letters for n in (1, 3, 30) for _ in range(40)]
+    strange += [" ".join("".join(rng.choice(list("bcdfghjklmnpqrstvwxz"), 8)) for _ in range(40)) for _ in range(40)]
+    short = [" ".join(text.split()[:12]) for _, text, lang, _ in texts if lang and len(text.split()) > 12]
+    kept = language.keep_identified(documents(*enumerate(strange), *enumerate(short, 10_000)), learned)
+    ids = [r["doc_id"] for r in kept.select("doc_id").collect()]
+    assert not [i for i in ids if i < 10_000]
+    assert len(ids) >= 0.98 * len(short)
+
+
 def test_bundles_are_sums_of_bound_vectors():
     text = "abca abc"
     packed, counts = language.grams(text)
