@@ -18,7 +18,7 @@ from revenuelake.operators import (
 from revenuelake.plans import bi, live
 from revenuelake.session import materialize, scratch_path, ship_package
 from revenuelake.sources import readers, writers
-from revenuelake.sources.adapter import REALTIME_TAX_TYPES, VIEWS, DerivedTables
+from revenuelake.sources.adapter import VIEWS, DerivedTables
 from revenuelake.streaming import jobs
 
 AS_OF = dt.date(2001, 8, 1)
@@ -116,12 +116,14 @@ def training_table(t: DerivedTables) -> DataFrame:
 
 
 def transaction_table(t: DerivedTables) -> DataFrame:
-    return insights.transaction_features(t.realtime_transactions, tax_types=REALTIME_TAX_TYPES)
+    return insights.transaction_features(t.realtime_transactions)
 
 
 def marked_transactions(t: DerivedTables) -> DataFrame:
-    columns = insights.feature_columns(tax_types=REALTIME_TAX_TYPES)
-    return isoforest.isolation_forest_anomalies(transaction_table(t), columns)
+    channels = insights.categories(t.realtime_transactions, "payment_channel", insights.C.PAYMENT_CHANNELS)
+    found = channels, insights.categories(t.realtime_transactions, "tax_type")
+    featured = insights.transaction_features(t.realtime_transactions, *found)
+    return isoforest.isolation_forest_anomalies(featured, insights.feature_columns(*found))
 
 
 def history(t: DerivedTables) -> DataFrame:

@@ -13,6 +13,8 @@ from revenuelake.functions.dates import days_after, in_period
 from revenuelake.functions.ratios import pct_change
 from revenuelake.operators.skew import exact_quantile, heavy_keys, salted_join, split_join
 
+MAX_CATEGORIES = 200
+
 _COPY = ["tx_date", "taxpayer_id", "amount", "tax_type"]
 
 
@@ -54,22 +56,41 @@ def _flag_name(prefix: str, value: str) -> str:
 
 
 def feature_columns(channels: Sequence[str] = C.PAYMENT_CHANNELS, tax_types: Sequence[str] = C.TAX_TYPES) -> list[str]:
-    return [
-        "amount_value", "risk_flag_value", "hour", "weekend_value",
-        *[_flag_name("channel", c) for c in channels],
-        *[_flag_name("type", t) for t in tax_types],
-    ]
+    flags = [*[_flag_name("channel", c) for c in channels], *[_flag_name("type", t) for t in tax_types]]
+    return ["amount_value", "risk_flag_value", "hour", "weekend_value", *dict.fromkeys(flags)]
+
+
+def categories(transactions: DataFrame, column: str, accepted: Sequence[str] = (), limit: int = MAX_CATEGORIES) -> list[str]:
+    """The accepted values, then all others of a column, in order; more than ``limit`` found are an error."""
+    found = transactions.where(F.col(column).isNotNull()).select(column).distinct().limit(limit + 1).collect()
+    if len(found) > limit:
+        raise ValueError(f"{column} has more than {limit} values, too many for a flag each")
+    return [*accepted, *sorted({r[0] for r in found} - set(accepted))]
+
+
+def _flags(prefix: str, column: str, values: Sequence[str]) -> dict[str, Column]:
+    """One 0/1 column for each name; values that share a name share a flag. A value without a flag is an error."""
+    named: dict[str, list[str]] = {}
+    for value in values:
+        named.setdefault(_flag_name(prefix, value), []).append(value)
+    given = F.col(column)
+    unknown = given.isNotNull() & ~given.isin(list(values))
+    failed = F.raise_error(F.concat(F.lit(f"no flag for {column} "), given)).cast("int")
+    return {name: F.when(unknown, failed).otherwise(F.coalesce(given.isin(same).cast("int"), F.lit(0))) for name, same in named.items()}
 
 
 def transaction_features(
     transactions: DataFrame,
-    channels: Sequence[str] = C.PAYMENT_CHANNELS,
-    tax_types: Sequence[str] = C.TAX_TYPES,
+    channels: Sequence[str] | None = None,
+    tax_types: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Hour, weekend and one 0/1 column per channel and tax type of the accepted lists."""
-    one_hot = {
-        _flag_name("channel", c): F.coalesce((F.col("payment_channel") == c).cast("int"), F.lit(0)) for c in channels
-    } | {_flag_name("type", t): F.coalesce((F.col("tax_type") == t).cast("int"), F.lit(0)) for t in tax_types}
+    """Hour, weekend and one 0/1 column per channel and tax type.
+
+    The channels are the accepted ones and those of the data, the tax types those of the data. Where a list is given, a value outside it is an error.
+    """
+    channels = categories(transactions, "payment_channel", C.PAYMENT_CHANNELS) if channels is None else channels
+    tax_types = categories(transactions, "tax_type") if tax_types is None else tax_types
+    one_hot = _flags("channel", "payment_channel", channels) | _flags("type", "tax_type", tax_types)
     weekend = F.weekday("ts") >= 5
     return transactions.withColumns(
         {
