@@ -1,5 +1,14 @@
 """DuckDB texts for the queries that SQL can express."""
 
+
+def crc32_sql(text: str) -> str:
+    """CRC-32 of a short ASCII text, bit by bit."""
+    return f"""xor(4294967295, list_reduce(
+        list_prepend(4294967295::BIGINT, list_transform(string_split({text}, ''), lambda c: ascii(c)::BIGINT)),
+        lambda state, byte: list_reduce(list_prepend(xor(state, byte), range(8)), lambda x, bit: xor(x >> 1, (x & 1) * 3988292384))
+    ))"""
+
+
 ORACLES: dict[str, str] = {
     "op8_prefix_targets": r"""
 WITH given AS (
@@ -28,4 +37,38 @@ WITH given AS (
 SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(learned) AS loss_chars, sha256(learned) AS loss_sha256,
     CAST(formatted AS BIGINT) AS formatted_chars
 FROM joined""",
+    "op11_periodic_runs": rf"""
+WITH given AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS said, {crc32_sql("doc_id::VARCHAR")} AS h
+    FROM documents
+), planned AS (
+    SELECT *, len(said) AS n, CASE WHEN len(said) > 0 THEN (h // 10) % len(said) END AS a FROM given
+), read AS (
+    SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0
+        THEN list_transform(range(n), lambda i: CASE WHEN i < a THEN said[i + 1] ELSE said[1 + a + (i - a) % (1 + (n - a) // (3 + (h // 10) % 8))] END)
+        ELSE said END AS words
+    FROM planned
+), placed AS (
+    SELECT doc_id, n, unnest(words) AS word, unnest(range(n)) AS i FROM read
+), matches AS (
+    SELECT b.doc_id, b.i, b.i - a.i AS lag FROM placed a JOIN placed b ON a.doc_id = b.doc_id AND a.word = b.word AND a.i < b.i AND 4 * (b.i - a.i) <= b.n
+), numbered AS (
+    SELECT *, i - row_number() OVER (PARTITION BY doc_id, lag ORDER BY i) AS island FROM matches
+), stretches AS (
+    SELECT doc_id, lag, min(i) - lag AS start, count(*) + lag AS length FROM numbered GROUP BY doc_id, lag, island
+), runs AS (
+    SELECT doc_id, start, length, min(lag) AS period FROM stretches WHERE length >= greatest(6, 4 * lag) GROUP BY doc_id, start, length
+), dropped AS (
+    SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs
+), kept AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS said FROM placed ANTI JOIN dropped USING (doc_id, i) GROUP BY doc_id
+), told AS (
+    SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS said,
+        first(struct_pack(start := start, length := length, period := period) ORDER BY length DESC, start, period) AS longest
+    FROM runs GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, longest.start AS start, longest.length AS length, longest.period AS period,
+    1000 * longest.length // longest.period AS exponent_milli,
+    sha256(coalesce(told.said, '')) AS runs_sha256, sha256(coalesce(kept.said, '')) AS collapsed_sha256
+FROM documents LEFT JOIN told USING (doc_id) LEFT JOIN kept USING (doc_id)""",
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revenuelake.llm import ann, bpe, chat, fingerprints, jaccard_join, language, licenses, mixing, sharding, toxicity
+from revenuelake.llm import ann, bpe, chat, fingerprints, jaccard_join, language, licenses, mixing, runs, sharding, toxicity
 from revenuelake.llm.common import table
 
 
@@ -67,10 +67,14 @@ def op10_dimension_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.digests(runs.mark_runs(runs.with_periods(table(spark, sf_dir, "documents"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_toxicity, op2_license_scan, op3_weighted_fingerprints, op4_virtual_slots, op5_jaccard_join, op6_language_id,
-        op7_byte_bpe, op8_prefix_targets, op9_poisson_mixture, op10_dimension_scan,
+        op7_byte_bpe, op8_prefix_targets, op9_poisson_mixture, op10_dimension_scan, op11_periodic_runs,
     )
 }
