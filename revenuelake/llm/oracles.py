@@ -71,4 +71,31 @@ SELECT doc_id, coalesce(n_runs, 0) AS n_runs, longest.start AS start, longest.le
     1000 * longest.length // longest.period AS exponent_milli,
     sha256(coalesce(told.said, '')) AS runs_sha256, sha256(coalesce(kept.said, '')) AS collapsed_sha256
 FROM documents LEFT JOIN told USING (doc_id) LEFT JOIN kept USING (doc_id)""",
+    "op13_prefix_trie": rf"""
+WITH turns AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS place
+    FROM conversations WHERE conv_id IS NOT NULL
+), told AS (
+    SELECT conv_id, list(struct_pack(role := role, text := text) ORDER BY place) AS said, {crc32_sql("conv_id::VARCHAR")} % 6 AS h
+    FROM turns GROUP BY conv_id
+), rebuilt AS (
+    SELECT c.conv_id, list_concat(coalesce(l.said, [])[1:c.h], c.said[c.h + 1:]) AS said
+    FROM told c LEFT JOIN told l ON l.conv_id = c.conv_id - c.conv_id % 100
+), steps AS (
+    SELECT conv_id, said, unnest(range(len(said) + 1)) AS depth FROM rebuilt
+), nodes AS (
+    SELECT said[1:depth] AS prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+        coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE len(said) = depth), '') AS ends,
+        (count(*) - 1) * CASE WHEN depth = 0 THEN 0 ELSE length(any_value(said[depth].text)) END AS worth
+    FROM steps GROUP BY 1, 2
+), linked AS (
+    SELECT n.*, p.conv_id AS parent_conv_id, (SELECT count(*) FROM nodes c WHERE c.depth = n.depth + 1 AND c.prefix[1:n.depth] = n.prefix) AS n_children
+    FROM nodes n LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.prefix = n.prefix[1:n.depth - 1]
+), sums AS (
+    SELECT n.prefix, sum(m.worth) AS saved_tokens, count(*) FILTER (WHERE m.n_children = 0) AS n_leaves
+    FROM linked n JOIN linked m ON m.depth >= n.depth AND m.prefix[1:n.depth] = n.prefix GROUP BY 1
+)
+SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(ends) AS ends_sha256
+FROM linked JOIN sums USING (prefix)""",
 }
