@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revenuelake.llm import ann, bpe, chat, fingerprints, jaccard_join, language, licenses, mixing, runs, sharding, toxicity, trie
+from revenuelake.llm import ann, bpe, chat, fingerprints, jaccard_join, language, licenses, mixing, pii, runs, sharding, toxicity, trie
 from revenuelake.llm.common import table
 
 
@@ -71,6 +71,11 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.digests(runs.mark_runs(runs.with_periods(table(spark, sf_dir, "documents"))))
 
 
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.digests(pii.find_personal_data(docs, pii.train(docs), with_text=False))
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.conversation_trie(table(spark, sf_dir, "conversations"))
 
@@ -79,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_toxicity, op2_license_scan, op3_weighted_fingerprints, op4_virtual_slots, op5_jaccard_join, op6_language_id,
-        op7_byte_bpe, op8_prefix_targets, op9_poisson_mixture, op10_dimension_scan, op11_periodic_runs, op13_prefix_trie,
+        op7_byte_bpe, op8_prefix_targets, op9_poisson_mixture, op10_dimension_scan, op11_periodic_runs, op12_personal_data,
+        op13_prefix_trie,
     )
 }
