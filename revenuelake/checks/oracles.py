@@ -407,7 +407,7 @@ QUALIFY row_number() OVER (PARTITION BY forecast_date, tax_type ORDER BY stamp D
   {num("if(p IS NULL, compliance_score, cast(least(greatest(1 - p, 0.1), 0.95) AS decimal(3,2)))")} AS compliance_score,
   if(p IS NULL, updated_at, timestamp '{AS_OF} 00:00:00') AS updated_at FROM taxpayers LEFT JOIN t_scores USING (taxpayer_id)""",
     "close_open_alerts": f"SELECT {ALERT.removesuffix('status')} if(status = 'Open', 'Closed', status) AS status FROM fraud_alerts",
-    "redate_old_alerts": f"SELECT {ALERT.replace('alert_date,', '')}, greatest(alert_date, CASE WHEN year(alert_date) < 2001 THEN DATE '2001-07-01' ELSE alert_date END) AS alert_date FROM fraud_alerts",
+    "redate_old_alerts": f"SELECT {ALERT.replace('alert_date,', '')}, CASE WHEN alert_date < DATE '2001-01-01' THEN DATE '2001-07-01' ELSE alert_date END AS alert_date FROM fraud_alerts",
     "append_alerts": f"SELECT {ALERT} FROM fraud_alerts UNION ALL SELECT (SELECT coalesce(max(alert_id), 0) FROM fraud_alerts) + row_number() OVER (ORDER BY taxpayer_id, alert_type, description), taxpayer_id, alert_date, alert_type, risk_score, description, status FROM t_ml_alerts",
     "touch_updated_at": f"SELECT {columns('taxpayers', skip=('updated_at',))}, if(risk_category = 'High', timestamp '{AS_OF} 00:00:00', updated_at) AS updated_at FROM taxpayers",
     "stg_taxpayers": f"SELECT {columns('taxpayers')} FROM taxpayers",
@@ -608,3 +608,14 @@ def _complete(sql: str) -> str:
 
 
 ORACLES: dict[str, str] = {name: _complete(sql) for name, sql in _PLAIN.items()}
+
+# The same results from tables stored by key.
+ORACLES |= {
+    stored: ORACLES[plain]
+    for stored, plain in {
+        "lookup_payment_history": "bi_payment_history",
+        "lookup_recent_payments": "live_recent_payments",
+        "lookup_taxpayer": "live_taxpayer_lookup",
+        "lookup_taxpayer_profile": "bi_taxpayer_profile",
+    }.items()
+}

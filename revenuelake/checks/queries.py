@@ -17,7 +17,7 @@ from revenuelake.operators import (
 )
 from revenuelake.plans import bi, live
 from revenuelake.session import materialize, scratch_path, ship_package
-from revenuelake.sources import readers, writers
+from revenuelake.sources import lookup, readers, writers
 from revenuelake.sources.adapter import VIEWS, DerivedTables
 from revenuelake.streaming import jobs
 
@@ -200,6 +200,27 @@ def q_publish_views(t: DerivedTables) -> DataFrame:
     )
 
 
+def _stored_by_taxpayer(t: DerivedTables, df: DataFrame, *order: str) -> DataFrame:
+    path = scratch_path(t.spark, "lookup")
+    return lookup.store_by_key(df, path.rsplit("/", 1)[1].replace("-", "_"), path, "taxpayer_id", order)
+
+
+def q_lookup_payment_history(t: DerivedTables) -> DataFrame:
+    return bi.bi_payment_history(_stored_by_taxpayer(t, t.payments, "payment_date"), TAXPAYER)
+
+
+def q_lookup_recent_payments(t: DerivedTables) -> DataFrame:
+    return live.live_recent_payments(_stored_by_taxpayer(t, t.payments, "payment_date"), TAXPAYER)
+
+
+def q_lookup_taxpayer(t: DerivedTables) -> DataFrame:
+    return live.live_taxpayer_lookup(_stored_by_taxpayer(t, profile_360(t)), TAXPAYER)
+
+
+def q_lookup_taxpayer_profile(t: DerivedTables) -> DataFrame:
+    return bi.bi_taxpayer_profile(_stored_by_taxpayer(t, profile_360(t)), TAXPAYER)
+
+
 # --- streams ------------------------------------------------------------------------------------
 
 
@@ -416,6 +437,11 @@ QUERIES: dict[str, Query] = {
     "live_taxpayer_search": lambda t: live.live_taxpayer_search(t.taxpayers, SEARCH),
     "live_taxpayer_lookup": lambda t: live.live_taxpayer_lookup(profile_360(t), TAXPAYER),
     "live_recent_payments": lambda t: live.live_recent_payments(t.payments, TAXPAYER),
+    # the look-ups of one taxpayer over tables stored by key
+    "lookup_payment_history": q_lookup_payment_history,
+    "lookup_recent_payments": q_lookup_recent_payments,
+    "lookup_taxpayer": q_lookup_taxpayer,
+    "lookup_taxpayer_profile": q_lookup_taxpayer_profile,
     # transactions and insights
     "validate_transactions": lambda t: insights.validate_transactions(t.realtime_transactions),
     "transaction_features": transaction_table,

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import calendar
 import datetime as dt
+from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,6 +51,22 @@ def full_years(start: Column, as_of: dt.date) -> Column:
     return F.year(now) - F.year(start) - not_reached.cast("int")
 
 
+def has_month_folders(payments: DataFrame) -> bool:
+    """Whether ``payment_month`` is the folder column; staged payments have a number of that name."""
+    return dict(payments.dtypes).get("payment_month") == "string"
+
+
+def in_months(payments: DataFrame, months: Sequence[tuple[int, int]]) -> DataFrame:
+    """Payments of the given (year, month) pairs; of stored payments only these folders are read."""
+    kept = payments
+    if has_month_folders(payments):
+        kept = kept.filter(F.col("payment_month").isin(*[f"{year:04d}-{month:02d}" for year, month in months]))
+    starts = [dt.date(year, month, 1) for year, month in months]
+    ends = [dt.date(year + month // 12, month % 12 + 1, 1) for year, month in months]
+    day = F.col("payment_date")
+    return kept.filter(reduce(or_, [(day >= F.lit(start)) & (day < F.lit(end)) for start, end in zip(starts, ends)]))
+
+
 def in_period(
     payments: DataFrame,
     start: dt.date | None = None,
@@ -60,7 +79,7 @@ def in_period(
     folders; on other frames the date filter alone reaches the scan.
     """
     day, kept = F.col("payment_date"), payments
-    by_month = "payment_month" in payments.columns
+    by_month = has_month_folders(payments)
     if start is not None:
         kept = kept.filter(day >= F.lit(start))
         if by_month:

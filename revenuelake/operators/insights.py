@@ -12,22 +12,25 @@ from revenuelake import constants as C
 from revenuelake.functions.dates import days_after, in_period
 from revenuelake.functions.ratios import pct_change
 from revenuelake.operators.skew import exact_quantile, heavy_keys, salted_join, split_join
+from revenuelake.session import materialize
 
 MAX_CATEGORIES = 200
 
 _COPY = ["tx_date", "taxpayer_id", "amount", "tax_type"]
 
 
-def validate_transactions(transactions: DataFrame) -> DataFrame:
-    """Mark duplicates and unusually high amounts per day.
+def validate_transactions(transactions: DataFrame, processed_at: dt.datetime | None = None) -> DataFrame:
+    """Mark duplicates and unusually high amounts per day; ``processed_at`` is stored as ``processing_time``.
 
     Every copy of a (taxpayer, amount, tax type) is a duplicate; an amount above the 95th percentile of
     its tax type overrides that. Both facts depend only on day, tax type, taxpayer and amount, so the
-    copies are counted first and the flags are found once per distinct combination.
+    copies are counted once, and limits and flags are found from the stored counts.
     """
     dated = transactions.withColumn("tx_date", F.to_date("ts"))
-    combos = dated.groupBy(*_COPY).agg(F.count(F.lit(1)).alias("copies"))
-    limits = exact_quantile(dated, ["tx_date", "tax_type"], "amount", C.HIGH_AMOUNT_QUANTILE)
+    if processed_at is not None:
+        dated = dated.withColumn("processing_time", F.lit(processed_at))
+    combos = materialize(dated.groupBy(*_COPY).agg(F.count(F.lit(1)).alias("copies")), "transaction-combinations")
+    limits = exact_quantile(combos, ["tx_date", "tax_type"], "amount", C.HIGH_AMOUNT_QUANTILE, weight="copies")
     status = (
         F.when(F.col("amount").cast("double") > F.col("threshold"), C.HIGH_AMOUNT_WARNING)
         .when(F.col("copies") > 1, C.DUPLICATE_WARNING)

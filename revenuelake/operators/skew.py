@@ -11,6 +11,8 @@ from revenuelake.session import materialize
 
 HEAVY_SHARE = 1000  # a key is heavy when it holds more than one thousandth of the rows
 DEFAULT_MARGINS = (0.05, 0.005, 0.0005)
+LAST_VALUES = 1 << 17  # distinct values of a group that one task may sort
+NARROWING = 32  # ranges in each further round
 
 
 def _salt_count(df: DataFrame) -> int:
@@ -96,6 +98,44 @@ def split_join(
     return matches(matches(left, few, "left_semi"), few_right, how).unionByName(ordinary)
 
 
+def _beside(figures: DataFrame, rows: DataFrame, by: Sequence[str], value: str) -> DataFrame:
+    """Figures of the group next to each row; a large group is shared by several tasks."""
+    if by:
+        return salted_join(rows, figures, by, [value])
+    return rows.crossJoin(F.broadcast(figures))  # one row: figures of the only group
+
+
+def _holding_ranges(rows: DataFrame, groups: DataFrame, by: Sequence[str], value: str, cuts: int) -> DataFrame:
+    """Per group, the values between which the wanted ranks lie, and these ranks counted from there.
+
+    ``groups`` holds approximate cut points and the ranks. Exact counts of the ranges between the cut points say which
+    ranges are kept: the approximation decides how much is kept, never the result.
+    """
+    above = [(F.col("_cuts")[i] < F.col(value)).cast("int") for i in range(cuts)]
+    placed = _beside(groups.select(*by, "_cuts"), rows, by, value).withColumn("_range", sum(above[1:], above[0]))
+    counts = placed.groupBy(*by, "_range").agg(F.sum("_n").alias("_in"))  # at most one more than there are cuts
+    running = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, 0)
+    counts = counts.withColumn("_end", F.sum("_in").over(running)).withColumn("_start", F.col("_end") - F.col("_in"))
+    known = counts.join(groups, list(by)) if by else counts.crossJoin(F.broadcast(groups))
+
+    def holding(rank: str, what: str) -> Column:
+        return F.max(F.when((F.col("_start") <= F.col(rank)) & (F.col(rank) < F.col("_end")), F.col(what)))
+
+    found = known.groupBy(*by).agg(
+        holding("_low", "_range").alias("_from"), holding("_high", "_range").alias("_to"), holding("_low", "_start").alias("_skipped"),
+        *[F.first(c).alias(c) for c in ("_low", "_high", "_share", "_cuts")],
+    )
+    # The two ranks are neighbours, so no other row lies between their ranges.
+    return found.select(
+        *by,
+        F.get("_cuts", F.col("_from") - 1).alias("_over"),
+        F.get("_cuts", F.col("_to")).alias("_upto"),
+        (F.col("_low") - F.col("_skipped")).alias("_low"),
+        (F.col("_high") - F.col("_skipped")).alias("_high"),
+        "_share",
+    )
+
+
 def exact_quantile(
     df: DataFrame,
     by: Sequence[str],
@@ -103,70 +143,54 @@ def exact_quantile(
     q: float,
     out: str = "threshold",
     margins: Sequence[float] = DEFAULT_MARGINS,
+    weight: str | None = None,
+    last_values: int = LAST_VALUES,
 ) -> DataFrame:
-    """Exact quantile with linear interpolation per group, without a task that holds a whole group.
+    """Exact quantile with linear interpolation per group, by repeated counting on narrowing ranges.
 
-    Equal values are counted first. Approximate cut points around ``q`` split each group into value
-    ranges, the exact counts of the ranges locate the wanted ranks, and only the one or two ranges that
-    contain them are ordered: with the default margins about a thousandth of a large group. The
-    approximation decides how the work is split, never the result.
+    As long as a group has more than ``last_values`` rows, the range of values around the wanted ranks is found by
+    counting and the rows outside it are left out, where they lie; what is left is counted by value. The first range
+    is about a thousandth of a group (``margins``), each further one about a sixteenth of the values. Only the last values are
+    sorted. So no task sorts a share of the data, whatever the size of a group, the number of its distinct values
+    or the copies of one value. ``weight`` names a column with the number of times that a row counts.
     """
+    if last_values < 2:
+        raise ValueError("two neighbouring values may be needed")
     by = list(by)
-    known = df.filter(F.col(value).isNotNull()).select(*by, value)
-    cuts = sorted({min(max(q + side * m, 0.0), 1.0) for m in margins for side in (-1, 1)})
-    groups = known.groupBy(*by).agg(
-        F.percentile_approx(value, cuts, 10_000).alias("_cuts"), F.count(F.lit(1)).alias("_rows")
-    )
-    counted = known.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
-    salts = _salt_count(df)
-    if by:
-        counted = _with_salt(counted, [value], salts)
-
-    def beside(figures: DataFrame, rows: DataFrame) -> DataFrame:
-        """Figures of the group next to each row; repeated use keeps the salted partitioning of the rows."""
-        if by:
-            return rows.join(_per_salt(figures, salts), [*by, "_salt"])
-        return rows.crossJoin(F.broadcast(figures))  # one row: figures of the only group
-
-    placed = beside(groups, counted)
-    above = [(F.col("_cuts")[i] < F.col(value)).cast("int") for i in range(len(cuts))]
-    placed = placed.withColumn("_bucket", sum(above[1:], above[0])).drop("_cuts")
-
-    position = F.lit(q) * (F.col("_rows") - 1)
-    low, high = F.floor(position), F.ceil(position)
-
-    def holds(rank: Column) -> Column:
-        return (F.col("_end") - F.col("_n") <= rank) & (rank < F.col("_end"))
-
-    running = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
-    ranges = (
-        placed.groupBy(*by, "_bucket")
-        .agg(F.sum("_n").alias("_n"), F.first("_rows").alias("_rows"))
-        .withColumn("_end", F.sum("_n").over(running))
-        .withColumn("_start", F.col("_end") - F.col("_n"))
-    )
-    targets = ranges.groupBy(*by).agg(
-        *[
-            F.max(F.when(holds(rank), F.col(source))).alias(name)
-            for rank, names in ((low, ("_low_bucket", "_low_start")), (high, ("_high_bucket", "_high_start")))
-            for source, name in zip(("_bucket", "_start"), names)
-        ]
-    )
-    within = Window.partitionBy(*by, "_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    in_low = F.col("_bucket") == F.col("_low_bucket")
-    start = F.when(in_low, F.col("_low_start")).otherwise(F.col("_high_start"))
-    candidates = (
-        beside(targets, placed)
-        .filter(in_low | (F.col("_bucket") == F.col("_high_bucket")))
-        .withColumn("_end", start + F.sum("_n").over(within))
-    )
+    rows = df.filter(F.col(value).isNotNull()).select(*by, value, (F.col(weight) if weight else F.lit(1)).cast("long").alias("_n"))
+    even = {i / NARROWING for i in range(1, NARROWING)}
+    cuts = {min(max(q + side * m, 0.0), 1.0) for m in margins for side in (-1, 1)}
+    if weight:  # the cut points are those of single rows, so the wanted ranks may lie anywhere
+        cuts |= even
+    position = F.lit(q) * (F.sum("_n") - 1)
+    ranks = [F.floor(position).alias("_low"), F.ceil(position).alias("_high"), (position - F.floor(position)).alias("_share")]
+    kept = None
+    while True:
+        sized = rows.groupBy(*by).agg(
+            F.count(F.lit(1)).alias("_rows"), F.percentile_approx(value, sorted(cuts), 10_000).alias("_cuts"), *([] if kept else ranks)
+        )
+        if kept:
+            sized = sized.join(kept, by) if by else sized.crossJoin(F.broadcast(kept))
+        groups = materialize(sized, "quantile-groups")
+        if (groups.agg(F.max("_rows")).first()[0] or 0) <= last_values:
+            break
+        kept = materialize(_holding_ranges(rows, groups, by, value, len(cuts)), "quantile-ranges")
+        over, upto = F.col("_over"), F.col("_upto")
+        inside = (over.isNull() | (F.col(value) > over)) & (upto.isNull() | (F.col(value) <= upto))
+        rows = _beside(kept.select(*by, "_over", "_upto"), rows, by, value).filter(inside)
+        rows = materialize(rows.groupBy(*by, value).agg(F.sum("_n").alias("_n")), "quantile-values")
+        kept, cuts = kept.select(*by, "_low", "_high", "_share"), even
+
+    within = Window.partitionBy(*by).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)  # at most last_values rows
+    ended = rows.withColumn("_end", F.sum("_n").over(within))
+    placed = ended.join(groups, by) if by else ended.crossJoin(F.broadcast(groups))
     number = F.col(value).cast("double")
-    picked = candidates.filter(holds(low) | holds(high)).groupBy(*by).agg(
-        F.max(F.when(holds(low), number)).alias("_low"),
-        F.max(F.when(holds(high), number)).alias("_high"),
-        F.first(position - low).alias("_share"),
-    )
-    return picked.select(*by, (F.col("_low") + (F.col("_high") - F.col("_low")) * F.col("_share")).alias(out))
+
+    def at(rank: str) -> Column:
+        return F.max(F.when((F.col("_end") - F.col("_n") <= F.col(rank)) & (F.col(rank) < F.col("_end")), number))
+
+    picked = placed.groupBy(*by).agg(at("_low").alias("_first"), at("_high").alias("_second"), F.first("_share").alias("_between"))
+    return picked.select(*by, (F.col("_first") + (F.col("_second") - F.col("_first")) * F.col("_between")).alias(out))
 
 
 def global_row_number(df: DataFrame, order: Sequence[Column], out: str, partitions: int | None = None) -> DataFrame:

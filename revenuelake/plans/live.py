@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revenuelake.functions.dates import days_after, in_period
+from revenuelake.functions.dates import days_after, in_months, in_period
 from revenuelake.functions.ratios import ratio
 from revenuelake.functions.scores import compliance_band
 from revenuelake.operators.revenue import taxpayer_totals
@@ -35,20 +35,14 @@ def live_active_alerts(alerts: DataFrame) -> DataFrame:
 
 
 def live_month_revenue_growth(payments: DataFrame, as_of: dt.date) -> DataFrame:
-    """This month, the same month a year ago and the growth (0 without a base), read in one pass."""
-
-    def in_month(year: int, month: int) -> Column:
-        start = dt.date(year, month, 1)
-        end = dt.date(year + month // 12, month % 12 + 1, 1)
-        return (F.col("payment_date") >= F.lit(start)) & (F.col("payment_date") < F.lit(end))
-
-    current, last_year = in_month(as_of.year, as_of.month), in_month(as_of.year - 1, as_of.month)
+    """This month, the same month a year ago and the growth (0 without a base), from one read of the two months."""
+    this_year = F.year("payment_date") == as_of.year
 
     def total(condition: Column) -> Column:
         return F.coalesce(F.sum(F.when(condition, F.col("amount"))).cast("double"), F.lit(0.0))
 
-    sums = payments.filter(current | last_year).agg(
-        total(current).alias("monthly_revenue"), total(last_year).alias("last_year_revenue")
+    sums = in_months(payments, [(as_of.year, as_of.month), (as_of.year - 1, as_of.month)]).agg(
+        total(this_year).alias("monthly_revenue"), total(~this_year).alias("last_year_revenue")
     )
     base = F.col("last_year_revenue")
     growth = (F.col("monthly_revenue") - base) / F.nullif(base, F.lit(0.0)) * 100

@@ -233,3 +233,69 @@ def test_placeholder_references(table):
         mine = [r for r in rows if r["taxpayer_id"] == f"T{k}"]
         on_time = sum((r["reference_number"] or "N")[0] == "P" and r["payment_date"] <= due for r in mine)
         assert (got[f"T{k}"]["total_payments"], got[f"T{k}"]["on_time_payments"]) == (len(mine), on_time)
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    values=st.lists(st.tuples(st.sampled_from(["hot", "hot", "cold"]), st.floats(-1e6, 1e6), st.integers(1, 5)), min_size=1, max_size=80),
+    q=st.sampled_from([0.0, 0.05, 0.5, 0.95, 1.0]),
+    last=st.sampled_from([2, 3, 20]),
+)
+def test_exact_quantile_narrows_counted_values(spark, values, q, last):
+    df = spark.createDataFrame(values, "k string, v double, n int")
+    told = [(k, v) for k, v, n in values for _ in range(n)]
+    expected = pd.DataFrame(told, columns=["k", "v"]).groupby("k")["v"].quantile(q).to_dict()
+    got = {r["k"]: r["threshold"] for r in exact_quantile(df, ["k"], "v", q, margins=(0.3,), weight="n", last_values=last).collect()}
+    assert got == pytest.approx(expected)
+    (whole,) = exact_quantile(df, [], "v", q, margins=(0.3,), weight="n", last_values=last).collect()
+    assert whole["threshold"] == pytest.approx(np.quantile([v for _, v in told], q))
+
+
+@pytest.fixture
+def sorted_rows(monkeypatch):
+    """Rows of the last stored values, which are all that a quantile sorts."""
+    from revenuelake.operators import skew
+
+    stored = []
+
+    def noted(df, name, write=skew.materialize):
+        out = write(df, name)
+        if name == "quantile-values":
+            stored.append(out.count())
+        return out
+
+    monkeypatch.setattr(skew, "materialize", noted)
+    return stored
+
+
+@pytest.mark.parametrize("q", [0.05, 0.5, 0.95])
+def test_quantile_of_a_continuous_column_sorts_a_fixed_number_of_values(spark, sorted_rows, q):
+    scores = spark.range(200_000).select(F.rand(7).alias("score"))
+    scores = spark.createDataFrame(scores.toPandas())
+    (got,) = exact_quantile(scores, [], "score", q, margins=(0.2,), last_values=256).collect()
+    assert got["threshold"] == pytest.approx(np.quantile(scores.toPandas()["score"], q), abs=1e-15)
+    assert len(sorted_rows) > 1 and sorted_rows[-1] <= 256
+    assert all(b < a / 8 for a, b in zip(sorted_rows, sorted_rows[1:]))
+
+
+def test_quantile_sorts_nothing_but_the_last_values(spark):
+    """The only windows are over counts of ranges and over the stored last values."""
+    scores = spark.range(50_000).select((F.rand(3) * F.rand(4)).alias("score"))
+    plan = exact_quantile(scores, [], "score", 0.05, last_values=4096)._jdf.queryExecution().executedPlan().toString()
+    assert "quantile-values" in plan and "quantile-groups" in plan
+    assert "rand" not in plan and "Range" not in plan  # the scores themselves are not read again
+
+
+def test_hot_value_among_continuous_ones(spark):
+    values = [0.5] * 3000 + np.random.default_rng(1).random(4000).tolist()
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for q in (0.1, 0.5, 0.9):
+        (got,) = exact_quantile(df, [], "v", q, last_values=16).collect()
+        assert got["threshold"] == pytest.approx(np.quantile(values, q), abs=1e-15)
+
+
+def test_processing_time_is_stored(table):
+    at = dt.datetime(2024, 5, 6, 7, 8)
+    rows = [dict(transaction_id="A", taxpayer_id="T", ts="2024-01-01 00:00:00", amount=1, tax_type="VAT")]
+    got = insights.validate_transactions(table("realtime_transactions", rows), at).collect()
+    assert [r["processing_time"] for r in got] == [at]
