@@ -619,3 +619,18 @@ ORACLES |= {
         "lookup_taxpayer_profile": "bi_taxpayer_profile",
     }.items()
 }
+
+# Facts about trained results that hold whatever the fit.
+ORACLES |= {
+    "split_class_counts": f"""WITH sizes AS (SELECT cast(is_fraud AS int) AS label, count(*) AS n FROM ({ORACLES['fraud_features_weekly']}) GROUP BY 1),
+  cut AS (SELECT label, n, cast(floor(n * 0.8 + 0.5) AS bigint) AS train FROM sizes)
+SELECT label, cast(NULL AS int) AS fold, n - train AS n_rows FROM cut WHERE n > train
+UNION ALL SELECT label, cast(f AS int) AS fold, (train + 4 - f) // 5 AS n_rows FROM cut, range(5) folds(f) WHERE train > f""",
+    "oversample_class_counts": f"""WITH sizes AS (SELECT cast(is_fraud AS int) AS label, count(*) AS n FROM ({ORACLES['fraud_features_weekly']}) GROUP BY 1),
+  normal AS (SELECT coalesce(sum(n) FILTER (WHERE label = 0), 0) AS n FROM sizes)
+SELECT label, cast(if(label = 1, normal.n // 2, sizes.n) AS bigint) AS n_rows, cast(if(label = 1, least(normal.n // 2, sizes.n), sizes.n) AS bigint) AS n_taxpayers
+FROM sizes, normal""",
+    "stored_model_scores": f"SELECT taxpayer_id, 1 AS model_version, true AS same_score FROM ({ORACLES['fraud_features_weekly']})",
+    "forecast_ranges": f"""SELECT tax_type, count(*) + 90 AS n_rows, min(ds) AS first_day, cast(max(ds) + 90 AS date) AS last_day, true AS ordered, true AS widening
+FROM ({ORACLES['revenue_history']}) GROUP BY tax_type""",
+}

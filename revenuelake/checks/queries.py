@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from revenuelake.functions.scores import engagement_score, fraud_band, risk_category, size_category
 from revenuelake.operators import (
-    compliance, features, forecast, insights, isoforest, models, mutation, profile, quality, revenue, rules, staging,
+    compliance, features, forecast, insights, isoforest, model_store, models, mutation, profile, quality, revenue, rules, staging,
 )
 from revenuelake.plans import bi, live
 from revenuelake.session import materialize, scratch_path, ship_package
@@ -280,6 +280,32 @@ def q_score_taxpayers(t: DerivedTables) -> DataFrame:
     return models.score_taxpayers(model, data)
 
 
+def q_stored_model_scores(t: DerivedTables) -> DataFrame:
+    """A forest is trained, stored with its figures, loaded and applied: scores of the stored model beside the trained one's."""
+    data, folder = training_table(t), scratch_path(t.spark, "models")
+    model = models.train_random_forest(data, features.WEEKLY_FEATURES)
+    model_store.save_model(model, features.WEEKLY_FEATURES, models.feature_importance(model, features.WEEKLY_FEATURES, t.spark), folder)
+    stored = model_store.score_with_stored(model_store.load_model(t.spark, folder), data)
+    same = F.abs(F.col("fraud_probability") - F.col("trained_probability")) < 1e-12
+    trained = models.score_taxpayers(model, data).select("taxpayer_id", F.col("fraud_probability").alias("trained_probability"))
+    return stored.join(trained, "taxpayer_id", "full").select("taxpayer_id", "model_version", same.alias("same_score"))
+
+
+def q_forecast_ranges(t: DerivedTables) -> DataFrame:
+    """What a forecast must hold whatever the fit: its days, and intervals around positive values that widen after the history."""
+    told = materialize(history(t), "history")
+    ends = told.groupBy("tax_type").agg(F.max("ds").alias("_end"))
+    out = forecast.train_forecast(told).join(ends, "tax_type")
+    wide = F.log("yhat_upper") - F.log("yhat_lower")
+    future = F.col("ds") > F.col("_end")
+    ordered = (F.col("yhat_lower") > 0) & (F.col("yhat_lower") <= F.col("yhat")) & (F.col("yhat") <= F.col("yhat_upper"))
+    return out.groupBy("tax_type").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min("ds").alias("first_day"), F.max("ds").alias("last_day"),
+        F.bool_and(ordered).alias("ordered"),
+        (F.max_by(wide, F.when(future, F.col("ds"))) >= F.min_by(wide, F.when(future, F.col("ds"))) * 0.99).alias("widening"),
+    )
+
+
 def q_risk_category(t: DerivedTables) -> DataFrame:
     measured = _joined(
         compliance.with_filing_measures(t.taxpayers.select("taxpayer_id"), t.paye_returns, t.vat_returns),
@@ -464,12 +490,18 @@ QUERIES: dict[str, Query] = {
     "train_random_forest": q_train_random_forest,
     "train_gradient_boosting": q_train_gradient_boosting,
     "split_evaluate_select": q_split_evaluate_select,
+    "split_class_counts": lambda t: models.split_class_counts(training_table(t)),
+    "oversample_class_counts": lambda t: models.balance_oversample(training_table(t)).groupBy(F.col("is_fraud").cast("int").alias("label")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("taxpayer_id").alias("n_taxpayers")
+    ),
+    "stored_model_scores": q_stored_model_scores,
     "feature_importance": q_feature_importance,
     "score_taxpayers": q_score_taxpayers,
     "ml_alerts": lambda t: models.ml_alerts(stored_scores(t), t.taxpayers, t.paye_returns, t.vat_returns, AS_OF),
     # forecasts
     "revenue_history": history,
     "train_forecast": lambda t: forecast.train_forecast(history(t)),
+    "forecast_ranges": q_forecast_ranges,
     "forecast_holdout_mape": lambda t: forecast.forecast_holdout_mape(history(t)),
     "forecast_summary": lambda t: forecast.forecast_summary(forecast.train_forecast(history(t)), AS_OF),
     "forecast_deviation_alerts": lambda t: forecast.forecast_deviation_alerts(

@@ -20,8 +20,10 @@ from revenuelake.functions.dates import months_before
 from revenuelake.functions.ratios import join_text, ratio, two_decimals, zero_if_null
 from revenuelake.functions.scores import fraud_band
 from revenuelake.operators.skew import global_row_number
+from revenuelake.session import materialize
 
 LABEL = "is_fraud"
+MIN_SPLIT_ROWS = 20  # a node with fewer rows is not split: each side of a split holds at least half of that
 
 
 def _class_counts(df: DataFrame) -> tuple[int, int]:
@@ -47,17 +49,41 @@ def balance_oversample(features: DataFrame, key: str = "taxpayer_id", seed: int
     return features.filter(F.col(LABEL) == 0).unionByName(repeated.select(*features.columns))
 
 
-def _uniform(key: str, seed: int) -> Column:
-    """A number in [0, 1) that depends only on the key, so a repeated task draws the same."""
-    return F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1_000_003)) / F.lit(1_000_003.0)
+def class_ranks(features: DataFrame, key: str = "taxpayer_id", seed: int = 42) -> DataFrame:
+    """``class_rank`` (from 1), a row's place within its class by the hash of its key, and ``class_rows``.
+
+    All rows are numbered in one total order of class, hash and key, and each class starts at its own offset, so no
+    task holds a class. The order depends on the keys alone.
+    """
+    ordered = global_row_number(features, [F.col(LABEL), F.xxhash64(F.lit(seed), key), F.col(key)], "_place")
+    classes = ordered.groupBy(F.col(LABEL).alias("_class")).agg((F.min("_place") - 1).alias("_before"), F.count(F.lit(1)).alias("class_rows"))
+    placed = ordered.join(F.broadcast(classes), F.col(LABEL).eqNullSafe(F.col("_class")))  # one row for each label
+    return placed.withColumn("class_rank", F.col("_place") - F.col("_before")).drop("_place", "_class", "_before")
+
+
+def split_and_fold(
+    features: DataFrame, train_share: float = 0.8, folds: int = 5, key: str = "taxpayer_id", seed: int = 42
+) -> DataFrame:
+    """The rows with ``fold``: null for the test rows, else the number of the validation fold.
+
+    Of each class exactly the rounded share is for training, and the class's rows of any two folds differ by at most one.
+    """
+    ranked = class_ranks(features, key, seed)
+    trains = F.col("class_rank") <= F.floor(F.col("class_rows") * train_share + 0.5)
+    return ranked.withColumn("fold", F.when(trains, F.pmod(F.col("class_rank") - 1, F.lit(folds)).cast("int"))).drop("class_rank", "class_rows")
 
 
 def stratified_split(
     features: DataFrame, train_share: float = 0.8, key: str = "taxpayer_id", seed: int = 42
 ) -> tuple[DataFrame, DataFrame]:
-    """Train and test rows; the key's hash gives each class the same expected share."""
-    draw = _uniform(key, seed)
-    return features.filter(draw < train_share), features.filter(draw >= train_share)
+    """Train and test rows; each class is cut at exactly the rounded share."""
+    cut = split_and_fold(features, train_share, 1, key, seed)
+    return cut.filter(F.col("fold").isNotNull()).drop("fold"), cut.filter(F.col("fold").isNull()).drop("fold")
+
+
+def split_class_counts(features: DataFrame) -> DataFrame:
+    """Rows of each class in the test part (fold null) and in each fold of the training part."""
+    return split_and_fold(features).groupBy(F.col(LABEL).cast("int").alias("label"), "fold").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def with_balanced_weights(features: DataFrame) -> DataFrame:
@@ -83,7 +109,9 @@ def _pipeline(columns: Sequence[str], classifier) -> Pipeline:
 def random_forest(columns: Sequence[str], trees: int = 100, depth: int = 10, seed: int = 42) -> Pipeline:
     return _pipeline(
         columns,
-        RandomForestClassifier(labelCol=LABEL, weightCol="weight", numTrees=trees, maxDepth=depth, seed=seed),
+        RandomForestClassifier(
+            labelCol=LABEL, weightCol="weight", numTrees=trees, maxDepth=depth, minInstancesPerNode=MIN_SPLIT_ROWS // 2, seed=seed
+        ),
     )
 
 
@@ -144,15 +172,14 @@ def split_evaluate_select(
     precision, recall, F1 and support.
     """
     spark = features.sparkSession
-    train, test = stratified_split(features, seed=seed)
-    train = train.cache()
+    cut = materialize(split_and_fold(features, folds=folds, seed=seed), "split-features")
+    train, test = cut.filter(F.col("fold").isNotNull()), cut.filter(F.col("fold").isNull()).drop("fold")
     auc = BinaryClassificationEvaluator(labelCol=LABEL, metricName="areaUnderROC")
     candidates = {
         "random_forest": (random_forest(columns, trees, seed=seed), with_balanced_weights),
         "gradient_boosting": (gradient_boosting(columns, trees, seed=seed), lambda df: df.withColumn("weight", F.lit(1.0))),
         "weighted_boosting": (gradient_boosting(columns, trees, seed=seed), with_positive_weights),
     }
-    fold = F.floor(_uniform("taxpayer_id", seed + 1) * folds).cast("int")
 
     def validate(name: str) -> tuple[str, PipelineModel, float, float, float]:
         pipeline, weigh = candidates[name]
@@ -160,7 +187,7 @@ def split_evaluate_select(
             estimator=pipeline, estimatorParamMaps=ParamGridBuilder().build(), evaluator=auc, numFolds=folds,
             foldCol="fold",
         )
-        validated = validator.fit(weigh(train).withColumn("fold", fold))
+        validated = validator.fit(weigh(train))
         model = validated.bestModel  # refitted on all training rows
         score = auc.evaluate(model.transform(test))
         return name, model, float(score), float(validated.avgMetrics[0]), float(validated.stdMetrics[0])
@@ -168,7 +195,6 @@ def split_evaluate_select(
     # The candidates are independent: their jobs share the cluster instead of waiting for each other.
     with ThreadPool(len(candidates)) as pool:
         validated = pool.map(validate, candidates)
-    train.unpersist()
     best = max(validated, key=lambda entry: entry[2])
     figures = [(name, score, mean, spread, name == best[0]) for name, _, score, mean, spread in validated]
     summary = spark.createDataFrame(

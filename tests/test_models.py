@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows_by
 from revenuelake.functions.scores import fraud_band
-from revenuelake.operators import forecast, isoforest, models
+from revenuelake.operators import forecast, isoforest, model_store, models
 
 COLUMNS = ["x", "y"]
 
@@ -40,7 +40,87 @@ def test_split_is_disjoint_and_stratified(planted):
     assert train.count() + test.count() == 400
     assert train.join(test, "taxpayer_id", "left_semi").count() == 0
     share = {r["is_fraud"]: r["n"] for r in train.groupBy("is_fraud").agg(F.count("*").alias("n")).collect()}
-    assert 0.7 < share[1] / 80 < 0.9 and 0.7 < share[0] / 320 < 0.9
+    assert share == {1: 64, 0: 256}
+
+
+def test_classes_are_cut_exactly_and_folds_are_even(planted):
+    some = planted.filter("taxpayer_id != 'T0' AND taxpayer_id != 'T1'")  # 79 and 319 rows
+    cut = models.split_and_fold(some)
+    counts = {(r["is_fraud"], r["fold"]): r["count"] for r in cut.groupBy("is_fraud", "fold").count().collect()}
+    assert sum(n for (label, fold), n in counts.items() if label == 1 and fold is not None) == 63
+    assert sum(n for (label, fold), n in counts.items() if label == 0 and fold is not None) == 255
+    for label in (0, 1):
+        sizes = [counts[label, fold] for fold in range(5)]
+        assert max(sizes) - min(sizes) <= 1
+    where = {r["taxpayer_id"]: r["fold"] for r in cut.collect()}
+    assert where == {r["taxpayer_id"]: r["fold"] for r in models.split_and_fold(some.repartition(7)).collect()}
+
+
+def test_stored_models_score_like_trained_ones(planted, spark, tmp_path):
+    folder = str(tmp_path / "models")
+    assert model_store.stored_versions(spark, folder) == []
+    with pytest.raises(ValueError):
+        model_store.load_model(spark, folder)
+    forest = models.train_random_forest(planted, COLUMNS, trees=5)
+    boosted = models.train_gradient_boosting(planted, COLUMNS, trees=3)
+    figures = spark.createDataFrame([("random_forest", 0.9)], "model string, roc_auc double")
+    assert model_store.save_model(forest, COLUMNS, figures, folder) == 1
+    (tmp_path / "models" / "version=2" / "model").mkdir(parents=True)  # a writer that was lost
+    assert model_store.save_model(boosted, COLUMNS, figures, folder) == 2
+    for version, model in ((1, forest), (2, boosted), (None, boosted)):
+        stored = model_store.load_model(spark, folder, version)
+        got = rows_by(model_store.score_with_stored(stored, planted), "taxpayer_id")
+        want = rows_by(models.score_taxpayers(model, planted), "taxpayer_id")
+        assert {k: v["fraud_probability"] for k, v in got.items()} == {k: v["fraud_probability"] for k, v in want.items()}
+        assert {v["model_version"] for v in got.values()} == {version or 2}
+        assert stored.columns == COLUMNS and stored.figures.collect() == figures.collect()
+    with pytest.raises(ValueError):
+        model_store.score_with_stored(stored, planted.drop("y"))
+    with pytest.raises(ValueError):
+        model_store.load_model(spark, folder, 7)
+
+
+def test_forest_splits_no_small_node(planted):
+    forest = models.train_random_forest(planted.limit(19), COLUMNS, trees=3).stages[-1]
+    assert all(tree.numNodes == 1 for tree in forest.trees)
+
+
+def series_with_a_break(spark, slope_after, seed=3):
+    start, rng = dt.date(2022, 1, 1), np.random.default_rng(seed)
+    days = np.arange(730)
+    trend = 0.0005 * days + np.maximum(days - 400, 0) * slope_after
+    level = 1000 * np.exp(trend + rng.normal(0, 0.04, 730)) * (1 + 0.2 * np.sin(2 * np.pi * days / 7))
+    return days, np.log(level), spark.createDataFrame(
+        [(start + dt.timedelta(days=int(i)), "VAT", float(v)) for i, v in zip(days, level)], "ds date, tax_type string, y double"
+    )
+
+
+def test_planted_break_is_found(spark):
+    days, target, history = series_with_a_break(spark, -0.004)
+    found = forecast.change_points(days.astype(float), target, 729.0)
+    assert 1 <= len(found) <= 3 and np.abs(found - 400).min() < 30
+    bent, straight = (forecast.forecast_holdout_mape(history, bending=b).first()["mape"] for b in (True, False))
+    assert bent < straight / 2
+    _, target, _ = series_with_a_break(spark, 0.0)
+    assert len(forecast.change_points(days.astype(float), target, 729.0)) == 0
+
+
+def test_intervals_widen_with_the_horizon(spark):
+    _, _, history = series_with_a_break(spark, -0.004)
+    rows = sorted(forecast.train_forecast(history).collect(), key=lambda r: r["ds"])[730:]
+    width = [np.log(r["yhat_upper"] / r["yhat_lower"]) for r in rows]
+    assert width[89] > 1.1 * width[0] and width[60] > width[5]
+
+
+def test_coordinate_descent_solves_the_penalised_problem():
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(100, 6))
+    y = x @ np.array([2.0, 0, 0, -1.5, 0, 0]) + rng.normal(0, 0.1, 100)
+    quadratic, linear, strength = x.T @ x, x.T @ y, 30.0
+    change = forecast.sparse_bends(quadratic, linear, strength, np.zeros(6))
+    slope = linear - quadratic @ change
+    assert np.allclose(slope[change != 0], strength * np.sign(change[change != 0]), atol=1e-4)
+    assert (np.abs(slope[change == 0]) <= strength + 1e-6).all() and set(np.flatnonzero(change)) == {0, 3}
 
 
 def test_oversample_reaches_half_the_normal_rows(planted):
