@@ -25,12 +25,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revenuelake.llm.common import tidy, whole_text
+from revenuelake.llm.common import hand_back, tidy, whole_text
 from revenuelake.session import materialize, ship_package
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -57,13 +58,14 @@ class RankTable:
 
 def pair_merges(ranks: dict[bytes, int]) -> np.ndarray:
     """left, right, merged for every two tokens whose bytes together are a token."""
-    found = [
-        (ranks[token[:cut]], ranks[token[cut:]], rank)
+    numbers = (
+        number
         for token, rank in ranks.items()
         for cut in range(1, len(token))
         if token[:cut] in ranks and token[cut:] in ranks
-    ]
-    return np.array(found, dtype=np.int64).reshape(-1, 3)
+        for number in (ranks[token[:cut]], ranks[token[cut:]], rank)
+    )
+    return np.fromiter(numbers, dtype=np.int64).reshape(-1, 3)
 
 
 def rank_table(ranks: dict[bytes, int]) -> RankTable:
@@ -86,14 +88,15 @@ def rank_table(ranks: dict[bytes, int]) -> RankTable:
     return RankTable(base, slots)
 
 
-def _numbers(values, kind: str) -> Column:
+def _numbers(values: np.ndarray, kind: str) -> Column:
     """A literal array: the optimizer folds the split and the cast into one constant."""
-    return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")
+    parts = (",".join(map(str, values[at : at + 4096].tolist())) for at in range(0, len(values), 4096))
+    return F.split(F.lit(",".join(parts)), ",").cast(f"array<{kind}>")
 
 
 def rank_literals(table: RankTable) -> tuple[Column, Column]:
     """The table as two literal arrays, which several expressions share."""
-    return _numbers(table.base.tolist(), "int"), _numbers(table.slots.tolist(), "bigint")
+    return _numbers(table.base, "int"), _numbers(table.slots, "bigint")
 
 
 def fold_merges(tokens: Column, literals: tuple[Column, Column]) -> Column:
@@ -131,7 +134,7 @@ def fold_merges(tokens: Column, literals: tuple[Column, Column]) -> Column:
 
 def byte_tokens(word: Column, ranks: dict[bytes, int]) -> Column:
     """The tokens of a word's single bytes."""
-    first = _numbers([ranks[bytes([b])] for b in range(256)], "int")
+    first = _numbers(np.array([ranks[bytes([b])] for b in range(256)]), "int")
     digits = F.hex(word.cast("binary"))
     return F.transform(
         F.sequence(F.lit(1), F.octet_length(word)),
@@ -201,13 +204,13 @@ def offsets_of(lengths) -> pa.Array:
     return pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))
 
 
-def read_dictionary(stream: bytes) -> tuple[dict[str, int], np.ndarray, np.ndarray]:
-    """Place of each word, offsets and ids of a broadcast Arrow stream; a Python worker lets them go with its task."""
-    coded = pa.ipc.open_stream(stream).read_all().combine_chunks()
+def read_dictionary(stream: bytes) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Words, offsets and ids of a broadcast Arrow stream, where they lie: no Python object for each word."""
+    coded = pa.ipc.open_stream(pa.py_buffer(stream)).read_all().combine_chunks()
     lists = coded.column("ids").chunk(0) if coded.num_rows else pa.array([], pa.list_(pa.int32()))
-    place = dict(zip(coded.column("word").to_pylist(), range(coded.num_rows)))
+    words = coded.column("word").chunk(0) if coded.num_rows else pa.array([], pa.string())
     # One more offset: words without a place (-1) have length 0.
-    return place, np.append(lists.offsets.to_numpy(), 0), lists.values.to_numpy()
+    return words, np.append(lists.offsets.to_numpy(), 0), lists.values.to_numpy()
 
 
 def look_up(dictionary, ranks: dict[bytes, int], pattern: str):
@@ -219,13 +222,19 @@ def look_up(dictionary, ranks: dict[bytes, int], pattern: str):
     bytes_as_tokens = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int32)
 
     def looked_up(batches):
-        place, offsets, flat = read_dictionary(dictionary.value)
+        known, offsets, flat = read_dictionary(dictionary.value)
         split = regex.compile(pattern)
         for batch in slices(batches):
             codes, lengths, rare_words, rare_lengths = [], [], [], []
-            for text in batch.column("text").to_pylist():
-                found = split.findall(text)
-                at = np.array([place.get(w, -1) for w in found], dtype=np.int64)
+            split_texts = [split.findall(text) for text in batch.column("text").to_pylist()]
+            ends = np.cumsum([len(found) for found in split_texts])
+            # The words of a slice, each once, are looked up together.
+            words = pa.array([w for found in split_texts for w in found], pa.string()).dictionary_encode()
+            distinct = pc.fill_null(pc.index_in(words.dictionary, value_set=known), -1).to_numpy().astype(np.int64)
+            places = distinct[words.indices.to_numpy()] if len(words) else np.zeros(0, np.int64)
+            del words
+            for found, end in zip(split_texts, ends):
+                at = places[end - len(found) : end]
                 start = offsets[at].astype(np.int64)
                 length = offsets[at + 1] - start
                 unknown = np.flatnonzero(at < 0).tolist()
@@ -301,12 +310,19 @@ def encode(
     texts = docs.select("doc_id", whole_text().alias("text"))
     counts = materialize(word_counts(texts, pattern), "bpe-words")
     literals = rank_literals(rank_table(ranks))
+    hand_back()
     coded = materialize(encode_words(most_frequent(counts, dictionary_words), ranks, literals), "bpe-dictionary").toArrow()
     stream = pa.BufferOutputStream()
     with pa.ipc.new_stream(stream, coded.schema) as writer:
         writer.write_table(coded)
     del coded
-    dictionary = spark.sparkContext.broadcast(stream.getvalue().to_pybytes())  # at most dictionary_words
+    packed = stream.getvalue()
+    del stream
+    payload = packed.to_pybytes()
+    del packed
+    dictionary = spark.sparkContext.broadcast(payload)  # at most dictionary_words
+    del payload
+    hand_back()  # the driver, too, shares its memory with the JVM
     found = texts.mapInArrow(tidy(look_up(dictionary, ranks, pattern)), "doc_id long, codes array<int>, rare array<array<int>>")
     folded = F.transform("rare", lambda tokens: fold_merges(tokens, literals))
     parts = found.select("doc_id", "codes", folded.alias("folded"))
