@@ -250,5 +250,5 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One document of each class, that of the least id; columns as they come."""
     kept = near_duplicates(docs, threshold).where("rid = rid_kept").select(F.col("rid").alias("rid")).distinct()
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), _row_id().alias("rid"))
-    one = packed.join(kept, "rid", "left_semi").groupBy("rid").agg(F.first("doc").alias("doc"))
+    one = packed.join(kept, "rid", "left_semi").groupBy("rid").agg(F.min("doc").alias("doc"))  # of rows with the same id and text the least
     return one.select("doc.*")
