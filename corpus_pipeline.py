@@ -2,11 +2,17 @@
 
 Each stage works on all rows that its predecessor kept. Models are fitted inside their stage, on the stage's own
 input, and every stage but the last returns the columns of documents.
+
+Defined results: a null text is an empty one, which has no known language and goes; rows with a null id or a null source take part;
+of equal and nearly equal texts the least id stays (a null id after all others), with its own columns; rows that were
+repeated are one row before the mixing repeats them; extra columns travel along as far as the mixing; without labels nothing
+is toxic; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from revenuelake.llm import bpe, jaccard_join, language, mixing, toxicity
 from revenuelake.llm.common import table
@@ -34,8 +40,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id and token ids of every document of the mixture."""
-    return bpe.encode(docs).select("doc_id", "ids")
+    """doc_id and token ids of every document of the mixture, with the digest of the bytes that the ids decode to."""
+    return bpe.decode(bpe.encode(docs)).select("doc_id", "ids", F.sha2("bytes", 256).alias("decoded_sha256"))
 
 
 STAGES = [
