@@ -609,10 +609,11 @@ def _complete(sql: str) -> str:
 
 ORACLES: dict[str, str] = {name: _complete(sql) for name, sql in _PLAIN.items()}
 
-# The same results from tables stored by key.
+# The same results from tables stored by key or refreshed.
 ORACLES |= {
     stored: ORACLES[plain]
     for stored, plain in {
+        "refresh_summary": "materialize_summary",
         "lookup_payment_history": "bi_payment_history",
         "lookup_recent_payments": "live_recent_payments",
         "lookup_taxpayer": "live_taxpayer_lookup",

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from revenuelake.functions.scores import engagement_score, fraud_band, risk_category, size_category
 from revenuelake.operators import (
     compliance, features, forecast, insights, isoforest, model_store, models, mutation, profile, quality, revenue, rules, staging,
+    summary_state,
 )
 from revenuelake.plans import bi, live
 from revenuelake.session import materialize, scratch_path, ship_package
@@ -192,6 +193,15 @@ def q_materialize_summary(t: DerivedTables) -> DataFrame:
     return t.spark.read.parquet(path).drop("month")
 
 
+def q_refresh_summary(t: DerivedTables) -> DataFrame:
+    """The summary built without the payments of one month's last days, which then come late."""
+    folder, late = scratch_path(t.spark, "summary"), F.col("payment_date").between("2000-03-20", "2000-04-05")
+    numbers = materialize(summary_state.number_taxpayers(t.taxpayers), "payer-numbers")
+    summary_state.build_summary(t.payments.filter(~late), numbers, folder)
+    summary_state.refresh_summary(t.payments.filter(late), numbers, folder)
+    return t.spark.read.parquet(f"{folder}/summary").drop("month")
+
+
 def q_publish_views(t: DerivedTables) -> DataFrame:
     writers.publish_views({"stg_paye_returns": staging.stg_paye_returns(t.paye_returns)})
     return t.spark.sql(
@@ -342,6 +352,7 @@ QUERIES: dict[str, Query] = {
     "write_csv": q_write_csv,
     "write_json_report": q_write_json_report,
     "materialize_summary": q_materialize_summary,
+    "refresh_summary": q_refresh_summary,
     "publish_views": q_publish_views,
     "region_districts": lambda t: readers.region_districts(t.regions),
     # table changes
