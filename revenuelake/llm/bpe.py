@@ -35,7 +35,7 @@ from revenuelake.llm.common import hand_back, tidy, whole_text
 from revenuelake.session import materialize, ship_package
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-DICTIONARY_WORDS = 1 << 19
+DICTIONARY_WORDS = 1 << 18
 LONG_WORD = 64
 RANK_BITS = 20
 SLICE_ROWS = 1000  # texts held at once by a Python worker
