@@ -635,3 +635,6 @@ FROM sizes, normal""",
     "forecast_ranges": f"""SELECT tax_type, count(*) + 90 AS n_rows, min(ds) AS first_day, cast(max(ds) + 90 AS date) AS last_day, true AS ordered, true AS widening
 FROM ({ORACLES['revenue_history']}) GROUP BY tax_type""",
 }
+
+# The payment rule over its own six months.
+ORACLES["payment_anomalies_6m"] = ORACLES["payment_anomalies"].replace(f"INTERVAL {ANOMALY_MONTHS} MONTH", "INTERVAL 6 MONTH")

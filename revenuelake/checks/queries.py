@@ -423,6 +423,7 @@ QUERIES: dict[str, Query] = {
     "vat_drop": lambda t: rules.vat_drop(t.vat_returns),
     "paye_revenue_mismatch": lambda t: rules.paye_revenue_mismatch(t.paye_returns, t.taxpayers),
     "payment_anomalies": lambda t: rules.payment_anomalies(t.payments, AS_OF, ANOMALY_MONTHS),
+    "payment_anomalies_6m": lambda t: rules.payment_anomalies(t.payments, AS_OF),
     "peer_anomalies": _from_profile(rules.peer_anomalies),
     "alerts_vat_drop": _from_profile(rules.alerts_vat_drop, "vat_returns"),
     "alerts_paye_mismatch": _from_profile(rules.alerts_paye_mismatch, "paye_returns"),
