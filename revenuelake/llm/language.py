@@ -48,10 +48,7 @@ def _letter(code: int) -> np.ndarray:
 @cache
 def _is_letter() -> np.ndarray:
     """For every code point, whether it is a letter."""
-    table = np.zeros(0x110000, dtype=bool)
-    for code in range(0x32000):
-        table[code] = chr(code).isalpha()
-    return table
+    return np.fromiter((chr(code).isalpha() for code in range(0x110000)), dtype=bool, count=0x110000)
 
 
 def grams(text: str) -> tuple[np.ndarray, np.ndarray]:

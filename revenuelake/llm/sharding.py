@@ -9,12 +9,13 @@ The map has one row for each slot, a fixed number; only it is gathered in one ro
 are numbered within their shard from the counts of fine buckets, whose number follows the shuffle partitions, so
 no task ever holds a shard.
 
-Defined results: a null text is empty (16 bytes); null ids are spread by their text; repeated rows share a slot
-but have numbers of their own; an empty table gives an empty result and an even map. Extra columns are ignored.
+Defined results: a null text is empty (16 bytes); equal texts are spread by their ids, null ids by their text; repeated
+rows share a slot but have numbers of their own; an empty table gives an empty result and an even map. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -25,6 +26,7 @@ SLOTS = 8192
 SHARDS = 40
 RECORD_BYTES = 16
 LAW = "bytes"
+MAP_SCHEMA = "version int, vslot int, shard int"
 
 
 def records(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
@@ -94,16 +96,29 @@ def rebalance(slot_map: DataFrame, sizes: DataFrame, shards: int) -> DataFrame:
     return both.crossJoin(F.broadcast(version)).select("version", "vslot", "shard")
 
 
+def latest_version(spark: SparkSession, path: str) -> int:
+    """The latest version of the map stored at ``path``, 0 if there is none."""
+    try:
+        return spark.read.schema(MAP_SCHEMA).parquet(path).agg(F.max("version")).first()[0] or 0
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return 0
+
+
 def store_map(slot_map: DataFrame, path: str) -> None:
-    """Add a version of the map to the table at ``path``."""
+    """Add a version of the map to the table at ``path``. A version that is not later than all stored ones is an error."""
+    spark = slot_map.sparkSession
+    latest, given = latest_version(spark, path), slot_map.agg(F.min("version")).first()[0]
+    if given is not None and given <= latest:
+        raise ValueError(f"version {given} of the slot map is not later than version {latest}, which is stored")
     slot_map.write.mode("append").parquet(path)
 
 
 def load_map(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
     """One version of a stored map, the latest by default."""
-    stored = spark.read.parquet(path)
-    wanted = F.lit(version) if version is not None else F.lit(stored.agg(F.max("version")).first()[0])
-    return stored.where(F.col("version") == wanted)
+    wanted = version if version is not None else latest_version(spark, path)
+    return spark.read.schema(MAP_SCHEMA).parquet(path).where(F.col("version") == wanted)
 
 
 def place(rows: DataFrame, slot_map: DataFrame) -> DataFrame:
@@ -123,9 +138,16 @@ def place(rows: DataFrame, slot_map: DataFrame) -> DataFrame:
 
 
 def shard_documents(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS, map_path: str | None = None) -> DataFrame:
-    """Place all documents by a new map, which is stored at ``map_path`` (a new shared folder by default)."""
+    """Place all documents by the map at ``map_path`` (a new shared folder by default).
+
+    Where a map is stored already, it is edited for the new sizes and stored as its next version.
+    """
     spark = docs.sparkSession
     rows = materialize(records(docs, slots), "slot-records")
     path = map_path or scratch_path(spark, "slot-map")
-    store_map(first_map(slot_bytes(rows, slots), shards), path)
+    sizes = slot_bytes(rows, slots)
+    stored = map_path is not None and latest_version(spark, path) > 0
+    # The next version is written beside the table that it is read from, before it is added to it.
+    following = materialize(rebalance(load_map(spark, path), sizes, shards), "slot-map-next") if stored else first_map(sizes, shards)
+    store_map(following, path)
     return place(rows, load_map(spark, path))

@@ -167,6 +167,46 @@ def test_malformed_expressions():
     assert row["labels"] == "apache,expression-error,mit" and row["n_expressions"] == 2
 
 
+@pytest.mark.parametrize(
+    ("line", "labels"),
+    [
+        ("MIT and this file is part of the project", "mit"),
+        ("MIT OR Apache-2.0 or whatever you like", "apache,mit"),
+        ("(MIT OR GPL-2.0-only) AND the rest of the line", "gpl,mit"),
+        ("(MIT OR GPL-2.0-only", "expression-error"),
+        ("(MIT OR Apache-2.0) AND (GPL-3.0", "apache,expression-error,mit"),
+        ("GPL-2.0-only WITH Classpath-exception-2.0 */", "gpl"),
+        ("GPL-2.0-only WITH Linux-syscall-note", "gpl"),
+        ("GPL-2.0-only with thanks to all", "gpl"),
+        ("DocumentRef-x:LicenseRef-y", "licenseref"),
+        ("LicenseRef-own AND MIT", "licenseref,mit"),
+        ("MIT. See the file for more.", "mit"),
+        ("GPL-3.0-or-later OR MPL-1.1+", "gpl,mpl"),
+        ("CC-BY-NC-SA-4.0", "cc-by,cc-by-nc,cc-by-nc-sa"),
+        ("mit-style terms", "expression-error"),
+        ("a file of prose", "expression-error"),
+        ("BSD-3-Clause MIT", "bsd"),
+        ("MIT)", "mit"),
+        ("", ""),
+    ],
+)
+def test_labels_after_tags_are_identifiers(line, labels):
+    row = dict(zip(licenses.COLUMNS, licenses.scan_text(f"x\n# SPDX-License-Identifier: {line}\nnext line of text")))
+    assert row["labels"] == labels
+
+
+def test_no_label_outside_known_names(texts):
+    known = set(licenses.STRICTNESS) | {"expression-error", ""} | set(licenses.BASE.values())
+    rng = np.random.default_rng(11)
+    words = sorted({w for _, t, *_ in texts[:50] for w in t.split()}) + ["MIT", "OR", "AND", "WITH", "(", ")", "GPL-2.0", "Apache-2.0", "LicenseRef-a"]
+    weights = np.ones(len(words))
+    weights[-9:] = len(words) / 3
+    for _ in range(2000):
+        line = " ".join(rng.choice(words, int(rng.integers(0, 12)), p=weights / weights.sum()))
+        row = dict(zip(licenses.COLUMNS, licenses.scan_text(f"SPDX-License-Identifier: {line}")))
+        assert set(row["labels"].split(",")) <= known and 0 <= row["score"] <= 1
+
+
 # --- fingerprints -------------------------------------------------------------------------------
 
 
@@ -261,6 +301,22 @@ def test_sharding(spark, documents, texts, odd, none, tmp_path):
     assert sharding.shard_documents(odd).count() == len(ODD) and sharding.shard_documents(none).count() == 0
 
 
+def test_a_map_path_is_used_again(spark, documents, tmp_path):
+    path = str(tmp_path / "map")
+    docs = documents(*[(i, f"text {i} " * (1 + i % 7)) for i in range(200)])
+    first = by_id(sharding.shard_documents(docs, shards=4, map_path=path))
+    more = docs.unionByName(documents(*[(i, "another text " * 9) for i in range(200, 260)]))
+    again = sharding.shard_documents(more, shards=4, map_path=path)
+    second = by_id(again)
+    assert (len(first), again.count(), sharding.latest_version(spark, path)) == (200, 260, 2)
+    assert {r["vslot"] for i, r in second.items() if i < 200} == {r["vslot"] for r in first.values()}
+    stored = spark.read.parquet(path).groupBy("version").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("vslot").alias("d")).collect()
+    assert {(r["version"], r["n"], r["d"]) for r in stored} == {(v, sharding.SLOTS, sharding.SLOTS) for v in (1, 2)}
+    with pytest.raises(ValueError):
+        sharding.store_map(sharding.load_map(spark, path, 1), path)
+    assert sharding.latest_version(spark, str(tmp_path / "none")) == 0
+
+
 # --- near copies --------------------------------------------------------------------------------
 
 
@@ -370,6 +426,11 @@ def test_bundles_are_sums_of_bound_vectors():
     assert counts.sum() == 8 and np.array_equal(language.bundles([text])[0], want)
 
 
+def test_every_letter_counts():
+    for code in (0x61, 0x4E2D, 0x20000, 0x32100, 0x323AF):
+        assert chr(code).isalpha() == (len(language.grams(chr(code) * 3)[0]) > 0)
+
+
 # --- byte-level BPE -----------------------------------------------------------------------------
 
 
@@ -446,6 +507,24 @@ def test_chat_examples(spark):
     assert {r["conv_id"]: r["n"] for r in spans} == {c: r["formatted_chars"] for c, r in chars.items()}
 
 
+@pytest.mark.parametrize("shift", [(1, 0), (0, 1), (-1, 0), (0, -1), (3, 3), (-30, 0)])
+def test_wrong_spans_show_in_the_digest(spark, shift):
+    turns = spark.createDataFrame(TURNS, "conv_id long, turn long, role string, text string")
+    output = chat.formatted(chat.format_turns(turns))
+
+    def moved(e):
+        spans = e.withField("target_start", e["target_start"] + shift[0]).withField("target_end", e["target_end"] + shift[1])
+        return F.when(e.isNotNull(), spans)
+
+    def trained(rows):
+        parts = [(r["conv_id"], r["at"], r["trained"]) for r in chat.read_back(rows).collect() if r["trained"] is not None]
+        return {(c, at): text for c, at, text in parts}
+
+    right, wrong = trained(output), trained(output.withColumn("examples", F.transform("examples", moved)))
+    assert right[1, 2] == TURNS[2][3] and right[3, 0] == "a" and right[3, 1] == "b"
+    assert all(wrong[k] != right[k] for k in right if right[k])
+
+
 # --- mixing -------------------------------------------------------------------------------------
 
 
