@@ -160,6 +160,24 @@ def q_copy_csv_load(t: DerivedTables) -> DataFrame:
     return counts
 
 
+def q_copy_csv_rejects(t: DerivedTables) -> DataFrame:
+    """All payments, some made faulty by their number, loaded and rejected."""
+    source, target = scratch_path(t.spark, "csv"), scratch_path(t.spark, "tables")
+    texts, ends = t.payments.select(*[F.col(c).cast("string").alias(c) for c in t.payments.columns]), F.right(F.col("payment_id"), F.lit(2))
+    faulty = texts.withColumns(
+        {
+            "payment_date": F.when(ends == "07", F.lit("2001-02-30")).otherwise(F.col("payment_date")),
+            "amount": F.when(ends == "13", F.lit("n/a")).when(ends == "29", F.lit(None)).otherwise(F.col("amount")),
+            "period_year": F.when(ends == "29", F.lit("last year")).otherwise(F.col("period_year")),
+        }
+    )
+    writers.write_csv(faulty, f"{source}/payments.csv")
+    writers.copy_csv_load(t.spark, source, target, ["payments"], f"{target}/rejects")
+    loaded = readers.read_table(t.spark, target, "payments").select("payment_id", F.lit(None).cast("string").alias("reason"), "amount", "payment_date")
+    rejects = t.spark.read.parquet(f"{target}/rejects")
+    return loaded.unionByName(rejects.select(F.split("record", ",")[0].alias("payment_id"), "reason"), allowMissingColumns=True)
+
+
 def q_overwrite_table(t: DerivedTables) -> DataFrame:
     path = f"{scratch_path(t.spark, 'tables')}/vat_returns"
     writers.overwrite_table(t.vat_returns, path)
@@ -347,6 +365,7 @@ QUERIES: dict[str, Query] = {
     # sources, sinks
     "read_csv_table": q_read_csv_table,
     "copy_csv_load": q_copy_csv_load,
+    "copy_csv_rejects": q_copy_csv_rejects,
     "overwrite_table": q_overwrite_table,
     "read_table": q_read_table,
     "write_csv": q_write_csv,

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revenuelake import constants as C
-from revenuelake.schemas import PRIMARY_KEYS
+from revenuelake.schemas import PRIMARY_KEYS, REQUIRED
 
 
 def dq_null_ids(taxpayers: DataFrame) -> DataFrame:
@@ -66,12 +66,15 @@ ACCEPTED_VALUES = [
     ("payments", "status", C.PAYMENT_STATUSES),
 ]
 UNIQUE = [("taxpayers", "tin"), *[(t, PRIMARY_KEYS[t][0]) for t in ("taxpayers", "paye_returns", "vat_returns", "payments")]]
+REFERRING = ["paye_returns", "vat_returns", "corporate_tax", "payments", "fraud_alerts"]  # tables whose taxpayer_id refers to a taxpayer
 NOT_NULL = [
     *UNIQUE,
     ("paye_returns", "taxpayer_id"), ("vat_returns", "taxpayer_id"), ("payments", "taxpayer_id"),
     ("taxpayers", "compliance_score"),
+    # Asset registries come from other offices and are not gated.
+    *[(t, c) for t, columns in REQUIRED.items() if not t.endswith("_registry") for c in columns if (t, c) not in UNIQUE],
 ]
-RELATIONSHIPS = [("paye_returns", "taxpayer_id"), ("vat_returns", "taxpayer_id")]
+RELATIONSHIPS = [(table, "taxpayer_id") for table in REFERRING]
 
 
 def _row_checks(table: str, df: DataFrame) -> DataFrame | None:

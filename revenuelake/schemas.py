@@ -90,6 +90,18 @@ SCHEMAS: dict[str, StructType] = {
     ),
 }
 
+# Columns declared NOT NULL besides the keys.
+REQUIRED: dict[str, list[str]] = {
+    "taxpayers": ["tin", "name", "registration_date"],
+    "paye_returns": ["period_year", "period_month", "due_date"],
+    "vat_returns": ["period_year", "period_quarter", "due_date"],
+    "corporate_tax": ["tax_year", "due_date"],
+    "payments": ["payment_date", "amount"],
+    "companies_registry": ["company_name"],
+    "fraud_alerts": ["alert_date"],
+    "regions": ["region_name"],
+}
+
 PRIMARY_KEYS: dict[str, list[str]] = {
     "taxpayers": ["taxpayer_id"],
     "paye_returns": ["return_id"],

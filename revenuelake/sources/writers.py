@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from revenuelake.operators.revenue import revenue_summary
 
 from revenuelake.sources.readers import line_ends_escaped, read_csv_table
+from revenuelake.sources.rejects import read_csv_with_rejects
 
 # Tables loaded from CSV files, in load order.
 CSV_TABLES = [
@@ -40,10 +41,21 @@ def write_payments(payments: DataFrame, path: str) -> None:
     overwrite_table(by_month, path, ["payment_month"])
 
 
-def copy_csv_load(spark: SparkSession, source: str, target: str, tables: Sequence[str] = CSV_TABLES) -> list[str]:
-    """Append the CSV file of each table to its stored table and return the tables loaded."""
+def copy_csv_load(
+    spark: SparkSession, source: str, target: str, tables: Sequence[str] = CSV_TABLES, rejects: str | None = None
+) -> list[str]:
+    """Append the CSV file of each table to its stored table and return the tables loaded.
+
+    With a path for ``rejects``, records that cannot be taken are appended there with their file and reasons; without, malformed
+    dates become NULL and other malformed values are an error.
+    """
     for table in tables:
-        frame = read_csv_table(spark, table, f"{source.rstrip('/')}/{table}.csv")
+        path = f"{source.rstrip('/')}/{table}.csv"
+        if rejects is None:
+            frame = read_csv_table(spark, table, path)
+        else:
+            frame, rejected = read_csv_with_rejects(spark, table, path)
+            rejected.write.mode("append").parquet(rejects)
         frame.write.mode("append").parquet(f"{target.rstrip('/')}/{table}")
     return list(tables)
 

@@ -4,6 +4,7 @@ import pytest
 
 import golden
 from conftest import rows_by
+from revenuelake.operators import quality
 from revenuelake.plans import elt
 from revenuelake.sources import readers, writers
 
@@ -103,3 +104,38 @@ def test_daily_load(spark, tmp_path):
     (source / "paye_returns.csv").write_text("return_id,taxpayer_id,status\nX,NOBODY,Filed\n")
     with pytest.raises(ValueError, match="relationships"):
         elt.run_daily_load(spark, str(source), str(target), dt.date(2023, 6, 1))
+
+
+def test_rejects_hold_what_a_load_cannot_take(spark, tmp_path):
+    head = "payment_id,taxpayer_id,payment_date,amount,period_year,status\n"
+    lines = [
+        'P1,A,2001-02-03,10.50,2001,Completed', 'P2,A,2001-02-30,1,2001,Completed', 'P3,A,2001-02-03,ten,x,Completed', ',A,2001-02-03,1,2001,"a, ""b"""',
+        'P5,A,2001-02-03,1', 'P6,A,2001-02-03,1,2001,Completed,more', 'P7,A,,,,', 'P8,,2001-02-03, 7 ,25.0,',
+    ]
+    (tmp_path / "payments.csv").write_text(head + "\n".join(lines) + "\n")
+    target, path = str(tmp_path / "out"), str(tmp_path / "rejects")
+    for _ in range(2):
+        writers.copy_csv_load(spark, str(tmp_path), target, ["payments"], path)
+    stored, rejected = readers.read_table(spark, target, "payments"), spark.read.parquet(path)
+    assert (stored.count(), rejected.count()) == (4, 12)
+    rows = rows_by(stored, "payment_id")
+    assert {i: (r["taxpayer_id"], r["period_year"], float(r["amount"])) for i, r in rows.items()} == {"P1": ("A", 2001, 10.5), "P8": (None, 25, 7.0)}
+    found = {r["record"].split(",")[0].strip('"'): r for r in rejected.collect()}
+    assert {i: r["reason"] for i, r in found.items()} == {
+        "P2": "malformed payment_date", "P3": "malformed amount; malformed period_year", "": "missing payment_id", "P5": "wrong number of fields",
+        "P6": "wrong number of fields", "P7": "missing payment_date; missing amount",
+    }
+    assert found["P6"]["record"] == lines[5] and {r["table_name"] for r in found.values()} == {"payments"}
+    assert all(r["file"].endswith("/payments.csv") for r in found.values())
+
+
+def test_dates_and_unknown_taxpayers_stop_at_the_gate(table):
+    taxpayers = table("taxpayers", [dict(taxpayer_id="A", tin="1", name="a", registration_date="2000-01-01", compliance_score=0.5)])
+    good = dict(payment_id="1", taxpayer_id="A", payment_date="2001-01-01", amount=1, reference_number="R", status="Completed")
+    for wrong, told in (({}, None), ({"payment_date": None}, "not_null payments.payment_date: 1"), ({"taxpayer_id": "B"}, "relationships payments.taxpayer_id: 1")):
+        report = quality.dq_report({"taxpayers": taxpayers, "payments": table("payments", [good | wrong])})
+        if told is None:
+            quality.require_quality(report)
+        else:
+            with pytest.raises(ValueError, match=told):
+                quality.require_quality(report)
