@@ -9,7 +9,7 @@ from __future__ import annotations
 import re
 
 from revenuelake import constants as C
-from revenuelake.checks.queries import ANOMALY_MONTHS, AS_OF, RANGE, SEARCH, TAXPAYER
+from revenuelake.checks.queries import ANOMALY_MONTHS, AS_OF, BI_SQL_INPUTS, RANGE, SEARCH, TAXPAYER
 from revenuelake.operators.insights import feature_columns
 from revenuelake.operators.quality import ACCEPTED_VALUES, NOT_NULL, RELATIONSHIPS, UNIQUE
 from revenuelake.schemas import SCHEMAS
@@ -626,6 +626,9 @@ ORACLES |= {
     }.items()
 }
 
+# The dashboard pack sent as SQL text gives the same rows.
+ORACLES |= {f"sql_{name}": ORACLES[name] for name in BI_SQL_INPUTS}
+
 # Facts about trained results that hold whatever the fit.
 ORACLES |= {
     "split_class_counts": f"""WITH sizes AS (SELECT cast(is_fraud AS int) AS label, count(*) AS n FROM ({ORACLES['fraud_features_weekly']}) GROUP BY 1),

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from revenuelake.operators import (
     compliance, features, forecast, insights, isoforest, model_store, models, mutation, profile, quality, revenue, rules, staging,
     summary_state,
 )
-from revenuelake.plans import bi, live
+from revenuelake.plans import bi, bi_sql, live
 from revenuelake.session import materialize, scratch_path, ship_package
 from revenuelake.sources import lookup, readers, writers
 from revenuelake.sources.adapter import VIEWS, DerivedTables
@@ -558,6 +559,52 @@ QUERIES: dict[str, Query] = {
 }
 
 
+# What each query of the SQL pack reads, and its parameters.
+BI_SQL_INPUTS: dict[str, tuple[tuple[str, ...], dict[str, dt.date | str]]] = {
+    "bi_latest_month_by_type": (("revenue_dashboard_metrics",), {}),
+    "bi_revenue_trend_12m": (("revenue_dashboard_metrics",), {"as_of": AS_OF}),
+    "bi_regional_heatmap": (("revenue_dashboard_metrics",), {"as_of": AS_OF}),
+    "bi_target_vs_actual": (("revenue_dashboard_metrics",), {"as_of": AS_OF}),
+    "bi_yoy": (("revenue_dashboard_metrics",), {"as_of": AS_OF}),
+    "bi_channel_distribution": (("revenue_dashboard_metrics",), {"as_of": AS_OF}),
+    "bi_alerts_by_priority": (("fraud_detection_alerts",), {}),
+    "bi_top20_risk": (("fraud_detection_alerts",), {}),
+    "bi_alerts_by_type": (("fraud_detection_alerts",), {}),
+    "bi_risk_by_sector": (("taxpayer_360", "fraud_detection_alerts"), {}),
+    "bi_taxpayer_profile": (("taxpayer_360",), {"taxpayer_id": TAXPAYER}),
+    "bi_payment_history": (("payments",), {"taxpayer_id": TAXPAYER}),
+    "bi_compliance_timeline": (("paye_returns", "vat_returns"), {"taxpayer_id": TAXPAYER}),
+    "bi_peer_comparison": (("taxpayer_360",), {"taxpayer_id": TAXPAYER}),
+    "bi_revenue_by_sector": (("payments", "taxpayers"), {"start": RANGE[0], "end": RANGE[1]}),
+    "bi_compliance_by_region": (("taxpayer_360",), {}),
+    "bi_payment_delays": (("payments", "paye_returns", "vat_returns"), {"as_of": AS_OF}),
+    "bi_forecast_30d": (("revenue_forecasts",), {"as_of": AS_OF}),
+    "bi_forecast_vs_actual": (("revenue_forecasts", "payments"), {"as_of": AS_OF}),
+}
+
+
+def run_bi_sql(t: DerivedTables, name: str) -> DataFrame:
+    """A query of the SQL pack over views of the stored profile, the alerts and the other tables."""
+    wanted, parameters = BI_SQL_INPUTS[name]
+    made: dict[str, DataFrame] = {}
+    for table in wanted:
+        if table == "revenue_dashboard_metrics":
+            made[table] = metrics(t)
+        elif table == "taxpayer_360":
+            made[table] = stored_profile(t)
+        elif table == "fraud_detection_alerts":
+            made[table] = rule_alerts(t, made.get("taxpayer_360"))
+        elif table == "revenue_forecasts":
+            made[table] = shifted_forecasts(t, 30)
+        else:
+            made[table] = getattr(t, table)
+    bi_sql.publish_dashboard(**made)
+    return bi_sql.run_sql(t.spark, name, **parameters)
+
+
+QUERIES |= {f"sql_{name}": partial(run_bi_sql, name=name) for name in BI_SQL_INPUTS}
+
+
 def run_query(name: str, spark: SparkSession, folder: str) -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     ship_package(spark)
