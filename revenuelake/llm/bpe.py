@@ -30,6 +30,7 @@ import public_tokenizers
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from revenuelake.llm.common import hand_back, tidy, whole_text
 from revenuelake.session import materialize, ship_package
@@ -276,8 +277,31 @@ def look_up(dictionary, ranks: dict[bytes, int], pattern: str):
     return looked_up
 
 
-def splice(batches):
-    """Put folded words in their places: doc_id, ids and the ids as little-endian unsigned 32-bit integers."""
+def piece_array(ranks: dict[bytes, int]) -> pa.Array:
+    """The bytes of each token by its id, and after them an empty piece, for ids that are no token."""
+    pieces = [b""] * (max(ranks.values(), default=-1) + 2)
+    for token, rank in ranks.items():
+        pieces[rank] = token
+    return pa.array(pieces, pa.binary())
+
+
+def joined_pieces(ids: np.ndarray, ends: np.ndarray, pieces: pa.Array) -> pa.Array:
+    """The bytes of each row's ids, which are ``ids[ends[row] : ends[row + 1]]``.
+
+    Taken one after the other, the pieces lie in one buffer, in which only the rows' ends are to be marked.
+    """
+    none = len(pieces) - 1
+    taken = pieces.take(pa.array(np.where((ids >= 0) & (ids < none), ids, none)))
+    _, places, joined = taken.buffers()
+    places = np.frombuffer(places, np.int32)[: len(ids) + 1] if len(ids) else np.zeros(1, np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(places[ends].astype(np.int32)), joined or pa.py_buffer(b"")])
+
+
+def splice(batches, pieces: pa.Array | None = None):
+    """Put folded words in their places: doc_id, ids and the ids as little-endian unsigned 32-bit integers.
+
+    With ``pieces`` the ids are decoded as well, to ``bytes``.
+    """
     for batch in slices(batches):
         codes, folded = batch.column("codes"), batch.column("folded")
         ends = codes.offsets.to_numpy()
@@ -297,13 +321,20 @@ def splice(batches):
         places = after[ends].astype(np.int32)
         lists = pa.ListArray.from_arrays(pa.array(places), pa.array(ids))
         packed = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer(places * np.int32(4)), pa.py_buffer(ids)])
-        yield pa.record_batch([batch.column("doc_id"), lists, packed], names=["doc_id", "ids", "packed"])
+        made = {"doc_id": batch.column("doc_id"), "ids": lists, "packed": packed}
+        if pieces is not None:
+            made["bytes"] = joined_pieces(ids, places, pieces)
+        yield pa.record_batch(list(made.values()), names=list(made))
 
 
 def encode(
-    docs: DataFrame, vocabulary: str | None = None, pattern: str = public_tokenizers.PATTERN, dictionary_words: int = DICTIONARY_WORDS
+    docs: DataFrame, vocabulary: str | None = None, pattern: str = public_tokenizers.PATTERN, dictionary_words: int = DICTIONARY_WORDS,
+    with_bytes: bool = False,
 ) -> DataFrame:
-    """doc_id, ids and packed ids of every whole text. ``vocabulary`` is the path of a rank file, read by the driver."""
+    """doc_id, ids and packed ids of every whole text. ``vocabulary`` is the path of a rank file, read by the driver.
+
+    ``with_bytes`` adds ``bytes``, to which the ids decode.
+    """
     spark = docs.sparkSession
     ship_package(spark)
     ranks = load_ranks(vocabulary or public_tokenizers.path(VOCABULARY))
@@ -326,21 +357,36 @@ def encode(
     found = texts.mapInArrow(tidy(look_up(dictionary, ranks, pattern)), "doc_id long, codes array<int>, rare array<array<int>>")
     folded = F.transform("rare", lambda tokens: fold_merges(tokens, literals))
     parts = found.select("doc_id", "codes", folded.alias("folded"))
+    schema = "doc_id long, ids array<int>, packed binary" + (", bytes binary" if with_bytes else "")
+    pieces = piece_array(ranks) if with_bytes else None
 
-    return parts.mapInArrow(tidy(splice), "doc_id long, ids array<int>, packed binary")
+    def spliced(batches):
+        return splice(batches, pieces)
+
+    return parts.mapInArrow(tidy(spliced), schema)
 
 
 def decode(encoded: DataFrame, vocabulary: str | None = None) -> DataFrame:
-    """The bytes of each row's ids: all other columns and ``bytes``."""
-    ranks = load_ranks(vocabulary or public_tokenizers.path(VOCABULARY))
-    pieces = {rank: token.hex() for token, rank in ranks.items()}
-    literal = F.split(F.lit(",".join(pieces.get(i, "") for i in range(max(pieces) + 1))), ",")
-    return encoded.withColumn("bytes", F.unhex(F.array_join(F.transform("ids", lambda i: F.get(literal, i)), "")))
+    """The bytes of each row's ids: all other columns and ``bytes``. Null ids give null, ids that are no token nothing."""
+    ship_package(encoded.sparkSession)
+    pieces = piece_array(load_ranks(vocabulary or public_tokenizers.path(VOCABULARY)))
+    given = encoded.drop("bytes")
+
+    def decoded(batches):
+        for batch in slices(batches):
+            ids = batch.column("ids")
+            ends = ids.offsets.to_numpy().astype(np.int64)
+            flat = pc.fill_null(ids.values, -1).to_numpy()[ends[0] : ends[-1]]
+            joined = joined_pieces(flat, ends - ends[0], pieces)
+            joined = pc.if_else(ids.is_valid(), joined, pa.scalar(None, pa.binary()))
+            yield pa.record_batch([*batch.columns, joined], names=[*batch.schema.names, "bytes"])
+
+    return given.mapInArrow(tidy(decoded), StructType([*given.schema.fields, StructField("bytes", BinaryType())]))
 
 
 def digests(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """doc_id, number of tokens and the digests of the ids and of the decoded bytes."""
-    return decode(encode(docs, vocabulary), vocabulary).select(
+    return encode(docs, vocabulary, with_bytes=True).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2("packed", 256).alias("ids_sha256"),

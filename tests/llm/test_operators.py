@@ -448,6 +448,30 @@ def test_byte_bpe(documents, texts, dictionary_words):
         assert bytes(got[i]["bytes"] or b"") == text.encode()
 
 
+def test_digests_are_those_of_ids_and_text(documents, texts):
+    ranks = bpe.load_ranks(public_tokenizers.path(bpe.VOCABULARY))
+    known = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    rows = [t[:2] for t in texts[:200]]
+    got = by_id(bpe.digests(documents(*rows)))
+    for i, text in rows:
+        ids = np.array(known.encode_ordinary(text), dtype="<u4")
+        assert (got[i]["n_tokens"], got[i]["ids_sha256"]) == (len(ids), hashlib.sha256(ids.tobytes()).hexdigest())
+        assert got[i]["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_decode_odd_ids(spark):
+    ranks = bpe.load_ranks(public_tokenizers.path(bpe.VOCABULARY))
+    token = {rank: piece for piece, rank in ranks.items()}
+    rows = [(1, [5, 600, 40_000]), (2, []), (3, None), (4, [5, -1, 10**9, None, 7]), (4, [5, -1, 10**9, None, 7]), (None, [300] * 5000)]
+    df = spark.createDataFrame([(*r, "x", "y") for r in rows], "doc_id long, ids array<int>, bytes string, pieces string")
+    got = bpe.decode(df)
+    assert got.columns == ["doc_id", "ids", "pieces", "bytes"]
+    want = {1: token[5] + token[600] + token[40_000], 2: b"", 3: None, 4: token[5] + token[7], None: token[300] * 5000}
+    found = got.collect()
+    assert len(found) == len(rows) and all((bytes(r["bytes"]) if r["bytes"] is not None else None) == want[r["doc_id"]] for r in found)
+    assert bpe.decode(df.limit(0)).count() == 0
+
+
 def test_byte_bpe_digests(odd, none):
     rows = bpe.digests(odd).collect()
     empty = hashlib.sha256(b"").hexdigest()
