@@ -41,7 +41,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id and token ids of every document of the mixture, with the digest of the bytes that the ids decode to."""
-    return bpe.decode(bpe.encode(docs)).select("doc_id", "ids", F.sha2("bytes", 256).alias("decoded_sha256"))
+    return bpe.encode(docs, with_bytes=True).select("doc_id", "ids", F.sha2("bytes", 256).alias("decoded_sha256"))
 
 
 STAGES = [
