@@ -403,6 +403,11 @@ _PLAIN: dict[str, str] = {
     "upsert_forecasts": f"""SELECT forecast_date, tax_type, {num('predicted_revenue')} AS predicted_revenue, {num('lower_bound')} AS lower_bound,
   {num('upper_bound')} AS upper_bound, stamp AS created_at
 FROM (SELECT *, timestamp '{AS_OF} 00:00:00' AS stamp FROM t_forecast20 UNION ALL SELECT *, timestamp '2001-07-01 00:00:00' FROM t_forecast30)
+QUALIFY row_number() OVER (PARTITION BY forecast_date, tax_type ORDER BY stamp DESC) = 1""",
+    "upsert_stored_forecasts": f"""SELECT forecast_date, tax_type, {num('predicted_revenue')} AS predicted_revenue, {num('lower_bound')} AS lower_bound,
+  {num('upper_bound')} AS upper_bound, stamp AS created_at
+FROM (SELECT *, timestamp '{AS_OF} 00:00:00' AS stamp FROM (SELECT * FROM t_forecast20 EXCEPT SELECT * FROM t_forecast30)
+  UNION ALL SELECT *, timestamp '2001-07-01 00:00:00' FROM t_forecast30)
 QUALIFY row_number() OVER (PARTITION BY forecast_date, tax_type ORDER BY stamp DESC) = 1""",
     "update_compliance_scores": f"""SELECT {columns('taxpayers', skip=('compliance_score', 'updated_at'))},
   {num("cast(greatest(least((paye_returns_filed + vat_returns_filed)::double / nullif(total_paye_returns_expected + total_vat_returns_expected, 0), 0.95), 0.1) AS decimal(3,2))")} AS compliance_score,
@@ -621,6 +626,7 @@ ORACLES |= {
         "refresh_summary": "materialize_summary",
         "lookup_payment_history": "bi_payment_history",
         "lookup_recent_payments": "live_recent_payments",
+        "search_by_postings": "live_taxpayer_search",
         "lookup_taxpayer": "live_taxpayer_lookup",
         "lookup_taxpayer_profile": "bi_taxpayer_profile",
     }.items()

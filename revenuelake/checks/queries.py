@@ -19,7 +19,7 @@ from revenuelake.operators import (
 )
 from revenuelake.plans import bi, bi_sql, live
 from revenuelake.session import materialize, scratch_path, ship_package
-from revenuelake.sources import lookup, readers, writers
+from revenuelake.sources import lookup, postings, readers, writeback, writers
 from revenuelake.sources.adapter import VIEWS, DerivedTables
 from revenuelake.streaming import jobs
 
@@ -234,6 +234,22 @@ def _stored_by_taxpayer(t: DerivedTables, df: DataFrame, *order: str) -> DataFra
     return lookup.store_by_key(df, path.rsplit("/", 1)[1].replace("-", "_"), path, "taxpayer_id", order)
 
 
+def q_search_by_postings(t: DerivedTables) -> DataFrame:
+    path = scratch_path(t.spark, "postings")
+    lists, lengths = postings.store_postings(t.taxpayers, path.rsplit("/", 1)[1].replace("-", "_"), path)
+    return postings.search_postings(t.taxpayers, lists, lengths, SEARCH)
+
+
+def q_upsert_stored_forecasts(t: DerivedTables) -> DataFrame:
+    path = scratch_path(t.spark, "forecasts")
+    stamp = F.lit(dt.date(2001, 7, 1)).cast("timestamp").alias("created_at")
+    first = shifted_forecasts(t, 30).select("*", stamp)
+    writeback.store_forecasts(first, path)
+    for _ in range(2):  # the second run finds nothing to change
+        writeback.upsert_stored_forecasts(t.spark, path, first.schema, shifted_forecasts(t, 20), AS_OF)
+    return writeback.read_forecasts(t.spark, path, first.schema).drop(writeback.FORECAST_MONTH)
+
+
 def q_lookup_payment_history(t: DerivedTables) -> DataFrame:
     return bi.bi_payment_history(_stored_by_taxpayer(t, t.payments, "payment_date"), TAXPAYER)
 
@@ -383,6 +399,7 @@ QUERIES: dict[str, Query] = {
         ),
         shifted_forecasts(t, 20), AS_OF,
     ),
+    "upsert_stored_forecasts": q_upsert_stored_forecasts,
     "update_compliance_scores": lambda t: mutation.update_compliance_scores(
         t.taxpayers, t.paye_returns, t.vat_returns, AS_OF
     ),
@@ -496,6 +513,7 @@ QUERIES: dict[str, Query] = {
     "live_taxpayer_lookup": lambda t: live.live_taxpayer_lookup(profile_360(t), TAXPAYER),
     "live_recent_payments": lambda t: live.live_recent_payments(t.payments, TAXPAYER),
     # the look-ups of one taxpayer over tables stored by key
+    "search_by_postings": q_search_by_postings,
     "lookup_payment_history": q_lookup_payment_history,
     "lookup_recent_payments": q_lookup_recent_payments,
     "lookup_taxpayer": q_lookup_taxpayer,
