@@ -7,7 +7,7 @@ that token. The table of ranks is a literal of the expression: three flat arrays
 found by one addition (``RankTable``). Decoding joins the tokens' bytes.
 
 The words of a text that many documents share are looked up in a dictionary of at most ``DICTIONARY_WORDS`` words,
-the most frequent of the whole corpus, which is the only thing that is broadcast. All other words travel with
+the most frequent of the whole corpus that are no tokens; apart from the vocabulary nothing else is broadcast. All other words travel with
 their text, once for each text, and are folded by the same expression where they are. Texts are never shuffled.
 
 Words longer than ``LONG_WORD`` bytes (few, and slow to fold in quadratic time) are merged with a heap by the same
@@ -28,7 +28,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import public_tokenizers
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
@@ -36,7 +36,7 @@ from revenuelake.llm.common import hand_back, tidy, whole_text
 from revenuelake.session import materialize, ship_package
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-DICTIONARY_WORDS = 1 << 18
+DICTIONARY_WORDS = 3 << 17
 LONG_WORD = 64
 RANK_BITS = 20
 SLICE_ROWS = 1000  # texts held at once by a Python worker
@@ -136,18 +136,18 @@ def fold_merges(tokens: Column, literals: tuple[Column, Column]) -> Column:
 def byte_tokens(word: Column, ranks: dict[bytes, int]) -> Column:
     """The tokens of a word's single bytes."""
     first = _numbers(np.array([ranks[bytes([b])] for b in range(256)]), "int")
-    digits = F.hex(word.cast("binary"))
-    return F.transform(
-        F.sequence(F.lit(1), F.octet_length(word)),
-        lambda i: F.get(first, F.conv(F.substring(digits, 2 * i - 1, F.lit(2)), 16, 10).cast("int")),
-    )
+    letters = F.split(F.decode(word.cast("binary"), "ISO-8859-1"), "")  # one letter for each byte
+    return F.transform(letters, lambda letter: F.get(first, F.ascii(letter)))
+
+
+def vocabulary_table(spark: SparkSession, ranks: dict[bytes, int]) -> DataFrame:
+    return spark.createDataFrame([(bytearray(t), r) for t, r in ranks.items()], "token binary, id int")
 
 
 def encode_words(words: DataFrame, ranks: dict[bytes, int], literals: tuple[Column, Column]) -> DataFrame:
     """word and ids for each distinct word (column ``word``)."""
     spark = words.sparkSession
-    schema = "token binary, id int"
-    whole = spark.createDataFrame([(bytearray(t), r) for t, r in ranks.items()], schema)
+    whole = vocabulary_table(spark, ranks)
     known = words.join(F.broadcast(whole), F.col("word").cast("binary") == F.col("token"), "left")  # the vocabulary's size
     folded = fold_merges(byte_tokens(F.col("word"), ranks), literals)
     return known.select("word", F.when(F.col("id").isNotNull(), F.array("id")).otherwise(folded).alias("ids"))
@@ -205,13 +205,25 @@ def offsets_of(lengths) -> pa.Array:
     return pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))
 
 
-def read_dictionary(stream: bytes) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    """Words, offsets and ids of a broadcast Arrow stream, where they lie: no Python object for each word."""
+def text_of(token: bytes) -> str | None:
+    try:
+        return token.decode()
+    except UnicodeDecodeError:
+        return None
+
+
+def read_dictionary(stream: bytes, ranks: dict[bytes, int]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Words, offsets and ids of a broadcast Arrow stream, where they lie, and after them the tokens that are text."""
     coded = pa.ipc.open_stream(pa.py_buffer(stream)).read_all().combine_chunks()
     lists = coded.column("ids").chunk(0) if coded.num_rows else pa.array([], pa.list_(pa.int32()))
     words = coded.column("word").chunk(0) if coded.num_rows else pa.array([], pa.string())
+    whole = [(text, rank) for token, rank in ranks.items() if (text := text_of(token)) is not None]
+    words = pa.concat_arrays([words, pa.array([text for text, _ in whole], pa.string())])
+    ends = lists.offsets.to_numpy()
+    flat = np.concatenate([lists.values.to_numpy()[: ends[-1]], np.array([rank for _, rank in whole], np.int32)])
+    ends = np.concatenate([ends, ends[-1] + 1 + np.arange(len(whole), dtype=ends.dtype)])
     # One more offset: words without a place (-1) have length 0.
-    return words, np.append(lists.offsets.to_numpy(), 0), lists.values.to_numpy()
+    return words, np.append(ends, 0), flat
 
 
 def look_up(dictionary, ranks: dict[bytes, int], pattern: str):
@@ -223,7 +235,7 @@ def look_up(dictionary, ranks: dict[bytes, int], pattern: str):
     bytes_as_tokens = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int32)
 
     def looked_up(batches):
-        known, offsets, flat = read_dictionary(dictionary.value)
+        known, offsets, flat = read_dictionary(dictionary.value, ranks)
         split = regex.compile(pattern)
         for batch in slices(batches):
             codes, lengths, rare_words, rare_lengths = [], [], [], []
@@ -339,7 +351,9 @@ def encode(
     ship_package(spark)
     ranks = load_ranks(vocabulary or public_tokenizers.path(VOCABULARY))
     texts = docs.select("doc_id", whole_text().alias("text"))
-    counts = materialize(word_counts(texts, pattern), "bpe-words")
+    tokens = F.broadcast(vocabulary_table(spark, ranks))  # every worker has them: they need no place in the dictionary
+    rare = word_counts(texts, pattern).join(tokens, F.col("word").cast("binary") == F.col("token"), "left_anti")
+    counts = materialize(rare, "bpe-words")
     literals = rank_literals(rank_table(ranks))
     hand_back()
     coded = materialize(encode_words(most_frequent(counts, dictionary_words), ranks, literals), "bpe-dictionary").toArrow()
