@@ -2,9 +2,10 @@
 
 Every three letters of a lower-cased name, and of a TIN as it is, lead to the taxpayers that hold them. The lists are stored
 by trigram (``lookup.store_by_key``: a trigram that a third of all names hold is split over several files), their lengths
-beside them. A search reads the lengths of its own trigrams, then the lists of the few shortest; taxpayers in all of those
-are compared with the whole text, so the rows are those of the full scan. A text of fewer than three letters has no trigram
-and is searched by the scan.
+beside them. A taxpayer makes some two dozen entries, so taxpayers are first dealt into pieces of about ``PIECE`` entries: what one task
+makes does not grow with the table. A search reads the lengths of its own trigrams, then the lists of the few shortest; taxpayers in
+all of those are compared with the whole text, so the rows are those of the full scan. A text of fewer than three letters has no
+trigram and is searched by the scan.
 
 Defined results: null names and TINs hold nothing; a trigram nobody holds means no row; repeated taxpayers are kept.
 """
@@ -19,6 +20,7 @@ from revenuelake.sources.lookup import BUCKETS, store_by_key
 
 GRAM = 3
 SHORTEST = 3  # lists read for each of name and TIN
+PIECE = 1 << 21  # entries that one task makes on average
 NAME, TIN = "n", "t"  # first letter of a key: where its trigram stands
 
 
@@ -31,10 +33,18 @@ def _keys_of(text: str, place: str) -> list[str]:
     return sorted({place + text[i : i + GRAM] for i in range(len(text) - GRAM + 1)})
 
 
+def posting_entries(taxpayers: DataFrame, piece: int = PIECE) -> DataFrame:
+    """gram and taxpayer_id: one row for each distinct trigram of a taxpayer's row."""
+    grams = F.concat(_keys(F.lower("name"), NAME), _keys(F.col("tin"), TIN))
+    total = taxpayers.agg(F.sum(F.size(grams))).first()[0] or 0
+    pieces = taxpayers.select("taxpayer_id", "name", "tin").repartition(1 + total // piece)
+    return pieces.select(F.explode(grams).alias("gram"), "taxpayer_id")
+
+
 def store_postings(taxpayers: DataFrame, name: str, path: str, buckets: int = BUCKETS) -> tuple[DataFrame, DataFrame]:
     """Write the posting lists (gram, taxpayer_id) and their lengths (gram, n); both are returned as lazy reads."""
-    grams = F.concat(_keys(F.lower("name"), NAME), _keys(F.col("tin"), TIN))
-    lists = store_by_key(taxpayers.select(F.explode(grams).alias("gram"), "taxpayer_id"), name, path, "gram", ["taxpayer_id"], buckets)
+    entries = posting_entries(taxpayers)
+    lists = store_by_key(entries, name, path, "gram", ["taxpayer_id"], buckets)
     lengths = lists.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
     return lists, store_by_key(lengths, f"{name}_lengths", f"{path.rstrip('/')}_lengths", "gram", buckets=buckets)
 

@@ -59,3 +59,12 @@ def test_empty_table(spark, taxpayers, tmp_path):
     assert postings.search_postings(empty, *made, "common").collect() == []
     for name in ("no_grams", "no_grams_lengths"):
         spark.sql(f"DROP TABLE {name}")
+
+
+def test_no_task_makes_many_entries(taxpayers):
+    one = taxpayers.coalesce(1)
+    entries = postings.posting_entries(one, 1000)
+    counts = [r["count"] for r in entries.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(counts) > 5000 and max(counts) < 1500
+    whole = postings.posting_entries(one)
+    assert entries.exceptAll(whole).count() == 0 and whole.exceptAll(entries).count() == 0
