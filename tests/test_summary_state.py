@@ -74,3 +74,15 @@ def test_new_taxpayers_keep_old_numbers(taxpayers, table, spark):
     new = {r["taxpayer_id"]: r["payer_number"] for r in ss.number_taxpayers(more, old).collect()}
     assert {r["taxpayer_id"]: r["payer_number"] for r in old.collect()}.items() <= new.items()
     assert sorted(new.values()) == list(range(1, 43))
+
+
+def test_state_rows_are_narrow_and_blocks_are_whole(payments, table):
+    many = table("taxpayers", [dict(taxpayer_id=f"N{i:04d}", region="North") for i in range(300)])
+    rows = [dict(payment_id=f"Q{i}", taxpayer_id=f"N{i % 300:04d}", payment_date="2024-05-01", amount=1, tax_type="VAT") for i in range(900)]
+    numbers = ss.number_taxpayers(many)
+    made = table("payments", rows)
+    state = ss.merged_states(ss.summary_state(made.filter("payment_id < 'Q5'"), numbers), ss.summary_state(made.filter("payment_id >= 'Q5'"), numbers))
+    assert [(r["transaction_count"], r["unique_taxpayers"]) for r in ss.summary_of(state).collect()] == [(900, 300)]
+    plan = state._jdf.queryExecution().toString()  # a wide state cannot be aggregated by hash
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+    assert state.schema["payers"].dataType.typeName() == "long" and state.count() == 5  # numbers 1 to 300
