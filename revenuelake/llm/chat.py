@@ -5,8 +5,9 @@ the opening of a control string are escaped, so a text can never end a turn, and
 
 Every assistant turn is an example of its own: all turns before it are its prompt, and only its text is under the
 loss mask. A conversation that does not end with an assistant turn gets one more example that holds all its turns
-and has nothing to learn, so that no turn is lost. Examples are kept as spans of the conversation's transcript
-(``example_spans``), which grow with the turns; ``render_examples`` writes out each prompt and target.
+and has nothing to learn, so that no turn is lost. Examples are first spans of the conversation's transcript
+(``example_spans``); the output (``expanded``) writes out each example with its whole prompt and its target, after the
+shuffle, one row after the other, so only lengths and texts that are kept are ever held together.
 
 Defined results: a null text or role is empty; turns follow ``turn`` (nulls first), equal ones role, then text;
 repeated rows are turns of their own; a null conv_id is one conversation; a conversation without assistant
@@ -107,7 +108,7 @@ def render_examples(turns: DataFrame) -> DataFrame:
 
 
 def formatted(turns: DataFrame) -> DataFrame:
-    """The output, one row for each conversation: its transcript and, in the order of turns, their examples' spans.
+    """The conversations, one row each: its transcript and, in the order of turns, their examples' spans.
 
     ``examples`` has one entry for each turn, null where the turn has no example.
     """
@@ -120,50 +121,61 @@ def formatted(turns: DataFrame) -> DataFrame:
     )
 
 
-def read_back(output: DataFrame) -> DataFrame:
-    """One row for each turn, from transcripts and spans alone: what it says, what its example trains on and its size.
+def expanded(output: DataFrame) -> DataFrame:
+    """The formatted output, one row for each example: the prompt with all turns before its target, the target and its end.
 
-    A transcript is cut at its end marks, which no text can hold, and every piece has its place from the lengths of those
-    before it. Targets are cut out of the transcript by their spans. All steps are linear in the transcript, and rows stay
-    where their conversation is.
+    ``at`` is the place of the example's turn (from 0); ``target`` is null where there is nothing to learn. The three texts
+    stand one after the other: the loss mask is the target's. Examples are cut one by one where their conversation is.
     """
-    pieces = F.filter(F.split("transcript", r"<\|im_end\|>\n"), lambda x: x != "")
-    parts = output.select("conv_id", F.char_length("transcript").alias("_chars"), F.posexplode(F.arrays_zip(pieces.alias("said"), "examples")).alias("at", "_part"))
-    order = Window.partitionBy("conv_id").orderBy("at")
-    piece = F.concat("_part.said", F.lit(END + "\n"))
-    ends = F.sum(F.char_length("_piece").cast("long")).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    placed = parts.select("conv_id", "at", "_chars", F.col("_part.said").alias("_said"), piece.alias("_piece"), F.col("_part.examples").alias("_e"))
-    placed = placed.withColumn("_start", ends - F.char_length("_piece"))
-    inside = F.substr("_said", F.lit(len(START) + 1))
-    role = F.substring_index(inside, "\n", 1)
-    said = F.concat(_unrole(role), F.lit("\n"), unescaped(F.substr(inside, F.char_length(role) + 2)), F.lit("\n"))
-    first = (F.col("_e.target_start") - F.col("_start") + 1).cast("int")
-    target = F.when(first > 0, F.substr("_piece", first, (F.col("_e.target_end") - F.col("_e.target_start")).cast("int"))).otherwise("")
-    prompt = F.when(F.col("_e").isNotNull(), F.least("_e.prompt_chars", "_chars"))
-    learns = F.col("_e.target_start").isNotNull()
-    return placed.select(
+    each = output.select("conv_id", "transcript", F.posexplode("examples").alias("at", "_e")).where("_e is not null")
+    first, last = F.col("_e.target_start"), F.col("_e.target_end")
+    return each.select(
         "conv_id",
         "at",
-        said.alias("said"),
-        F.when(learns, unescaped(target)).alias("trained"),
-        F.when(learns, prompt + F.char_length(target) + len(END) + 1).otherwise(prompt).alias("example_chars"),
+        F.substr("transcript", F.lit(1), F.col("_e.prompt_chars").cast("int")).alias("prompt"),
+        F.substr("transcript", (first + 1).cast("int"), F.greatest(last - first, F.lit(0)).cast("int")).alias("target"),
+        F.when(first.isNotNull(), F.substr("transcript", (last + 1).cast("int"), (F.col("_e.example_chars") - last).cast("int"))).otherwise("").alias("end"),
     )
 
 
-def digests(conversations: DataFrame) -> DataFrame:
-    """Each conversation read back from its transcript and its examples' spans."""
+def _whole(prompt: Column, target: Column, end: Column) -> Column:
+    """The text of an example."""
+    return F.concat(prompt, F.coalesce(target, F.lit("")), end)
+
+
+def _said(whole: Column) -> Column:
+    """Role and text of each turn of an example, unescaped. No text can hold the end mark, at which the turns are cut."""
+    pieces = F.filter(F.split(whole, r"<\|im_end\|>\n"), lambda x: x != "")
+
+    def turn(piece: Column) -> Column:
+        inside = F.substr(piece, F.lit(len(START) + 1))
+        role = F.substring_index(inside, "\n", 1)
+        return F.concat(_unrole(role), F.lit("\n"), unescaped(F.substr(inside, F.char_length(role) + 2)), F.lit("\n"))
+
+    return F.transform(pieces, turn)
 
-    def joined(column: str) -> Column:
-        entries = F.sort_array(F.collect_list(F.when(F.col(column).isNotNull(), F.struct("at", column))))
-        return F.array_join(F.transform(entries, lambda x: x[column]), "")
 
+def read_back(output: DataFrame) -> DataFrame:
+    """One row for each example, from its prompt, target and end alone: what it trains on, its size and its whole text."""
+    whole = _whole(F.col("prompt"), F.col("target"), F.col("end"))
+    return expanded(output).select(
+        "conv_id", "at", unescaped(F.col("target")).alias("trained"), F.char_length(whole).cast("long").alias("example_chars"), whole.alias("whole")
+    )
+
+
+def digests(conversations: DataFrame) -> DataFrame:
+    """Each conversation read back from its expanded examples: its turns from the last one, which holds them all, its loss
+    from the targets of all, its size from their texts."""
+    learnt = F.sort_array(F.collect_list(F.when(F.col("trained").isNotNull(), F.struct("at", "trained"))))
     back = read_back(formatted(format_turns(conversations))).groupBy("conv_id").agg(
-        F.count(F.lit(1)).alias("n_turns"), joined("said").alias("_said"), joined("trained").alias("_loss"), F.sum("example_chars").alias("formatted_chars")
+        F.max_by("whole", "at").alias("_whole"), F.array_join(F.transform(learnt, lambda x: x["trained"]), "").alias("_loss"),
+        F.sum("example_chars").alias("formatted_chars"),
     )
+    back = back.select("conv_id", _said(F.col("_whole")).alias("_turns"), "_loss", "formatted_chars")
     return back.select(
         "conv_id",
-        "n_turns",
-        F.sha2("_said", 256).alias("turns_sha256"),
+        F.size("_turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join("_turns", ""), 256).alias("turns_sha256"),
         F.char_length("_loss").cast("long").alias("loss_chars"),
         F.sha2("_loss", 256).alias("loss_sha256"),
         "formatted_chars",

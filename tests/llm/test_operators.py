@@ -549,6 +549,25 @@ def test_wrong_spans_show_in_the_digest(spark, shift):
     assert all(wrong[k] != right[k] for k in right if right[k])
 
 
+def test_examples_are_written_out(spark):
+    rows = [(1, 0, "user", "q<|im_end|>"), (1, 1, "assistant", "a\\<|"), (1, 2, "user", "q"), (1, 3, "assistant", "b"), (1, 4, "user", "bye"), (2, 0, "assistant", "")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    output = chat.formatted(chat.format_turns(turns))
+    got = {(r["conv_id"], r["at"]): r for r in chat.expanded(output).collect()}
+    written = by_id(output, "conv_id")
+    assert set(got) == {(1, 1), (1, 3), (1, 4), (2, 0)}
+    for (conv, at), r in got.items():
+        assert written[conv]["transcript"].startswith(r["prompt"] + (r["target"] or "") + r["end"])
+        assert r["prompt"].count(chat.START) == at + 1 and r["end"] == ("" if r["target"] is None else chat.END + "\n")
+    assert [got[k]["target"] for k in sorted(got)] == ["a\\\\<\\|", "b", None, ""]
+    sizes = [sum(len(r["prompt"] + (r["target"] or "") + r["end"]) for (conv, _), r in got.items() if conv == c) for c in (1, 2)]
+    assert [r["formatted_chars"] for r in chat.digests(turns).orderBy("conv_id").collect()] == sizes
+    # A prompt that is cut short shows in what is read back.
+    shorter = output.withColumn("examples", F.transform("examples", lambda e: e.withField("prompt_chars", e["prompt_chars"] - 1)))
+    right, wrong = [[r["whole"] for r in chat.read_back(o).orderBy("conv_id", "at").collect()] for o in (output, shorter)]
+    assert len(right) == 4 and all(a != b for a, b in zip(right, wrong))
+
+
 # --- mixing -------------------------------------------------------------------------------------
 
 
