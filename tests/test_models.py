@@ -1,7 +1,10 @@
 import datetime as dt
+import threading
 
 import numpy as np
 import pytest
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
 
 from conftest import rows_by
@@ -35,6 +38,39 @@ def test_selection_finds_the_signal(planted):
     assert scores.filter("fraud_probability < 0 OR fraud_probability > 1").count() == 0
 
 
+def test_fits_of_all_folds_run_side_by_side(planted, monkeypatch):
+    gate = threading.Barrier(9)  # three models, each for two folds and for all rows
+
+    class Waiting:
+        def __init__(self, pipeline):
+            self.pipeline = pipeline
+
+        def fit(self, rows):
+            gate.wait(60)
+            return self.pipeline.fit(rows)
+
+    for name in ("random_forest", "gradient_boosting"):
+        made = getattr(models, name)
+        monkeypatch.setattr(models, name, lambda *args, _made=made, **kwargs: Waiting(_made(*args, **kwargs)))
+    rows = models.split_evaluate_select(planted, COLUMNS, trees=2, folds=2)[1].collect()
+    assert len(rows) == 6 and not gate.broken
+
+
+def test_folds_give_the_figures_of_the_cross_validator(planted):
+    rows = models.split_evaluate_select(planted, COLUMNS, trees=3, folds=2)[1].collect()
+    train = models.split_and_fold(planted, folds=2).filter("fold IS NOT NULL").withColumn("weight", F.lit(1.0))
+    auc = BinaryClassificationEvaluator(labelCol=models.LABEL, metricName="areaUnderROC")
+    pipeline = models.gradient_boosting(COLUMNS, 3)
+    known = CrossValidator(estimator=pipeline, estimatorParamMaps=ParamGridBuilder().build(), evaluator=auc, numFolds=2, foldCol="fold").fit(train)
+    found = next(r for r in rows if r["model"] == "gradient_boosting")
+    assert (found["cv_mean"], found["cv_std"]) == pytest.approx((known.avgMetrics[0], known.stdMetrics[0]))
+
+
+def test_a_fold_without_rows_is_an_error(planted):
+    with pytest.raises(ValueError, match="fold 3 is empty"):
+        models.split_evaluate_select(planted.filter("is_fraud = 0").limit(4), COLUMNS, trees=1, folds=5)
+
+
 def test_split_is_disjoint_and_stratified(planted):
     train, test = models.stratified_split(planted)
     assert train.count() + test.count() == 400
