@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revenuelake.llm import bpe, jaccard_join, language, mixing, toxicity
-from revenuelake.llm.common import table
+from revenuelake.llm.common import hand_back_driver, table
 from revenuelake.session import materialize
 
 
@@ -61,4 +61,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name.split()[0].lower()}")
+        hand_back_driver(spark)  # the plans, models and literals of a finished stage
     return docs

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from revenuelake.llm.common import hand_back, tidy, whole_text
+from revenuelake.llm.common import hand_back_driver, tidy, whole_text
 from revenuelake.session import materialize, ship_package
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -355,7 +355,7 @@ def encode(
     rare = word_counts(texts, pattern).join(tokens, F.col("word").cast("binary") == F.col("token"), "left_anti")
     counts = materialize(rare, "bpe-words")
     literals = rank_literals(rank_table(ranks))
-    hand_back()
+    hand_back_driver(spark)
     coded = materialize(encode_words(most_frequent(counts, dictionary_words), ranks, literals), "bpe-dictionary").toArrow()
     stream = pa.BufferOutputStream()
     with pa.ipc.new_stream(stream, coded.schema) as writer:
@@ -367,7 +367,7 @@ def encode(
     del packed
     dictionary = spark.sparkContext.broadcast(payload)  # at most dictionary_words
     del payload
-    hand_back()  # the driver, too, shares its memory with the JVM
+    hand_back_driver(spark)  # here, too, Python and the JVM share one memory
     found = texts.mapInArrow(tidy(look_up(dictionary, ranks, pattern)), "doc_id long, codes array<int>, rare array<array<int>>")
     folded = F.transform("rare", lambda tokens: fold_merges(tokens, literals))
     parts = found.select("doc_id", "codes", folded.alias("folded"))

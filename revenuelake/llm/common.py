@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -40,6 +41,13 @@ def hand_back() -> None:
         trim(0)
 
 
+def hand_back_driver(spark: SparkSession) -> None:
+    """The same for the driver, in Python and in its JVM, whose heap shrinks when it is collected as a whole."""
+    gc.collect()
+    hand_back()
+    spark.sparkContext._jvm.java.lang.System.gc()
+
+
 def tidy(over_batches: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     """The same function over batches, handing memory back when its task ends.
 
