@@ -7,7 +7,7 @@ the lists of its nearest centres: as many as hold ``RECALL`` of the true neighbo
 queries (``MEASURED``), found by brute force over all rows, with two standard errors to spare. On vectors without
 clusters that is most of the lists, and the savings are left to the dimension scan. Within a list the columns are scanned in blocks: after each, a candidate whose
 partial distance, scaled up by the share of columns seen, is larger than the distance to beat by more than chance
-allows (``EPSILON``) is abandoned. What is left is scored exactly on the original vectors.
+allows (``EPSILON``) is abandoned. Queries of a task are scanned together. What is left is scored exactly on the original vectors.
 
 The centres are fitted on a bounded sample (``FIT_ROWS``); every row is in the index. Lists are cut into pieces of
 ``PIECE_ROWS`` rows and their queries into ``PIECE_QUERIES``, so a list with a third of all rows is many tasks,
@@ -40,7 +40,9 @@ MEASURED = 256  # queries whose true neighbours are found by brute force
 COLUMNS = 16  # scanned at once
 EPSILON = 2.1
 PIECE_ROWS = 4096
-PIECE_QUERIES = 512
+PIECE_QUERIES = 4096
+PAIRS = 1 << 20  # of a query and a candidate, compared at once
+FEW = 1 / 16  # of them left: cheaper to follow one by one
 SEED = 5
 
 
@@ -186,33 +188,67 @@ def probe(queries: DataFrame, index: Index, sizes: np.ndarray, probes: int, k: i
     )
 
 
+def best_of(rows: np.ndarray, columns: np.ndarray, scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+    """Places of the k largest scores of each row, ties to the smaller id, row by row."""
+    order = np.lexsort((ids[columns], -scores, rows))
+    sorted_rows = rows[order]
+    return order[np.arange(len(order)) - np.searchsorted(sorted_rows, sorted_rows) < k]
+
+
+def inner_products(a: np.ndarray, b: np.ndarray, rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
+    """Of row ``rows[i]`` of ``a`` and row ``columns[i]`` of ``b``; equal vectors give equal products."""
+    parts = (slice(at, at + PAIRS // 16) for at in range(0, len(rows), PAIRS // 16))
+    return np.concatenate([np.zeros(0), *[np.einsum("ij,ij->i", a[rows[part]], b[columns[part]]) for part in parts]])
+
+
 def scan(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: np.ndarray, index: Index, k: int) -> pd.DataFrame:
-    """The k nearest candidates of each query within one piece of a list, by partial distances."""
+    """The k nearest candidates of each query within one piece of a list, by partial distances.
+
+    Queries are scanned together, as many as make ``PAIRS`` pairs. While many pairs are left, a block of columns is one
+    product of matrices; once fewer than ``FEW`` of them are, the pairs are followed one by one.
+    """
     lifted, asked = index.lift(vectors), index.lift_queries(queries)
     width = lifted.shape[1]
     ends = list(range(COLUMNS, width, COLUMNS)) + [width]
-    blocks = [np.ascontiguousarray(lifted[:, a:b]) for a, b in zip([0, *ends[:-1]], ends)]
+    blocks = [(b, np.ascontiguousarray(lifted[:, a:b]), np.ascontiguousarray(asked[:, a:b])) for a, b in zip([0, *ends[:-1]], ends)]
     first = min(len(ids), 4 * k)
     best = distances(asked, lifted[:first])
-    own = query_ids[:, None] == ids[None, :first]
-    best[own] = np.inf
-    best.sort(axis=1)
+    best[query_ids[:, None] == ids[None, :first]] = np.inf
     # The distance to beat: the k-th of the first candidates, infinite if there are fewer.
-    beat = best[:, k - 1] if first >= k else np.full(len(asked), np.inf)
+    beat = np.partition(best, k - 1, axis=1)[:, k - 1] if first >= k else np.full(len(asked), np.inf)
+    # Hypothesis: the candidate is nearer than the bound. Rejected if its scaled partial distance is too large. What rounding
+    # can add to a distance is allowed on top.
+    limits = {b: beat * ((1 + EPSILON / np.sqrt(b)) ** 2 if b < width else 1 + 1e-9) * (b / width) + 1e-12 * index.norm**2 for b in ends}
     out = []
-    for q in range(len(asked)):
-        alive = np.flatnonzero(ids != query_ids[q])
-        partial = np.zeros(len(alive))
-        for block, a, b in zip(blocks, [0, *ends[:-1]], ends):
-            partial += ((block[alive] - asked[q, a:b]) ** 2).sum(axis=1)
-            # Hypothesis: the candidate is nearer than the bound. Rejected if its scaled partial distance is too large.
-            slack = (1 + EPSILON / np.sqrt(b)) ** 2 if b < width else 1 + 1e-9
-            stays = partial * (width / b) <= beat[q] * slack
-            alive, partial = alive[stays], partial[stays]
-        score = vectors[alive] @ queries[q]
-        top = np.lexsort((ids[alive], -score))[:k]
-        out.append(pd.DataFrame({"query_id": query_ids[q], "vec_id": ids[alive][top], "score": score[top]}))
-    return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+    step = max(1, PAIRS // max(1, len(ids)))
+    for at in range(0, len(asked), step):
+        some = slice(at, at + step)
+        alive = query_ids[some, None] != ids[None, :]
+        partial = np.zeros(alive.shape)
+        pairs = None
+        for b, block, wanted in blocks:
+            if pairs is None:
+                partial += distances(wanted[some], block)
+                alive &= partial <= limits[b][some, None]
+                if b == width or np.count_nonzero(alive) < FEW * alive.size:
+                    rows, columns = pairs = np.nonzero(alive)
+                    followed = partial[pairs]
+            else:
+                followed = followed + ((block[columns] - wanted[at + rows]) ** 2).sum(axis=1)
+                stays = followed <= limits[b][at + rows]
+                rows, columns, followed = rows[stays], columns[stays], followed[stays]
+        if len(rows) > 2 * k * len(alive):  # products of matrices leave out what is far from the k best
+            score = np.full(alive.shape, -np.inf)
+            score[rows, columns] = (queries[some] @ vectors.T)[rows, columns]
+            least = -np.partition(-score, k - 1, axis=1)[:, k - 1] if len(ids) >= k else np.full(len(score), -np.inf)
+            least -= 1e-12 * index.norm * np.linalg.norm(queries[some], axis=1)
+            stays = score[rows, columns] >= least[rows]
+            rows, columns = rows[stays], columns[stays]
+        score = inner_products(queries[some], vectors, rows, columns)
+        top = best_of(rows, columns, score, ids, k)
+        out.append((query_ids[at + rows[top]], ids[columns[top]], score[top]))
+    found = [np.concatenate(parts) for parts in zip(*out)] or [[], [], []]
+    return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), found)))
 
 
 def search(embeddings: DataFrame, every: int = 20, k: int = K, probes: int | None = None) -> DataFrame:

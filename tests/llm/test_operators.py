@@ -633,6 +633,29 @@ def test_recall_where_lists_are_left_out(spark):
     assert recall >= 0.93  # 0.95 in the probed lists
 
 
+@pytest.mark.parametrize("spread", [1.0, 0.05])  # without and with clusters
+def test_a_scan_takes_its_queries_together(monkeypatch, spread):
+    rng = np.random.default_rng(9)
+    vectors = spread * rng.standard_normal((700, 32)) + rng.standard_normal((12, 32))[rng.integers(0, 12, 700)]
+    vectors[300:400] = vectors[3]  # more equal scores than are wanted
+    ids, asked = rng.permutation(7000)[:700], rng.choice(700, 150, replace=False)
+    rotation = np.linalg.qr(rng.standard_normal((33, 33)))[0]
+    index = ann.Index(rotation, np.zeros((1, 33)), float(np.linalg.norm(vectors, axis=1).max()) * (1 + 1e-12))
+    made, frame = [], ann.pd.DataFrame
+    monkeypatch.setattr(ann.pd, "DataFrame", lambda *a, **b: made.append(1) or frame(*a, **b))
+    monkeypatch.setattr(ann, "PAIRS", 700 * 64)  # three steps
+    got = ann.scan(vectors[asked], ids[asked], vectors, ids, index, 20)
+    assert len(made) <= 2  # one for each query before: most of the scan's time
+    hits = 0
+    for query, found in got.groupby("query_id"):
+        score = vectors @ vectors[ids == query][0]
+        score[ids == query] = -np.inf
+        best = np.lexsort((ids, -np.round(score, 9)))[:20]
+        assert len(found) == 20 and np.allclose(found["score"], [score[ids == i][0] for i in found["vec_id"]], atol=1e-12)
+        hits += len(set(found["vec_id"]) & set(ids[best]))
+    assert got["query_id"].nunique() == 150 and hits >= 0.97 * 20 * 150
+
+
 def test_few_vectors(spark):
     schema = "vec_id long, embedding array<float>"
     few = spark.createDataFrame([(20, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [0.0, 1.0])], schema)
