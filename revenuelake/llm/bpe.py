@@ -3,12 +3,12 @@
 A text is split by a fixed pattern and each piece ("word") encoded by itself. Words are encoded once however often
 they occur: the distinct words are folded by Spark's higher-order functions, which merge, step by step, the
 neighbours of least rank (the leftmost, if several) until no merge is left. A word that is a token itself is
-that token. The table of ranks is a literal of the expression: three flat arrays in which a pair of tokens is
-found by one addition (``RankTable``). Decoding joins the tokens' bytes.
+that token. The table of ranks is a broadcast row of two flat arrays, in which a pair of tokens is found by one addition
+(``RankTable``); words meet it many at a time, since every row of words is joined with the arrays. Decoding joins the tokens' bytes.
 
 The words of a text that many documents share are looked up in a dictionary of at most ``DICTIONARY_WORDS`` words,
 the most frequent of the whole corpus that are no tokens; apart from the vocabulary nothing else is broadcast. All other words travel with
-their text, once for each text, and are folded by the same expression where they are. Texts are never shuffled.
+their texts, once for each slice of texts, and are folded by the same expression where they are. Texts are never shuffled.
 
 Words longer than ``LONG_WORD`` bytes (few, and slow to fold in quadratic time) are merged with a heap by the same
 rule.
@@ -40,6 +40,7 @@ DICTIONARY_WORDS = 3 << 17
 LONG_WORD = 64
 RANK_BITS = 20
 SLICE_ROWS = 1000  # texts held at once by a Python worker
+PILE_WORDS = 1 << 12  # words of the dictionary folded in one row
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -89,20 +90,14 @@ def rank_table(ranks: dict[bytes, int]) -> RankTable:
     return RankTable(base, slots)
 
 
-def _numbers(values: np.ndarray, kind: str) -> Column:
-    """A literal array: the optimizer folds the split and the cast into one constant."""
-    parts = (",".join(map(str, values[at : at + 4096].tolist())) for at in range(0, len(values), 4096))
-    return F.split(F.lit(",".join(parts)), ",").cast(f"array<{kind}>")
+def rank_frame(spark: SparkSession, table: RankTable) -> DataFrame:
+    """The table as one row. As a literal it would be text in every plan, which the driver keeps for each job."""
+    arrays = [pa.array(table.base, pa.int32()), pa.array(table.slots, pa.int64())]
+    return spark.createDataFrame(pa.table([pa.ListArray.from_arrays([0, len(a)], a) for a in arrays], names=["base", "slots"]))
 
 
-def rank_literals(table: RankTable) -> tuple[Column, Column]:
-    """The table as two literal arrays, which several expressions share."""
-    return _numbers(table.base, "int"), _numbers(table.slots, "bigint")
-
-
-def fold_merges(tokens: Column, literals: tuple[Column, Column]) -> Column:
+def fold_merges(tokens: Column, base: Column, slots: Column) -> Column:
     """Merge an array of token ids by rank, with higher-order functions."""
-    base, slots = literals
     none = 1 << RANK_BITS
 
     def merged_rank(left: Column, right: Column) -> Column:
@@ -133,9 +128,21 @@ def fold_merges(tokens: Column, literals: tuple[Column, Column]) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.greatest(F.size(tokens), F.lit(1))), start, step, lambda s: s["ids"])
 
 
+def fold_all(words: Column) -> Column:
+    """Each word of an array merged, in a row with the arrays of ``rank_frame``. Transforms over one element read these once a row."""
+    one = F.lit(0)
+    return F.get(
+        F.transform(
+            F.array("base"),
+            lambda base: F.get(F.transform(F.array("slots"), lambda slots: F.transform(words, lambda word: fold_merges(word, base, slots))), one),
+        ),
+        one,
+    )
+
+
 def byte_tokens(word: Column, ranks: dict[bytes, int]) -> Column:
     """The tokens of a word's single bytes."""
-    first = _numbers(np.array([ranks[bytes([b])] for b in range(256)]), "int")
+    first = F.split(F.lit(",".join(str(ranks[bytes([b])]) for b in range(256))), ",").cast("array<int>")
     letters = F.split(F.decode(word.cast("binary"), "ISO-8859-1"), "")  # one letter for each byte
     return F.transform(letters, lambda letter: F.get(first, F.ascii(letter)))
 
@@ -144,13 +151,13 @@ def vocabulary_table(spark: SparkSession, ranks: dict[bytes, int]) -> DataFrame:
     return spark.createDataFrame([(bytearray(t), r) for t, r in ranks.items()], "token binary, id int")
 
 
-def encode_words(words: DataFrame, ranks: dict[bytes, int], literals: tuple[Column, Column]) -> DataFrame:
-    """word and ids for each distinct word (column ``word``)."""
-    spark = words.sparkSession
-    whole = vocabulary_table(spark, ranks)
-    known = words.join(F.broadcast(whole), F.col("word").cast("binary") == F.col("token"), "left")  # the vocabulary's size
-    folded = fold_merges(byte_tokens(F.col("word"), ranks), literals)
-    return known.select("word", F.when(F.col("id").isNotNull(), F.array("id")).otherwise(folded).alias("ids"))
+def encode_words(words: DataFrame, size: int, ranks: dict[bytes, int], table: DataFrame) -> DataFrame:
+    """word and ids for each of about ``size`` distinct words (column ``word``) that are no tokens."""
+    pile = F.pmod(F.xxhash64("word"), F.lit(1 + size // PILE_WORDS))
+    piles = words.groupBy(pile.alias("pile")).agg(F.collect_list("word").alias("words"))
+    tokens = F.transform("words", lambda word: byte_tokens(word, ranks))
+    folded = piles.crossJoin(F.broadcast(table)).select("words", fold_all(tokens).alias("ids"))
+    return folded.select(F.inline(F.arrays_zip("words", "ids"))).select(F.col("words").alias("word"), "ids")
 
 
 def merge_bytes(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -227,9 +234,9 @@ def read_dictionary(stream: bytes, ranks: dict[bytes, int]) -> tuple[pa.Array, n
 
 
 def look_up(dictionary, ranks: dict[bytes, int], pattern: str):
-    """Function over Arrow batches: doc_id, codes and rare words of each text.
+    """Function over Arrow batches: one row for each slice of texts, with their ids, their codes and the slice's rare words.
 
-    A code is a token id or, below zero, the place (-1: first) of a word of the text that is still to be folded. Rare
+    A code is a token id or, below zero, the place (-1: first) of a word of the slice that is still to be folded. Rare
     words are the tokens of their bytes.
     """
     bytes_as_tokens = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int32)
@@ -238,53 +245,37 @@ def look_up(dictionary, ranks: dict[bytes, int], pattern: str):
         known, offsets, flat = read_dictionary(dictionary.value, ranks)
         split = regex.compile(pattern)
         for batch in slices(batches):
-            codes, lengths, rare_words, rare_lengths = [], [], [], []
-            split_texts = [split.findall(text) for text in batch.column("text").to_pylist()]
-            ends = np.cumsum([len(found) for found in split_texts])
+            ends, found = [0], []
+            for text in batch.column("text").to_pylist():
+                found += split.findall(text)
+                ends.append(len(found))
             # The words of a slice, each once, are looked up together.
-            words = pa.array([w for found in split_texts for w in found], pa.string()).dictionary_encode()
-            distinct = pc.fill_null(pc.index_in(words.dictionary, value_set=known), -1).to_numpy().astype(np.int64)
-            places = distinct[words.indices.to_numpy()] if len(words) else np.zeros(0, np.int64)
-            del words
-            for found, end in zip(split_texts, ends):
-                at = places[end - len(found) : end]
-                start = offsets[at].astype(np.int64)
-                length = offsets[at + 1] - start
-                unknown = np.flatnonzero(at < 0).tolist()
-                rare: dict[str, int] = {}
-                given = []
-                for i in unknown:
-                    word = found[i].encode()
-                    if word in ranks:
-                        ids = [ranks[word]]
-                    elif len(word) > LONG_WORD:
-                        ids = merge_bytes(word, ranks)
-                    else:
-                        ids = [-1 - rare.setdefault(found[i], len(rare))]
-                    start[i], length[i] = 0, len(ids)
-                    given.append(ids)
-                begin = np.cumsum(length) - length
-                total = int(length.sum())
-                gather = np.repeat(start - begin, length) + np.arange(total)
-                out = flat[np.minimum(gather, len(flat) - 1)] if len(flat) else np.zeros(total, np.int32)
-                for i, ids in zip(unknown, given):
-                    out[begin[i] : begin[i] + len(ids)] = ids
-                codes.append(out)
-                lengths.append(total)
-                rare_words += rare
-                rare_lengths.append(len(rare))
-            joined = np.concatenate(codes).astype(np.int32) if codes else np.zeros(0, np.int32)
-            raw = [w.encode() for w in rare_words]
-            tokens = bytes_as_tokens[np.frombuffer(b"".join(raw), dtype=np.uint8)]
-            folding = pa.ListArray.from_arrays(offsets_of([len(w) for w in raw]), pa.array(tokens, pa.int32()))
-            yield pa.record_batch(
-                [
-                    batch.column("doc_id"),
-                    pa.ListArray.from_arrays(offsets_of(lengths), pa.array(joined)),
-                    pa.ListArray.from_arrays(offsets_of(rare_lengths), folding),
-                ],
-                names=["doc_id", "codes", "rare"],
-            )
+            words = pa.array(found, pa.string()).dictionary_encode()
+            del found
+            place = pc.fill_null(pc.index_in(words.dictionary, value_set=known), -1).to_numpy().astype(np.int64)
+            starts = offsets[place].astype(np.int64)
+            lengths = offsets[place + 1] - starts
+            unknown = np.flatnonzero(place < 0)
+            given, rare = [], []
+            for word in map(str.encode, words.dictionary.take(pa.array(unknown)).to_pylist()):
+                if len(word) > LONG_WORD:
+                    given.append(merge_bytes(word, ranks))
+                else:
+                    given.append([-1 - len(rare)])
+                    rare.append(word)
+            lengths[unknown] = [len(ids) for ids in given]
+            starts[unknown] = len(flat) + np.cumsum(lengths[unknown]) - lengths[unknown]
+            table = np.concatenate([flat, np.array([i for ids in given for i in ids], dtype=np.int32)])
+            which = words.indices.to_numpy()
+            after = np.concatenate([[0], np.cumsum(lengths[which])])
+            codes = table[np.repeat(starts[which] - after[:-1], lengths[which]) + np.arange(after[-1])]
+            tokens = bytes_as_tokens[np.frombuffer(b"".join(rare), dtype=np.uint8)]
+            lists = [
+                batch.column("doc_id"),
+                pa.ListArray.from_arrays(pa.array(after[ends].astype(np.int32)), pa.array(codes, pa.int32())),
+                pa.ListArray.from_arrays(offsets_of([len(w) for w in rare]), pa.array(tokens, pa.int32())),
+            ]
+            yield pa.record_batch([pa.ListArray.from_arrays(offsets_of([len(x)]), x) for x in lists], names=["doc_ids", "codes", "rare"])
 
     return looked_up
 
@@ -314,29 +305,29 @@ def splice(batches, pieces: pa.Array | None = None):
 
     With ``pieces`` the ids are decoded as well, to ``bytes``.
     """
-    for batch in slices(batches):
-        codes, folded = batch.column("codes"), batch.column("folded")
-        ends = codes.offsets.to_numpy()
-        flat = codes.values.to_numpy()[ends[0] : ends[-1]]
-        ends = ends - ends[0]
-        words = folded.values  # lists of ids
-        inner, starts, firsts = words.values.to_numpy(), words.offsets.to_numpy().astype(np.int64), folded.offsets.to_numpy()
-        at = np.flatnonzero(flat < 0)
-        row = np.searchsorted(ends, at, side="right") - 1
-        word = firsts[row] - 1 - flat[at].astype(np.int64)
-        sizes = np.ones(len(flat), dtype=np.int64)
-        sizes[at] = starts[word + 1] - starts[word]
-        after = np.concatenate([[0], np.cumsum(sizes)])
-        ids = np.repeat(flat, sizes).astype("<i4")
-        within = np.arange(int(sizes[at].sum())) - np.repeat(np.cumsum(sizes[at]) - sizes[at], sizes[at])
-        ids[np.repeat(after[at], sizes[at]) + within] = inner[np.repeat(starts[word], sizes[at]) + within]
-        places = after[ends].astype(np.int32)
-        lists = pa.ListArray.from_arrays(pa.array(places), pa.array(ids))
-        packed = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer(places * np.int32(4)), pa.py_buffer(ids)])
-        made = {"doc_id": batch.column("doc_id"), "ids": lists, "packed": packed}
-        if pieces is not None:
-            made["bytes"] = joined_pieces(ids, places, pieces)
-        yield pa.record_batch(list(made.values()), names=list(made))
+    for batch in batches:
+        for doc_ids, codes, words in zip(*[batch.column(name) for name in ("doc_ids", "codes", "folded")]):
+            codes, words = codes.values, words.values  # lists of ids, of texts and of words
+            ends = codes.offsets.to_numpy()
+            flat = codes.values.to_numpy()[ends[0] : ends[-1]]
+            ends = ends - ends[0]
+            at = np.flatnonzero(flat < 0)
+            sizes = np.ones(len(flat), dtype=np.int64)
+            if len(at):
+                inner, starts, word = words.values.to_numpy(), words.offsets.to_numpy().astype(np.int64), -1 - flat[at].astype(np.int64)
+                sizes[at] = starts[word + 1] - starts[word]
+            after = np.concatenate([[0], np.cumsum(sizes)])
+            ids = np.repeat(flat, sizes).astype("<i4")
+            if len(at):
+                within = np.arange(int(sizes[at].sum())) - np.repeat(np.cumsum(sizes[at]) - sizes[at], sizes[at])
+                ids[np.repeat(after[at], sizes[at]) + within] = inner[np.repeat(starts[word], sizes[at]) + within]
+            places = after[ends].astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(places), pa.array(ids))
+            packed = pa.Array.from_buffers(pa.binary(), len(codes), [None, pa.py_buffer(places * np.int32(4)), pa.py_buffer(ids)])
+            made = {"doc_id": doc_ids.values, "ids": lists, "packed": packed}
+            if pieces is not None:
+                made["bytes"] = joined_pieces(ids, places, pieces)
+            yield pa.record_batch(list(made.values()), names=list(made))
 
 
 def encode(
@@ -354,9 +345,10 @@ def encode(
     tokens = F.broadcast(vocabulary_table(spark, ranks))  # every worker has them: they need no place in the dictionary
     rare = word_counts(texts, pattern).join(tokens, F.col("word").cast("binary") == F.col("token"), "left_anti")
     counts = materialize(rare, "bpe-words")
-    literals = rank_literals(rank_table(ranks))
+    merges = rank_frame(spark, rank_table(ranks))
     hand_back_driver(spark)
-    coded = materialize(encode_words(most_frequent(counts, dictionary_words), ranks, literals), "bpe-dictionary").toArrow()
+    frequent = most_frequent(counts, dictionary_words)
+    coded = materialize(encode_words(frequent, dictionary_words, ranks, merges), "bpe-dictionary").toArrow()
     stream = pa.BufferOutputStream()
     with pa.ipc.new_stream(stream, coded.schema) as writer:
         writer.write_table(coded)
@@ -368,9 +360,8 @@ def encode(
     dictionary = spark.sparkContext.broadcast(payload)  # at most dictionary_words
     del payload
     hand_back_driver(spark)  # here, too, Python and the JVM share one memory
-    found = texts.mapInArrow(tidy(look_up(dictionary, ranks, pattern)), "doc_id long, codes array<int>, rare array<array<int>>")
-    folded = F.transform("rare", lambda tokens: fold_merges(tokens, literals))
-    parts = found.select("doc_id", "codes", folded.alias("folded"))
+    found = texts.mapInArrow(tidy(look_up(dictionary, ranks, pattern)), "doc_ids array<long>, codes array<array<int>>, rare array<array<int>>")
+    parts = found.crossJoin(F.broadcast(merges)).select("doc_ids", "codes", fold_all(F.col("rare")).alias("folded"))
     schema = "doc_id long, ids array<int>, packed binary" + (", bytes binary" if with_bytes else "")
     pieces = piece_array(ranks) if with_bytes else None
 
