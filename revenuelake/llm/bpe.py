@@ -4,7 +4,8 @@ A text is split by a fixed pattern and each piece ("word") encoded by itself. Wo
 they occur: the distinct words are folded by Spark's higher-order functions, which merge, step by step, the
 neighbours of least rank (the leftmost, if several) until no merge is left. A word that is a token itself is
 that token. The table of ranks is a broadcast row of two flat arrays, in which a pair of tokens is found by one addition
-(``RankTable``); words meet it many at a time, since every row of words is joined with the arrays. Decoding joins the tokens' bytes.
+(``RankTable``); words meet it many at a time, since every row of words is joined with the arrays. Of the words of texts, merges that are certain whatever
+stands beside the pair (``certain_merges``) are made before the fold, which does the rest. Decoding joins the tokens' bytes.
 
 The words of a text that many documents share are looked up in a dictionary of at most ``DICTIONARY_WORDS`` words,
 the most frequent of the whole corpus that are no tokens; apart from the vocabulary nothing else is broadcast. All other words travel with
@@ -71,9 +72,12 @@ def pair_merges(ranks: dict[bytes, int]) -> np.ndarray:
 
 
 def rank_table(ranks: dict[bytes, int]) -> RankTable:
-    merges = pair_merges(ranks)
+    return table_of(pair_merges(ranks), max(ranks.values(), default=0) + 1)
+
+
+def table_of(merges: np.ndarray, size: int) -> RankTable:
+    """The table of some merges of ``size`` tokens."""
     merges = merges[np.lexsort((merges[:, 1], merges[:, 0]))]
-    size = max(ranks.values(), default=0) + 1
     lefts, starts, counts = np.unique(merges[:, 0], return_index=True, return_counts=True)
     base = np.zeros(size, dtype=np.int64)
     slots = np.zeros(3 * max(len(merges), 1) + 2 * size, dtype=np.int64)
@@ -90,6 +94,33 @@ def rank_table(ranks: dict[bytes, int]) -> RankTable:
     return RankTable(base, slots)
 
 
+def certain_merges(merges: np.ndarray, size: int) -> np.ndarray:
+    """The merges that happen wherever their two tokens meet, and may be made before all others.
+
+    No other merge that takes one of the two tokens, and none that takes the merged one, has so low a rank: the former
+    would come later, when the pair is gone, and the latter can't come before merges that the pair would have had to await.
+    """
+    left, right, merged = merges.T
+    before, after = np.full((2, size), np.iinfo(np.int64).max)
+    np.minimum.at(before, right, merged)  # the least rank with a neighbour before the token
+    np.minimum.at(after, left, merged)
+    sure = (left != right) & (merged < before[left]) & (merged < after[right]) & (merged < before[merged]) & (merged < after[merged])
+    return merges[sure]
+
+
+def merge_certain(tokens: np.ndarray, lengths: np.ndarray, certain: RankTable) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens and lengths of words after their certain merges; no two of these ever share a token."""
+    word = np.repeat(np.arange(len(lengths)), lengths)
+    while True:
+        slot = certain.slots[certain.base[tokens[:-1]] + tokens[1:]]
+        at = np.flatnonzero((slot >> RANK_BITS == tokens[:-1] + 1) & (word[:-1] == word[1:]))
+        if not len(at):
+            return tokens, np.bincount(word, minlength=len(lengths))
+        tokens = tokens.copy()
+        tokens[at] = slot[at] & ((1 << RANK_BITS) - 1)
+        tokens, word = np.delete(tokens, at + 1), np.delete(word, at + 1)
+
+
 def rank_frame(spark: SparkSession, table: RankTable) -> DataFrame:
     """The table as one row. As a literal it would be text in every plan, which the driver keeps for each job."""
     arrays = [pa.array(table.base, pa.int32()), pa.array(table.slots, pa.int64())]
@@ -233,11 +264,11 @@ def read_dictionary(stream: bytes, ranks: dict[bytes, int]) -> tuple[pa.Array, n
     return words, np.append(ends, 0), flat
 
 
-def look_up(dictionary, ranks: dict[bytes, int], pattern: str):
+def look_up(dictionary, ranks: dict[bytes, int], pattern: str, certain: RankTable):
     """Function over Arrow batches: one row for each slice of texts, with their ids, their codes and the slice's rare words.
 
     A code is a token id or, below zero, the place (-1: first) of a word of the slice that is still to be folded. Rare
-    words are the tokens of their bytes.
+    words are the tokens of their bytes after the certain merges.
     """
     bytes_as_tokens = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int32)
 
@@ -270,10 +301,11 @@ def look_up(dictionary, ranks: dict[bytes, int], pattern: str):
             after = np.concatenate([[0], np.cumsum(lengths[which])])
             codes = table[np.repeat(starts[which] - after[:-1], lengths[which]) + np.arange(after[-1])]
             tokens = bytes_as_tokens[np.frombuffer(b"".join(rare), dtype=np.uint8)]
+            tokens, rare_lengths = merge_certain(tokens, np.array([len(w) for w in rare], dtype=np.int64), certain)
             lists = [
                 batch.column("doc_id"),
                 pa.ListArray.from_arrays(pa.array(after[ends].astype(np.int32)), pa.array(codes, pa.int32())),
-                pa.ListArray.from_arrays(offsets_of([len(w) for w in rare]), pa.array(tokens, pa.int32())),
+                pa.ListArray.from_arrays(offsets_of(rare_lengths), pa.array(tokens, pa.int32())),
             ]
             yield pa.record_batch([pa.ListArray.from_arrays(offsets_of([len(x)]), x) for x in lists], names=["doc_ids", "codes", "rare"])
 
@@ -345,7 +377,9 @@ def encode(
     tokens = F.broadcast(vocabulary_table(spark, ranks))  # every worker has them: they need no place in the dictionary
     rare = word_counts(texts, pattern).join(tokens, F.col("word").cast("binary") == F.col("token"), "left_anti")
     counts = materialize(rare, "bpe-words")
-    merges = rank_frame(spark, rank_table(ranks))
+    pairs, size = pair_merges(ranks), max(ranks.values(), default=0) + 1
+    merges, certain = rank_frame(spark, table_of(pairs, size)), table_of(certain_merges(pairs, size), size)
+    del pairs
     hand_back_driver(spark)
     frequent = most_frequent(counts, dictionary_words)
     coded = materialize(encode_words(frequent, dictionary_words, ranks, merges), "bpe-dictionary").toArrow()
@@ -360,7 +394,7 @@ def encode(
     dictionary = spark.sparkContext.broadcast(payload)  # at most dictionary_words
     del payload
     hand_back_driver(spark)  # here, too, Python and the JVM share one memory
-    found = texts.mapInArrow(tidy(look_up(dictionary, ranks, pattern)), "doc_ids array<long>, codes array<array<int>>, rare array<array<int>>")
+    found = texts.mapInArrow(tidy(look_up(dictionary, ranks, pattern, certain)), "doc_ids array<long>, codes array<array<int>>, rare array<array<int>>")
     parts = found.crossJoin(F.broadcast(merges)).select("doc_ids", "codes", fold_all(F.col("rare")).alias("folded"))
     schema = "doc_id long, ids array<int>, packed binary" + (", bytes binary" if with_bytes else "")
     pieces = piece_array(ranks) if with_bytes else None

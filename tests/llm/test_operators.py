@@ -490,6 +490,34 @@ def test_rank_table_holds_every_merge():
     assert len(ranks) == len(base64.b64decode(base64.b64encode(bytes(len(ranks)))))
 
 
+def test_plans_do_not_hold_the_rank_table(documents):
+    plan = bpe.encode(documents((1, "lorem ipsum dolor"))).select("ids")._jdf.queryExecution().toString()
+    assert len(plan) < 100_000  # millions, when the table was a literal
+
+
+def test_certain_merges_leave_the_result(texts):
+    ranks = bpe.load_ranks(public_tokenizers.path(bpe.VOCABULARY))
+    token, size = {rank: piece for piece, rank in ranks.items()}, max(ranks.values()) + 1
+    certain = bpe.table_of(bpe.certain_merges(bpe.pair_merges(ranks), size), size)
+    rng = np.random.default_rng(3)
+    words = {w for _, text, *_ in texts[:150] for w in re.findall(r" ?\w+", text or "")} | {"яблоко", "見た目", "ß́"}
+    words = sorted(w.encode() for w in words) + [bytes(rng.integers(0, 256, n).tolist()) for n in rng.integers(1, 12, 2000)]
+    tokens = np.array([ranks[bytes([b])] for w in words for b in w], dtype=np.int32)
+    got, lengths = bpe.merge_certain(tokens, np.array([len(w) for w in words]), certain)
+    assert len(lengths) == len(words) and lengths.sum() == len(got) < 0.95 * len(tokens)
+    for word, part in zip(words, np.split(got, np.cumsum(lengths)[:-1])):
+        whole, parts = [[ranks[bytes([b])] for b in word], part.tolist()]
+        for ids in (whole, parts):
+            while True:
+                best = min(((ranks.get(token[a] + token[b], size), i) for i, (a, b) in enumerate(zip(ids, ids[1:]))), default=(size, 0))
+                if best[0] == size:
+                    break
+                ids[best[1] : best[1] + 2] = [best[0]]
+        assert whole == parts, word
+    none = bpe.merge_certain(tokens[:0], np.zeros(0, np.int64), certain)
+    assert len(none[0]) == len(none[1]) == 0
+
+
 # --- chat ---------------------------------------------------------------------------------------
 
 TURNS = [
