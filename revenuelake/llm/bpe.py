@@ -21,7 +21,9 @@ own result; an empty table gives an empty result. Extra columns are ignored.
 from __future__ import annotations
 
 import base64
+import functools
 import heapq
+import sys
 from dataclasses import dataclass
 
 import numpy as np
@@ -41,6 +43,9 @@ DICTIONARY_WORDS = 3 << 17
 LONG_WORD = 64
 RANK_BITS = 20
 SLICE_ROWS = 1000  # texts held at once by a Python worker
+PIECE_BYTES = 1 << 19  # of texts split at once, unless one is longer
+HELD_WORDS = 1 << 18  # words of slices that a Python worker holds before it counts them
+LETTER, NUMBER, SPACE = 1, 2, 3
 PILE_WORDS = 1 << 12  # words of the dictionary folded in one row
 
 
@@ -178,10 +183,6 @@ def byte_tokens(word: Column, ranks: dict[bytes, int]) -> Column:
     return F.transform(letters, lambda letter: F.get(first, F.ascii(letter)))
 
 
-def vocabulary_table(spark: SparkSession, ranks: dict[bytes, int]) -> DataFrame:
-    return spark.createDataFrame([(bytearray(t), r) for t, r in ranks.items()], "token binary, id int")
-
-
 def encode_words(words: DataFrame, size: int, ranks: dict[bytes, int], table: DataFrame) -> DataFrame:
     """word and ids for each of about ``size`` distinct words (column ``word``) that are no tokens."""
     pile = F.pmod(F.xxhash64("word"), F.lit(1 + size // PILE_WORDS))
@@ -213,12 +214,29 @@ def merge_bytes(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[p] for p in parts if p is not None]
 
 
-def word_counts(docs: DataFrame, pattern: str) -> DataFrame:
-    """word and the number of texts that hold it, for words that are not long."""
-    # (?U): white space is Unicode's here as well.
-    words = F.array_distinct(F.regexp_extract_all("text", F.lit("(?U)" + pattern), F.lit(0)))
-    found = docs.select(F.explode(words).alias("word")).where(F.octet_length("word") <= LONG_WORD)
-    return found.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+def word_counts(docs: DataFrame, pattern: str, ranks: dict[bytes, int]) -> DataFrame:
+    """word and the number of slices of texts that hold it, for words that are neither long nor tokens."""
+
+    def counted(batches):
+        split, tokens = splitter(pattern), text_tokens(ranks)[0]
+        held, size = [], 0
+        for batch in slices(batches):
+            words = split(batch.column("text"))[0].unique()
+            words = words.filter(pc.less_equal(pc.binary_length(words), LONG_WORD))
+            held.append(words.filter(pc.is_null(pc.index_in(words, value_set=tokens))))
+            size += len(held[-1])
+            if size > HELD_WORDS:
+                yield value_counts(held)
+                held, size = [], 0
+        if size:
+            yield value_counts(held)
+
+    return docs.select("text").mapInArrow(tidy(counted), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def value_counts(parts: list[pa.Array]) -> pa.RecordBatch:
+    counts = pc.value_counts(pa.concat_arrays(parts))
+    return pa.record_batch([counts.field("values"), counts.field("counts")], names=["word", "n"])
 
 
 def most_frequent(counts: DataFrame, size: int) -> DataFrame:
@@ -234,6 +252,75 @@ def most_frequent(counts: DataFrame, size: int) -> DataFrame:
     return counts.where(step >= least).select("word")
 
 
+@functools.cache
+def char_kinds() -> np.ndarray:
+    """By code point what the public pattern tells apart: 1 letter, 2 number, 3 white space, 0 any other."""
+    kinds = np.zeros(sys.maxunicode + 1, dtype=np.uint8)
+    chars = "".join(map(chr, range(len(kinds))))
+    for kind, name in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\s+")):
+        for run in regex.finditer(name, chars):
+            kinds[slice(*run.span())] = kind
+    return kinds
+
+
+def word_starts(data: np.ndarray, texts: np.ndarray) -> np.ndarray:
+    """The bytes at which the matches of ``public_tokenizers.PATTERN`` start, for UTF-8 ``data`` of texts that start at ``texts``."""
+    code = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), dtype=np.uint32)
+    place = np.flatnonzero((data & 0xC0) != 0x80)  # of each character's first byte
+    kind = char_kinds()[code]
+    edge = np.zeros(len(code) + 3, dtype=bool)  # a text starts here, or all have ended
+    edge[np.searchsorted(place, texts)] = True
+    edge[len(code) :] = True
+    start = edge[: len(code)].copy()
+    start[1:] |= kind[1:] != kind[:-1]
+    # One blank belongs to the word behind it; of longer white space the last character stands by itself.
+    inner = ~edge[1 : len(code)]
+    start[1:] &= ~((kind[1:] != SPACE) & (code[:-1] == ord(" ")) & inner)
+    start[:-1] |= (kind[:-1] == SPACE) & (kind[1:] != SPACE) & inner
+    # 's 't 'm 'd 're 've 'll, where a match starts with the apostrophe.
+    at = np.flatnonzero(start & (code == ord("'")))
+    after = np.append(code, np.zeros(2, dtype=np.uint32))
+    one = np.where(edge[at + 1], 0, after[at + 1])
+    two = np.where(edge[at + 1] | edge[at + 2], 0, after[at + 2])
+    short = np.isin(one, [ord(c) for c in "stmd"])
+    long = np.isin(one, [ord(c) for c in "rv"]) & (two == ord("e")) | (one == ord("l")) & (two == ord("l"))
+    at, size = at[short | long] + 1, np.where(short, 1, 2)[short | long]
+    start[at] = False
+    ends = at + size
+    start[ends[ends < len(code)]] = True
+    return place[start]
+
+
+def public_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """``splitter`` for the public pattern: the words stay where they lie, and only their ends are looked for, many texts at a time."""
+    _, ends, data = texts.cast(pa.string()).buffers()
+    ends = np.frombuffer(ends, dtype=np.int32)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int32)
+    data = data or pa.py_buffer(b"")
+    every = np.frombuffer(data, dtype=np.uint8)
+    starts, first = [], 0
+    while first < len(texts):
+        last = max(first + 1, int(np.searchsorted(ends, int(ends[first]) + PIECE_BYTES, "right")) - 1)
+        if ends[first] < ends[last]:
+            starts.append(int(ends[first]) + word_starts(every[ends[first] : ends[last]], ends[first : last + 1] - ends[first]))
+        first = last
+    offsets = np.concatenate([*starts, ends[-1:]]).astype(np.int32)
+    words = pa.Array.from_buffers(pa.string(), len(offsets) - 1, [None, pa.py_buffer(offsets), data])
+    return words, np.searchsorted(offsets, ends)
+
+
+def splitter(pattern: str):
+    """Function from an array of texts to the array of all their words, and where the words of each text end (before them 0)."""
+    if pattern == public_tokenizers.PATTERN:
+        return public_words
+    found = regex.compile(pattern)
+
+    def split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        words = [pa.array([m.group() for m in found.finditer(text.as_py())], pa.string()) for text in texts]
+        return pa.concat_arrays([pa.array([], pa.string()), *words]), np.cumsum([0, *map(len, words)])
+
+    return split
+
+
 def slices(batches):
     """Batches of at most ``SLICE_ROWS`` rows, which bound what a Python worker holds at once."""
     return (batch.slice(at, SLICE_ROWS) for batch in batches for at in range(0, batch.num_rows, SLICE_ROWS))
@@ -250,15 +337,21 @@ def text_of(token: bytes) -> str | None:
         return None
 
 
+def text_tokens(ranks: dict[bytes, int]) -> tuple[pa.Array, np.ndarray]:
+    """The tokens that are text, and their ids."""
+    whole = [(text, rank) for token, rank in ranks.items() if (text := text_of(token)) is not None]
+    return pa.array([text for text, _ in whole], pa.string()), np.array([rank for _, rank in whole], dtype=np.int32)
+
+
 def read_dictionary(stream: bytes, ranks: dict[bytes, int]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """Words, offsets and ids of a broadcast Arrow stream, where they lie, and after them the tokens that are text."""
     coded = pa.ipc.open_stream(pa.py_buffer(stream)).read_all().combine_chunks()
     lists = coded.column("ids").chunk(0) if coded.num_rows else pa.array([], pa.list_(pa.int32()))
     words = coded.column("word").chunk(0) if coded.num_rows else pa.array([], pa.string())
-    whole = [(text, rank) for token, rank in ranks.items() if (text := text_of(token)) is not None]
-    words = pa.concat_arrays([words, pa.array([text for text, _ in whole], pa.string())])
+    whole, numbers = text_tokens(ranks)
+    words = pa.concat_arrays([words, whole])
     ends = lists.offsets.to_numpy()
-    flat = np.concatenate([lists.values.to_numpy()[: ends[-1]], np.array([rank for _, rank in whole], np.int32)])
+    flat = np.concatenate([lists.values.to_numpy()[: ends[-1]], numbers])
     ends = np.concatenate([ends, ends[-1] + 1 + np.arange(len(whole), dtype=ends.dtype)])
     # One more offset: words without a place (-1) have length 0.
     return words, np.append(ends, 0), flat
@@ -274,15 +367,11 @@ def look_up(dictionary, ranks: dict[bytes, int], pattern: str, certain: RankTabl
 
     def looked_up(batches):
         known, offsets, flat = read_dictionary(dictionary.value, ranks)
-        split = regex.compile(pattern)
+        split = splitter(pattern)
         for batch in slices(batches):
-            ends, found = [0], []
-            for text in batch.column("text").to_pylist():
-                found += split.findall(text)
-                ends.append(len(found))
             # The words of a slice, each once, are looked up together.
-            words = pa.array(found, pa.string()).dictionary_encode()
-            del found
+            words, ends = split(batch.column("text"))
+            words = words.dictionary_encode()
             place = pc.fill_null(pc.index_in(words.dictionary, value_set=known), -1).to_numpy().astype(np.int64)
             starts = offsets[place].astype(np.int64)
             lengths = offsets[place + 1] - starts
@@ -374,9 +463,7 @@ def encode(
     ship_package(spark)
     ranks = load_ranks(vocabulary or public_tokenizers.path(VOCABULARY))
     texts = docs.select("doc_id", whole_text().alias("text"))
-    tokens = F.broadcast(vocabulary_table(spark, ranks))  # every worker has them: they need no place in the dictionary
-    rare = word_counts(texts, pattern).join(tokens, F.col("word").cast("binary") == F.col("token"), "left_anti")
-    counts = materialize(rare, "bpe-words")
+    counts = materialize(word_counts(texts, pattern, ranks), "bpe-words")
     pairs, size = pair_merges(ranks), max(ranks.values(), default=0) + 1
     merges, certain = rank_frame(spark, table_of(pairs, size)), table_of(certain_merges(pairs, size), size)
     del pairs

@@ -8,8 +8,10 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import public_tokenizers
+import regex
 import tiktoken
 from pyspark.sql import functions as F
 
@@ -459,6 +461,31 @@ def test_digests_are_those_of_ids_and_text(documents, texts):
         assert got[i]["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
 
 
+def test_words_are_the_matches_of_the_pattern(texts, monkeypatch):
+    found = regex.compile(public_tokenizers.PATTERN)
+    rng = np.random.default_rng(11)
+    letters = list("\x27\x27\x27\x27    \n\tsstmdrevell1a.,!é見\U0001f468́\x1c\x85\u3000") + [chr(0x32100)]
+    rows = ["", *("".join(rng.choice(letters, n)) for n in rng.integers(0, 14, 3000)), "", " '", "'s's 'll'", *(t or "" for _, t, *_ in texts[:50])]
+    rows.append("".join(chr(c) for c in range(0x3200) if not 0xD800 <= c < 0xE000))
+    for piece in (1, 40, bpe.PIECE_BYTES):
+        monkeypatch.setattr(bpe, "PIECE_BYTES", piece)
+        for given, part in ((rows, pa.array(rows, pa.string())), (rows[5:900], pa.array(rows, pa.string())[5:900]), ([], pa.array([], pa.string()))):
+            words, ends = bpe.splitter(public_tokenizers.PATTERN)(part)
+            got = words.to_pylist()
+            assert [got[a:b] for a, b in zip(ends, ends[1:])] == [found.findall(text) for text in given]
+            assert ends[0] == 0 and ends[-1] == len(got) and len(ends) == len(given) + 1
+    words, ends = bpe.splitter(r"(b+)|[^b]")(pa.array(["abba", "", "bc"]))
+    assert (words.to_pylist(), ends.tolist()) == (["a", "bb", "a", "b", "c"], [0, 3, 3, 5])
+
+
+def test_counted_words_are_rare_and_short(documents):
+    ranks = bpe.load_ranks(public_tokenizers.path(bpe.VOCABULARY))
+    docs = documents((1, "the zqxj zqxj"), (2, "zqxj " + "q" * 65), (None, ""))
+    counts = {r["word"]: r["n"] for r in bpe.word_counts(docs, public_tokenizers.PATTERN, ranks).collect()}
+    assert set(counts) == {w for w in ("zqxj", " zqxj") if w.encode() not in ranks} and min(counts.values()) >= 1
+    assert bpe.word_counts(docs.limit(0), public_tokenizers.PATTERN, ranks).count() == 0
+
+
 def test_decode_odd_ids(spark):
     ranks = bpe.load_ranks(public_tokenizers.path(bpe.VOCABULARY))
     token = {rank: piece for piece, rank in ranks.items()}
