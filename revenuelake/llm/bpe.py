@@ -5,7 +5,8 @@ they occur: the distinct words are folded by Spark's higher-order functions, whi
 neighbours of least rank (the leftmost, if several) until no merge is left. A word that is a token itself is
 that token. The table of ranks is a broadcast row of two flat arrays, in which a pair of tokens is found by one addition
 (``RankTable``); words meet it many at a time, since every row of words is joined with the arrays. Of the words of texts, merges that are certain whatever
-stands beside the pair (``certain_merges``) are made before the fold, which does the rest. Decoding joins the tokens' bytes.
+stands beside the pair (``certain_merges``), or whatever its neighbours grow to (``beside_merger``), are made before the fold, which does the
+rest. Decoding joins the tokens' bytes.
 
 The words of a text that many documents share are looked up in a dictionary of at most ``DICTIONARY_WORDS`` words,
 the most frequent of the whole corpus that are no tokens; apart from the vocabulary nothing else is broadcast. All other words travel with
@@ -35,13 +36,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from revenuelake.llm.common import hand_back_driver, tidy, whole_text
+from revenuelake.llm.common import hand_back, hand_back_driver, tidy, whole_text
 from revenuelake.session import materialize, ship_package
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 DICTIONARY_WORDS = 3 << 17
 LONG_WORD = 64
 RANK_BITS = 20
+BOUND_BITS = 20
 SLICE_ROWS = 1000  # texts held at once by a Python worker
 PIECE_BYTES = 1 << 19  # of texts split at once, unless one is longer
 HELD_WORDS = 1 << 18  # words of slices that a Python worker holds before it counts them
@@ -126,6 +128,79 @@ def merge_certain(tokens: np.ndarray, lengths: np.ndarray, certain: RankTable) -
         tokens, word = np.delete(tokens, at + 1), np.delete(word, at + 1)
 
 
+@dataclass(frozen=True)
+class Neighbours:
+    """What may still happen beside a pair: least ranks of merges that take a token, given the token that now stands next to it.
+
+    ``before`` has rows of next, token and the least rank of a merge of the token with any token that ends as ``next``
+    does, to which that may have grown; ``after`` has token, next and the same for tokens that begin as ``next`` does.
+    """
+
+    merges: RankTable
+    before: np.ndarray
+    after: np.ndarray
+
+
+def neighbours(ranks: dict[bytes, int], merges: np.ndarray, table: RankTable) -> Neighbours:
+    token = {rank: piece for piece, rank in ranks.items()}
+
+    @functools.cache
+    def ends(of: int) -> list[int]:
+        return [ranks[end] for at in range(len(token[of])) if (end := token[of][at:]) in ranks]
+
+    @functools.cache
+    def beginnings(of: int) -> list[int]:
+        return [ranks[start] for at in range(len(token[of])) if (start := token[of][: at + 1]) in ranks]
+
+    before = (number for left, right, merged in merges.tolist() for end in ends(left) for number in (end, right, merged))
+    after = (number for left, right, merged in merges.tolist() for start in beginnings(right) for number in (left, start, merged))
+    return Neighbours(table, *(np.fromiter(numbers, dtype=np.int32).reshape(-1, 3) for numbers in (before, after)))
+
+
+def place_of(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    mixed = first.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + second.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+    return (mixed >> np.uint64(64 - BOUND_BITS)).astype(np.int64)
+
+
+def least_ranks(rows: np.ndarray) -> np.ndarray:
+    """A lower bound of the rank for every two tokens, by ``place_of``: rows that share a place leave the least of theirs."""
+    least = np.full(1 << BOUND_BITS, 1 << RANK_BITS, dtype=np.int32)
+    np.minimum.at(least, place_of(rows[:, 0], rows[:, 1]), rows[:, 2])
+    return least
+
+
+def beside_merger(known: Neighbours):
+    """Function that merges, in words given by tokens and lengths, the pairs that nothing beside them can forestall.
+
+    Such a pair comes before all that its tokens, or the merged one, could do with their neighbours, whatever these have
+    grown to by then; so it may be made at once. The third result tells which words still have merges to make.
+    """
+    before, after = least_ranks(known.before), least_ranks(known.after)
+    none = 1 << RANK_BITS
+
+    def merged(tokens: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        word = np.repeat(np.arange(len(lengths)), lengths)
+        while True:
+            slot = known.merges.slots[known.merges.base[tokens[:-1]] + tokens[1:]]
+            at = np.flatnonzero((slot >> RANK_BITS == tokens[:-1] + 1) & (word[:-1] == word[1:]))
+            left, right, new = tokens[at], tokens[at + 1], slot[at] & (none - 1)
+            # Neighbours in the same word; at its ends the pair is its own, and not asked for.
+            previous, following = np.maximum(at - 1, 0), np.minimum(at + 2, len(tokens) - 1)
+            first, last = (at == 0) | (word[previous] != word[at]), (at + 2 > following) | (word[following] != word[at])
+            previous, following = tokens[previous], tokens[following]
+            sure = first | (new < before[place_of(previous, left)]) & (new < before[place_of(previous, new)])
+            sure &= last | (new < after[place_of(right, following)]) & (new < after[place_of(new, following)])
+            if not sure.any():
+                still = np.zeros(len(lengths), dtype=bool)
+                still[word[at]] = True
+                return tokens, np.bincount(word, minlength=len(lengths)), still
+            tokens = tokens.copy()
+            tokens[at[sure]] = new[sure]
+            tokens, word = np.delete(tokens, at[sure] + 1), np.delete(word, at[sure] + 1)
+
+    return merged
+
+
 def rank_frame(spark: SparkSession, table: RankTable) -> DataFrame:
     """The table as one row. As a literal it would be text in every plan, which the driver keeps for each job."""
     arrays = [pa.array(table.base, pa.int32()), pa.array(table.slots, pa.int64())]
@@ -321,6 +396,15 @@ def splitter(pattern: str):
     return split
 
 
+def handing_back(function, given):
+    """The results one by one; while a result is read, what its making took is the system's again."""
+    hand_back()
+    for one in given:
+        made = function(one)
+        hand_back()
+        yield made
+
+
 def slices(batches):
     """Batches of at most ``SLICE_ROWS`` rows, which bound what a Python worker holds at once."""
     return (batch.slice(at, SLICE_ROWS) for batch in batches for at in range(0, batch.num_rows, SLICE_ROWS))
@@ -330,6 +414,11 @@ def offsets_of(lengths) -> pa.Array:
     return pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))
 
 
+def bytes_of(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Lengths and bytes of words, one after the other."""
+    return pc.binary_length(words).to_numpy().astype(np.int64), np.frombuffer(b"".join(words.cast(pa.binary()).to_pylist()), dtype=np.uint8)
+
+
 def text_of(token: bytes) -> str | None:
     try:
         return token.decode()
@@ -357,46 +446,55 @@ def read_dictionary(stream: bytes, ranks: dict[bytes, int]) -> tuple[pa.Array, n
     return words, np.append(ends, 0), flat
 
 
-def look_up(dictionary, ranks: dict[bytes, int], pattern: str, certain: RankTable):
+def look_up(dictionary, ranks: dict[bytes, int], pattern: str, certain: RankTable, known_beside: Neighbours):
     """Function over Arrow batches: one row for each slice of texts, with their ids, their codes and the slice's rare words.
 
     A code is a token id or, below zero, the place (-1: first) of a word of the slice that is still to be folded. Rare
-    words are the tokens of their bytes after the certain merges.
+    words are the tokens of their bytes after the merges that are certain, in all words or beside their neighbours.
     """
     bytes_as_tokens = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int32)
 
     def looked_up(batches):
         known, offsets, flat = read_dictionary(dictionary.value, ranks)
-        split = splitter(pattern)
-        for batch in slices(batches):
+        split, beside = splitter(pattern), beside_merger(known_beside)
+
+        def coded(batch):
             # The words of a slice, each once, are looked up together.
             words, ends = split(batch.column("text"))
             words = words.dictionary_encode()
             place = pc.fill_null(pc.index_in(words.dictionary, value_set=known), -1).to_numpy().astype(np.int64)
+            hand_back()  # the look-up's own table, greater than all that follows
             starts = offsets[place].astype(np.int64)
             lengths = offsets[place + 1] - starts
             unknown = np.flatnonzero(place < 0)
-            given, rare = [], []
-            for word in map(str.encode, words.dictionary.take(pa.array(unknown)).to_pylist()):
-                if len(word) > LONG_WORD:
-                    given.append(merge_bytes(word, ranks))
-                else:
-                    given.append([-1 - len(rare)])
-                    rare.append(word)
-            lengths[unknown] = [len(ids) for ids in given]
+            strange = words.dictionary.take(pa.array(unknown))
+            long = pc.greater(pc.binary_length(strange), LONG_WORD).to_numpy(zero_copy_only=False)
+            heaped = [merge_bytes(word.encode(), ranks) for word in strange.filter(pa.array(long)).to_pylist()]
+            sizes, data = bytes_of(strange.filter(pa.array(~long)))
+            tokens, sizes, still = beside(*merge_certain(bytes_as_tokens[data], sizes, certain))
+            # Words without further merges are done; others leave one code, and their tokens for the fold.
+            word = np.repeat(np.arange(len(sizes)), sizes)
+            rare, rare_sizes = tokens[still[word]], sizes[still]
+            heads = np.cumsum(sizes) - sizes
+            done = ~still[word]
+            done[heads[still]] = True
+            tokens[heads[still]] = -1 - np.arange(len(rare_sizes))
+            given = np.concatenate([tokens[done], np.array([i for ids in heaped for i in ids], dtype=np.int32)])
+            unknown = np.concatenate([unknown[~long], unknown[long]])
+            lengths[unknown] = np.concatenate([np.where(still, 1, sizes), np.array([len(ids) for ids in heaped], dtype=np.int64)])
             starts[unknown] = len(flat) + np.cumsum(lengths[unknown]) - lengths[unknown]
-            table = np.concatenate([flat, np.array([i for ids in given for i in ids], dtype=np.int32)])
+            table = np.concatenate([flat, given.astype(np.int32)])
             which = words.indices.to_numpy()
             after = np.concatenate([[0], np.cumsum(lengths[which])])
             codes = table[np.repeat(starts[which] - after[:-1], lengths[which]) + np.arange(after[-1])]
-            tokens = bytes_as_tokens[np.frombuffer(b"".join(rare), dtype=np.uint8)]
-            tokens, rare_lengths = merge_certain(tokens, np.array([len(w) for w in rare], dtype=np.int64), certain)
             lists = [
                 batch.column("doc_id"),
                 pa.ListArray.from_arrays(pa.array(after[ends].astype(np.int32)), pa.array(codes, pa.int32())),
-                pa.ListArray.from_arrays(offsets_of(rare_lengths), pa.array(tokens, pa.int32())),
+                pa.ListArray.from_arrays(offsets_of(rare_sizes), pa.array(rare, pa.int32())),
             ]
-            yield pa.record_batch([pa.ListArray.from_arrays(offsets_of([len(x)]), x) for x in lists], names=["doc_ids", "codes", "rare"])
+            return pa.record_batch([pa.ListArray.from_arrays(offsets_of([len(x)]), x) for x in lists], names=["doc_ids", "codes", "rare"])
+
+        yield from handing_back(coded, slices(batches))
 
     return looked_up
 
@@ -426,29 +524,33 @@ def splice(batches, pieces: pa.Array | None = None):
 
     With ``pieces`` the ids are decoded as well, to ``bytes``.
     """
-    for batch in batches:
-        for doc_ids, codes, words in zip(*[batch.column(name) for name in ("doc_ids", "codes", "folded")]):
-            codes, words = codes.values, words.values  # lists of ids, of texts and of words
-            ends = codes.offsets.to_numpy()
-            flat = codes.values.to_numpy()[ends[0] : ends[-1]]
-            ends = ends - ends[0]
-            at = np.flatnonzero(flat < 0)
-            sizes = np.ones(len(flat), dtype=np.int64)
-            if len(at):
-                inner, starts, word = words.values.to_numpy(), words.offsets.to_numpy().astype(np.int64), -1 - flat[at].astype(np.int64)
-                sizes[at] = starts[word + 1] - starts[word]
-            after = np.concatenate([[0], np.cumsum(sizes)])
-            ids = np.repeat(flat, sizes).astype("<i4")
-            if len(at):
-                within = np.arange(int(sizes[at].sum())) - np.repeat(np.cumsum(sizes[at]) - sizes[at], sizes[at])
-                ids[np.repeat(after[at], sizes[at]) + within] = inner[np.repeat(starts[word], sizes[at]) + within]
-            places = after[ends].astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(places), pa.array(ids))
-            packed = pa.Array.from_buffers(pa.binary(), len(codes), [None, pa.py_buffer(places * np.int32(4)), pa.py_buffer(ids)])
-            made = {"doc_id": doc_ids.values, "ids": lists, "packed": packed}
-            if pieces is not None:
-                made["bytes"] = joined_pieces(ids, places, pieces)
-            yield pa.record_batch(list(made.values()), names=list(made))
+
+    def row(parts):
+        doc_ids, codes, words = parts
+        codes, words = codes.values, words.values  # lists of ids, of texts and of words
+        ends = codes.offsets.to_numpy()
+        flat = codes.values.to_numpy()[ends[0] : ends[-1]]
+        ends = ends - ends[0]
+        at = np.flatnonzero(flat < 0)
+        sizes = np.ones(len(flat), dtype=np.int64)
+        if len(at):
+            inner, starts, word = words.values.to_numpy(), words.offsets.to_numpy().astype(np.int64), -1 - flat[at].astype(np.int64)
+            sizes[at] = starts[word + 1] - starts[word]
+        after = np.concatenate([[0], np.cumsum(sizes)])
+        ids = np.repeat(flat, sizes).astype("<i4")
+        if len(at):
+            within = np.arange(int(sizes[at].sum())) - np.repeat(np.cumsum(sizes[at]) - sizes[at], sizes[at])
+            ids[np.repeat(after[at], sizes[at]) + within] = inner[np.repeat(starts[word], sizes[at]) + within]
+        places = after[ends].astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(places), pa.array(ids))
+        packed = pa.Array.from_buffers(pa.binary(), len(codes), [None, pa.py_buffer(places * np.int32(4)), pa.py_buffer(ids)])
+        made = {"doc_id": doc_ids.values, "ids": lists, "packed": packed}
+        if pieces is not None:
+            made["bytes"] = joined_pieces(ids, places, pieces)
+        return pa.record_batch(list(made.values()), names=list(made))
+
+    rows = (parts for batch in batches for parts in zip(*[batch.column(name) for name in ("doc_ids", "codes", "folded")]))
+    yield from handing_back(row, rows)
 
 
 def encode(
@@ -465,7 +567,8 @@ def encode(
     texts = docs.select("doc_id", whole_text().alias("text"))
     counts = materialize(word_counts(texts, pattern, ranks), "bpe-words")
     pairs, size = pair_merges(ranks), max(ranks.values(), default=0) + 1
-    merges, certain = rank_frame(spark, table_of(pairs, size)), table_of(certain_merges(pairs, size), size)
+    whole_table = table_of(pairs, size)
+    merges, certain, beside = rank_frame(spark, whole_table), table_of(certain_merges(pairs, size), size), neighbours(ranks, pairs, whole_table)
     del pairs
     hand_back_driver(spark)
     frequent = most_frequent(counts, dictionary_words)
@@ -481,7 +584,7 @@ def encode(
     dictionary = spark.sparkContext.broadcast(payload)  # at most dictionary_words
     del payload
     hand_back_driver(spark)  # here, too, Python and the JVM share one memory
-    found = texts.mapInArrow(tidy(look_up(dictionary, ranks, pattern, certain)), "doc_ids array<long>, codes array<array<int>>, rare array<array<int>>")
+    found = texts.mapInArrow(tidy(look_up(dictionary, ranks, pattern, certain, beside)), "doc_ids array<long>, codes array<array<int>>, rare array<array<int>>")
     parts = found.crossJoin(F.broadcast(merges)).select("doc_ids", "codes", fold_all(F.col("rare")).alias("folded"))
     schema = "doc_id long, ids array<int>, packed binary" + (", bytes binary" if with_bytes else "")
     pieces = piece_array(ranks) if with_bytes else None

@@ -461,6 +461,31 @@ def test_digests_are_those_of_ids_and_text(documents, texts):
         assert got[i]["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
 
 
+def test_merges_beside_neighbours_leave_the_result(texts):
+    ranks = bpe.load_ranks(public_tokenizers.path(bpe.VOCABULARY))
+    token, pairs = {rank: piece for piece, rank in ranks.items()}, bpe.pair_merges(ranks)
+    table = bpe.rank_table(ranks)
+    merge = bpe.beside_merger(bpe.neighbours(ranks, pairs, table))
+    rng = np.random.default_rng(4)
+    words = {w for _, text, *_ in texts[:200] for w in re.findall(r" ?\w+", text or "")} | {"яблоко", "見た目", "ß́", "aaaaaaa", "anananananas"}
+    words = sorted(w.encode() for w in words) + [bytes(rng.choice(list(b"aenstr "), n).tolist()) for n in rng.integers(1, 20, 4000)]
+    words += [bytes(rng.integers(0, 256, n).tolist()) for n in rng.integers(1, 12, 1000)]
+    tokens = np.array([ranks[bytes([b])] for w in words for b in w], dtype=np.int32)
+    got, lengths, still = merge(tokens, np.array([len(w) for w in words]))
+    assert len(lengths) == len(words) and lengths.sum() == len(got) and 0 < still.sum() < 0.5 * len(words)
+    for word, part, more in zip(words, np.split(got, np.cumsum(lengths)[:-1]), still):
+        whole, parts = [[ranks[bytes([b])] for b in word], part.tolist()]
+        for ids in (whole, parts):
+            while True:
+                best = min(((ranks.get(token[a] + token[b], 1 << 20), i) for i, (a, b) in enumerate(zip(ids, ids[1:]))), default=(1 << 20, 0))
+                if best[0] == 1 << 20:
+                    break
+                ids[best[1] : best[1] + 2] = [best[0]]
+        assert whole == parts and (more or parts == part.tolist()), word
+    none = merge(tokens[:0], np.zeros(0, np.int64))
+    assert [len(n) for n in none] == [0, 0, 0]
+
+
 def test_words_are_the_matches_of_the_pattern(texts, monkeypatch):
     found = regex.compile(public_tokenizers.PATTERN)
     rng = np.random.default_rng(11)
